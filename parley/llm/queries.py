@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, media, packing, tokenfile
+from . import common, langid, media, packing, quality, simhash, tokenfile
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -15,6 +15,18 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "labels"))
+
+
+def op2_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(common.table(spark, sf_dir, "documents"))
+
+
+def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     path = common.shared_dir(spark, "tokens")
@@ -32,6 +44,9 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality": op1_quality,
+    "op2_language": op2_language,
+    "op3_simhash": op3_simhash,
     "op6_token_output": op6_token_output,
     "op7_packing": op7_packing,
     "op8_media": op8_media,
