@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import common, langid, media, packing, quality, simhash, tokenfile
+from . import ann, common, langid, license, media, packing, quality, sentencepieces, simhash, tokenfile
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -27,6 +27,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(common.table(spark, sf_dir, "documents"))
 
 
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(common.table(spark, sf_dir, "embeddings"))
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     path = common.shared_dir(spark, "tokens")
@@ -43,13 +47,24 @@ def op8_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return media.media_features(common.stored(media.with_media(docs), "media"))
 
 
+def op9_license(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license.scan(common.table(spark, sf_dir, "documents"))
+
+
+def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepieces.digest(common.table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_language": op2_language,
     "op3_simhash": op3_simhash,
+    "op4_neighbours": op4_neighbours,
     "op6_token_output": op6_token_output,
     "op7_packing": op7_packing,
     "op8_media": op8_media,
+    "op9_license": op9_license,
+    "op10_sentencepiece": op10_sentencepiece,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op9_license": license.oracle()}
