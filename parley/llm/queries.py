@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, common, langid, license, media, packing, quality, sentencepieces, simhash, tokenfile
+from . import ann, common, langid, license, media, packing, quality, sentencepieces, simhash, suffix, tokenfile
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -31,6 +31,10 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ann.nearest(common.table(spark, sf_dir, "embeddings"))
 
 
+def op5_suffix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.digest(common.table(spark, sf_dir, "documents"))
+
+
 def op6_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = common.table(spark, sf_dir, "documents")
     path = common.shared_dir(spark, "tokens")
@@ -60,6 +64,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language": op2_language,
     "op3_simhash": op3_simhash,
     "op4_neighbours": op4_neighbours,
+    "op5_suffix": op5_suffix,
     "op6_token_output": op6_token_output,
     "op7_packing": op7_packing,
     "op8_media": op8_media,

@@ -119,3 +119,15 @@ def near_duplicates(docs: DataFrame, text_col: str = "text") -> DataFrame:
         F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"),
         F.when(F.col("doc_id").isNotNull(), F.col("component")).alias("component_id"),
     )
+
+
+def one_of_each(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """One document of each near-duplicate group, the smallest doc_id, with all its columns.
+
+    Of rows that repeat that doc_id one stays. Rows without a doc_id stay as they are.
+    """
+    groups = near_duplicates(docs, text_col)
+    kept = common.stored(groups.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct(), "kept")
+    named = docs.where(F.col("doc_id").isNotNull())
+    stay = named.join(kept, named["doc_id"] == kept["__kept"], "left_semi").dropDuplicates(["doc_id"])
+    return stay.unionByName(docs.where(F.col("doc_id").isNull()))
