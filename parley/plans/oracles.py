@@ -153,7 +153,7 @@ ORACLES: dict[str, str] = {
     "cosine_top2_margin": f"""WITH c AS (SELECT e.vec_id, r.vec_id AS ref, {_cos('e.embedding', 'r.embedding')} AS c FROM embeddings e, embeddings r WHERE r.vec_id < 4 AND e.vec_id <> r.vec_id), k AS (
       SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY c DESC, ref) AS n FROM c)
       SELECT vec_id, max(ref) FILTER (n = 1) AS best, round(max(c) FILTER (n = 1), 6) AS cosine, round(max(c) FILTER (n = 1) - max(c) FILTER (n = 2), 6) AS margin FROM k GROUP BY vec_id""",
-    "waveform_peaks": """WITH x AS (SELECT l_suppkey, CAST(round(l_extendedprice) AS BIGINT) AS x, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber) - 1 AS i, count(*) OVER (PARTITION BY l_suppkey) AS len FROM lineitem), b AS (
+    "waveform_peaks": """WITH x AS (SELECT l_suppkey, CAST(round(l_extendedprice) AS BIGINT) AS x, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_extendedprice) - 1 AS i, count(*) OVER (PARTITION BY l_suppkey) AS len FROM lineitem), b AS (
       SELECT l_suppkey, CAST(floor(i * 20 / len) AS BIGINT) AS bar, 0.65 * max(abs(x)) + 0.35 * sqrt(avg(x * x)) AS level FROM x GROUP BY 1, 2)
       SELECT l_suppkey, bar, round(pow(level / greatest(max(level) OVER (PARTITION BY l_suppkey), 1e-10), 0.72), 3) AS height FROM b""",
     "crossfade_stitch": """WITH e AS (SELECT vec_id, embedding[1:40]::DOUBLE[] AS a, embedding[41:64]::DOUBLE[] AS b FROM embeddings)

@@ -256,7 +256,7 @@ def cosine_top2_margin(spark, d):
 
 @query
 def waveform_peaks(spark, d):
-    return signal.peaks(v.table(spark, d, "lineitem").select("l_suppkey", F.struct("l_orderkey", "l_linenumber").alias("o"), F.round("l_extendedprice").cast("long").alias("x")), ["l_suppkey"], "o", "x", 20)
+    return signal.peaks(v.table(spark, d, "lineitem").select("l_suppkey", F.struct("l_orderkey", "l_linenumber", "l_extendedprice").alias("o"), F.round("l_extendedprice").cast("long").alias("x")), ["l_suppkey"], "o", "x", 20)
 
 
 @query
