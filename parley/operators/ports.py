@@ -1,0 +1,55 @@
+"""Ports to models: the shapes of their functions, with deterministic stand-ins.
+
+A port takes a DataFrame and returns one; a real model is a function with the same columns,
+loaded once for each Python worker inside ``mapInPandas``.
+"""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+import pandas as pd
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+Port = Callable[[DataFrame], DataFrame]
+_loaded: dict[str, object] = {}
+
+
+def once(name: str, load: Callable[[], object]) -> object:
+    """A model kept for the life of the worker."""
+    if name not in _loaded:
+        _loaded[name] = load()
+    return _loaded[name]
+
+
+def recognised(slices: DataFrame) -> DataFrame:
+    """Stand-in for speech recognition: (id, wav) to words with times that depend on the bytes only."""
+
+    def run(batches):
+        for pdf in batches:
+            rows = [(i, k, f"w{b}", k * 300 / 1000, (k * 300 + 200) / 1000, b / 255) for i, wav in zip(pdf["id"], pdf["wav"]) for k, b in enumerate(wav[44:64])]
+            yield pd.DataFrame(rows, columns=["id", "idx", "word", "start_seconds", "end_seconds", "confidence"])
+
+    return slices.select("id", "wav").mapInPandas(run, "id long, idx int, word string, start_seconds double, end_seconds double, confidence double")
+
+
+def embedded(tracks: DataFrame, size: int = 16) -> DataFrame:
+    """Stand-in for speaker embeddings: unit vectors of bytes of the content's SHA-256."""
+    raw = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: F.conv(F.substring(F.sha2("wav", 256), i * 2 + 1, F.lit(2)), 16, 10).cast("double") - 127.5)
+    norm = F.sqrt(F.aggregate("raw", F.lit(0.0), lambda s, x: s + x * x))
+    return tracks.withColumn("raw", raw).withColumn("embedding", F.transform("raw", lambda x: x / norm)).drop("raw")
+
+
+def with_retry(call: Callable, tries: int = 3, again: tuple = (TimeoutError, ConnectionError)) -> Callable:
+    """Calls again after transport errors; other errors and the last one come through."""
+
+    def run(*args):
+        for k in range(tries):
+            try:
+                return call(*args)
+            except again:
+                if k + 1 == tries:
+                    raise
+
+    return run

@@ -43,6 +43,12 @@ BOUNDS = f"""{TURNS}, {islands('spoken', 'turns', 'part_id, speaker')}, edges AS
   SELECT part_id, CAST(sp AS BIGINT) AS speaker, t AS start_ms, nt AS end_ms FROM (
     SELECT part_id, t, lead(t) OVER w AS nt, sum(d) OVER w AS live, sum(ds) OVER w AS sp FROM at_ WINDOW w AS (PARTITION BY part_id ORDER BY t)) WHERE live = 1 AND nt > t)"""
 PURE = f"{BOUNDS}, {islands('pure', 'pieces', 'part_id, speaker')}"
+AUDIT = f"""{TURNS}, e AS (SELECT part_id, start_ms AS t, 1 AS d, speaker FROM turns UNION ALL SELECT part_id, end_ms, -1, speaker FROM turns), p AS (
+      SELECT part_id, t, speaker, sum(d) AS d FROM e GROUP BY ALL), g AS (SELECT DISTINCT part_id, t FROM p), sp AS (SELECT DISTINCT part_id, speaker FROM turns), l AS (
+      SELECT g.part_id, g.t, sp.speaker, sum(coalesce(p.d, 0)) OVER (PARTITION BY g.part_id, sp.speaker ORDER BY g.t ROWS UNBOUNDED PRECEDING) AS live
+      FROM g JOIN sp USING (part_id) LEFT JOIN p ON p.part_id = g.part_id AND p.t = g.t AND p.speaker = sp.speaker), a AS (
+      SELECT part_id, t, count(*) FILTER (live > 0) AS n, max(speaker) FILTER (live > 0) AS speaker FROM l GROUP BY part_id, t), audit AS (
+      SELECT part_id, speaker, t AS start_ms, nt AS end_ms FROM (SELECT *, lead(t) OVER (PARTITION BY part_id ORDER BY t) AS nt FROM a) WHERE n = 1 AND nt IS NOT NULL)"""
 BUCKETS = f"""{TURNS}, buckets AS (
   SELECT DISTINCT part_id, b * 60000 AS start_ms, (b + 1) * 60000 AS end_ms FROM (SELECT part_id, unnest(range(start_ms // 60000, (end_ms - 1) // 60000 + 1)) AS b FROM turns)), inwin AS (
   SELECT b.part_id, b.start_ms, b.end_ms, t.start_ms AS r_start, t.end_ms AS r_end, t.speaker, t.turn_id, least(t.end_ms, b.end_ms) - greatest(t.start_ms, b.start_ms) AS clipped,
@@ -96,12 +102,7 @@ ORACLES: dict[str, str] = {
       SELECT *, coalesce(sum(len) OVER (PARTITION BY part_id, speaker ORDER BY len DESC, start_ms, end_ms ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS spent, row_number() OVER (PARTITION BY part_id, speaker ORDER BY len DESC, start_ms, end_ms) AS rank FROM c), t AS (
       SELECT *, least(len, 30000 - spent) AS take FROM k WHERE spent < 30000), s AS (SELECT *, sum(take) OVER (PARTITION BY part_id, speaker) AS total_ms FROM t)
       SELECT part_id, speaker, rank, start_ms, CAST(start_ms + take AS BIGINT) AS end_ms, CAST(total_ms AS BIGINT) AS total_ms FROM s WHERE total_ms >= 4000""",
-    "audit_pieces": f"""WITH {TURNS}, e AS (SELECT part_id, start_ms AS t, 1 AS d, speaker FROM turns UNION ALL SELECT part_id, end_ms, -1, speaker FROM turns), p AS (
-      SELECT part_id, t, speaker, sum(d) AS d FROM e GROUP BY ALL), g AS (SELECT DISTINCT part_id, t FROM p), sp AS (SELECT DISTINCT part_id, speaker FROM turns), l AS (
-      SELECT g.part_id, g.t, sp.speaker, sum(coalesce(p.d, 0)) OVER (PARTITION BY g.part_id, sp.speaker ORDER BY g.t ROWS UNBOUNDED PRECEDING) AS live
-      FROM g JOIN sp USING (part_id) LEFT JOIN p ON p.part_id = g.part_id AND p.t = g.t AND p.speaker = sp.speaker), a AS (
-      SELECT part_id, t, count(*) FILTER (live > 0) AS n, max(speaker) FILTER (live > 0) AS speaker FROM l GROUP BY part_id, t)
-      SELECT part_id, speaker, t AS start_ms, nt AS end_ms FROM (SELECT *, lead(t) OVER (PARTITION BY part_id ORDER BY t) AS nt FROM a) WHERE n = 1 AND nt IS NOT NULL""",
+    "audit_pieces": f"WITH {AUDIT} SELECT * FROM audit",
     "music_overlap": f"WITH {MUSIC_MS} SELECT * FROM covered",
     "quality_decisions": f"WITH {DECISIONS} SELECT part_id, start_ms, end_ms, music_ms, snr_db, round(music_ratio, 6) AS music_ratio, is_good FROM decided",
     "label_runs": f"WITH {DECISIONS} SELECT part_id, run, is_good, min(start_ms) AS start_ms, max(end_ms) AS end_ms, count(*) AS n FROM tagged GROUP BY part_id, run, is_good",

@@ -5,8 +5,10 @@ import os
 import duckdb
 import pytest
 
-from parley.plans.oracles import ORACLES
-from parley.plans.queries import QUERIES
+from parley.plans import more, oracles
+from parley.plans.more import QUERIES
+
+ORACLES = oracles.ORACLES | more.ORACLES
 
 
 @pytest.fixture(scope="module")
