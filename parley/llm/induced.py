@@ -77,90 +77,81 @@ def suffix_types(text: np.ndarray) -> np.ndarray:
     return step[at[np.searchsorted(at, np.arange(n))]] > 0
 
 
-def _words(text: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Eight bytes from each place as one big-endian number, zeros after the end."""
-    out = np.zeros(len(at), np.uint64)
-    last = len(text) - 1
-    for k in range(8):
-        place = at + k
-        byte = text[np.minimum(place, last)].astype(np.uint64)
-        byte[place > last] = 0
-        out = out << np.uint64(8) | byte
-    return out
-
-
-def _dense(*keys: np.ndarray) -> np.ndarray:
-    """Ranks of rows compared by the keys in turn, equal rows alike."""
-    order = np.lexsort(keys[::-1])
-    new = np.zeros(len(order), bool)
-    for k in keys:
-        new[1:] |= k[order][1:] != k[order][:-1]
-    ranks = np.empty(len(order), np.int64)
-    ranks[order] = np.cumsum(new)
-    return ranks
+def _words(text: np.ndarray, after: int) -> np.ndarray:
+    """Eight bytes from each place on as one big-endian number, zeros after the end; ``after`` places more."""
+    padded = np.concatenate([text, np.zeros(after + 8, np.uint8)])
+    return np.lib.stride_tricks.sliding_window_view(padded, 8)[: len(text) + after].copy().view(">u8").ravel().astype(np.uint64)
+
+
+def _refined(ranks: np.ndarray, of: np.ndarray, key: np.ndarray) -> np.ndarray:
+    """Dense ranks in which the members ``of`` whole groups of equals are told apart by a key."""
+    m = len(ranks)
+    first = np.concatenate([[0], np.cumsum(np.bincount(ranks, minlength=m))[:-1]])
+    group = ranks[of]
+    if key.dtype == np.int64 and m < 1 << 31:  # two ranks fit one number
+        order = np.argsort(group * (m + 1) + key)
+    else:
+        order = np.lexsort((key, group))
+    group, key, of = group[order], key[order], of[order]
+    opens = np.concatenate([[True], group[1:] != group[:-1]])
+    leads = opens | np.concatenate([[True], key[1:] != key[:-1]])
+    place = np.arange(len(of))
+    spaced = first[ranks]
+    spaced[of] += np.maximum.accumulate(np.where(leads, place, 0)) - np.maximum.accumulate(np.where(opens, place, 0))
+    used = np.zeros(m, bool)
+    used[spaced] = True
+    return (np.cumsum(used) - 1)[spaced]
 
 
-def _name(text: np.ndarray, stars: np.ndarray, depth: int) -> np.ndarray:
+def _name(words: np.ndarray, stars: np.ndarray, size: int, depth: int) -> np.ndarray:
     """Ranks of the substrings from one S* position to the next, inclusive, to ``depth`` bytes."""
-    ends = np.append(stars[1:] + 1, len(text))
+    lengths = np.append(stars[1:] + 1, size) - stars
+    every = np.uint64(0xFFFFFFFFFFFFFFFF)
 
     def word(of: np.ndarray, k: int) -> np.ndarray:
-        w = _words(text, stars[of] + k)
-        over = np.clip(k + 8 - (ends[of] - stars[of]), 0, 8).astype(np.uint64)
-        tail = np.where(over == 8, np.uint64(0xFFFFFFFFFFFFFFFF), (np.uint64(1) << over * np.uint64(8)) - np.uint64(1))
-        return w | tail  # a substring that is another's prefix is the larger
-
-    names = _dense(word(np.arange(len(stars)), 0))
-    for k in range(8, depth + 8, 8):
-        some = np.flatnonzero(ends - stars > k)
-        if not len(some):
+        over = np.clip(k + 8 - lengths[of], 0, 8).astype(np.uint64)
+        tail = np.where(over == 8, every, (np.uint64(1) << (over % np.uint64(8)) * np.uint64(8)) - np.uint64(1))
+        return words[np.minimum(stars[of] + k, len(words) - 1)] | tail  # a substring that is another's prefix is the larger
+
+    names = np.zeros(len(stars), np.int64)
+    for k in range(0, depth + 8, 8):
+        longer = lengths > k
+        if not longer.any():
             break
-        second = np.full(len(stars), np.uint64(0xFFFFFFFFFFFFFFFF))
-        second[some] = word(some, k)
-        names = _dense(names, second)
+        mixed = np.zeros(len(stars), bool)
+        mixed[names[longer]] = True
+        mixed &= np.bincount(names, minlength=len(stars)) > 1
+        of = np.flatnonzero(mixed[names])
+        if len(of):
+            names = _refined(names, of, word(of, k))
     return names
 
 
-def rank_stars(text: np.ndarray, stars: np.ndarray, depth: int) -> np.ndarray:
+def rank_stars(words: np.ndarray, stars: np.ndarray, size: int, depth: int) -> np.ndarray:
     """S* positions in suffix order: the reduced string of names, ranked by doubling."""
-    ranks = _name(text, stars, depth)
+    if not len(stars):
+        return stars
+    ranks = _name(words, stars, size, depth)
     m, reach = len(stars), 1
     while reach < m:
-        counts = np.bincount(ranks, minlength=m)
-        tied = counts[ranks] > 1
-        far = np.append(stars, np.full(reach, len(text) + depth))[reach:]
-        open_ = np.flatnonzero(tied & (far - stars < depth))
-        if not len(open_):
+        far = np.append(stars, np.full(reach, size + depth))[reach:]
+        tied = np.bincount(ranks, minlength=m)[ranks] > 1
+        wanted = np.zeros(m, bool)
+        wanted[ranks[tied & (far - stars < depth)]] = True
+        of = np.flatnonzero(wanted[ranks])
+        if not len(of):
             break
-        after = np.append(ranks + 1, np.zeros(reach, np.int64))[reach:]
-        # ranks leave gaps for their ties, so that only tied suffixes are sorted again
-        first = np.concatenate([[0], np.cumsum(counts)[:-1]])
-        again = np.flatnonzero(tied)
-        order = again[np.lexsort((after[again], ranks[again]))]
-        change = (ranks[order][1:] != ranks[order][:-1]) | (after[order][1:] != after[order][:-1])
-        lead = np.concatenate([[True], change])
-        group = np.concatenate([[True], ranks[order][1:] != ranks[order][:-1]])
-        place = np.arange(len(order))
-        sub = np.maximum.accumulate(np.where(lead, place, 0)) - np.maximum.accumulate(np.where(group, place, 0))
-        spaced = first[ranks]
-        spaced[order] += sub
-        ranks = _compact(spaced, m)
+        ranks = _refined(ranks, of, np.append(ranks + 1, np.zeros(reach, np.int64))[reach:][of])
         reach *= 2
     return stars[np.argsort(ranks, kind="stable")]
 
 
-def _compact(spaced: np.ndarray, m: int) -> np.ndarray:
-    used = np.zeros(m, bool)
-    used[spaced] = True
-    return (np.cumsum(used) - 1)[spaced]
-
-
-def common_prefixes(text: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
+def common_prefixes(words: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
     """Length of the common prefix of the suffixes at a and b, up to ``depth``."""
     out = np.full(len(a), depth, np.int64)
     todo = np.arange(len(a))
     for k in range(0, depth, 8):
-        x = _words(text, a[todo] + k) ^ _words(text, b[todo] + k)
+        x = words[a[todo] + k] ^ words[b[todo] + k]
         differ = x != 0
         if differ.any():
             high = np.floor(np.log2(x[differ].astype(np.float64))).astype(np.int64)
@@ -222,9 +213,11 @@ def repeated_starts(text: np.ndarray, depth: int, memory: int = 64 << 20) -> np.
     types = suffix_types(text)
     is_star = np.zeros(n, bool)
     is_star[1:] = types[1:] & ~types[:-1]
-    stars = rank_stars(text, np.flatnonzero(is_star), depth)
+    words = _words(text, depth)
+    stars = rank_stars(words, np.flatnonzero(is_star), n, depth)
     star_common = np.zeros(len(stars), np.int16)
-    star_common[1:] = common_prefixes(text, stars[:-1], stars[1:], depth)
+    star_common[1:] = common_prefixes(words, stars[:-1], stars[1:], depth)
+    del words
     star_byte = text[stars]
     begin = np.searchsorted(star_byte, np.arange(257))
 
