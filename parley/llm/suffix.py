@@ -24,6 +24,9 @@ from .anchors import anchor_runs
 from .induced import repeated_starts
 
 WINDOW = 200
+#: Wordings of one anchor that one sort takes. An anchor with more (the edge of a passage that
+#: very many documents share) is resolved string by string, over the whole cluster.
+WORDINGS = 50_000
 #: Bytes of runs that one induced sort takes, closed at the next anchor.
 SHARD_BYTES = 6 << 20
 
@@ -56,7 +59,10 @@ def _runs(keyed: DataFrame, window: int) -> DataFrame:
 
 
 def _sorted_shard(rows: list[tuple], window: int) -> Iterator[tuple]:
-    """key, name and repeated stretches (from, to) of starts, for rows of key, name, copies, bytes."""
+    """doc, mark, first and repeated stretches (from, to) of starts, for rows of a name that occurs once.
+
+    Names that occur more often are repeats as a whole and only lend their bytes.
+    """
     raws = [np.frombuffer(r[3], np.uint8) for r in rows]
     sizes = np.array([len(r) for r in raws])
     text = np.zeros(int(sizes.sum()) + len(rows), np.uint8)
@@ -64,26 +70,25 @@ def _sorted_shard(rows: list[tuple], window: int) -> Iterator[tuple]:
     for raw, b in zip(raws, begins):
         text[b : b + len(raw)] = raw + 1  # zero ends a run
     flags = repeated_starts(text, window)
-    for (key, name, copies, _), b, size in zip(rows, begins, sizes):
-        n = size - window + 1
-        own = np.ones(n, bool) if copies > 1 else flags[b : b + n]
+    for (_, _, copies, _, *at), b, size in zip(rows, begins, sizes):
+        own = flags[b : b + size - window + 1]
         edge = np.flatnonzero(np.diff(np.concatenate([[0], own.view(np.int8), [0]])))
-        if len(edge):
-            yield key, name, edge[::2].tolist(), edge[1::2].tolist()
+        if len(edge) and copies == 1:
+            yield *at, edge[::2].tolist(), edge[1::2].tolist()
 
 
 def _repeats(segments: DataFrame, window: int) -> DataFrame:
-    """Repeated stretches of each name, from rows of key, name, copies and bytes."""
+    """Repeated stretches of the names that occur once, from rows of key, name, copies, bytes, doc, mark and first."""
 
     def batch_of(found: list[tuple]) -> pa.RecordBatch:
-        types = [pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64())]
-        columns = list(zip(*found)) if found else [[]] * 4
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["key", "name", "from", "to"])
+        types = [pa.int64()] * 3 + [pa.list_(pa.int64())] * 2
+        columns = list(zip(*found)) if found else [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["doc", "mark", "first", "from", "to"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows, size, last = [], 0, None
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(7))):
                 if last == row[:2]:
                     continue  # the same name fetched from a row that occurs again
                 if size >= SHARD_BYTES and last[0] != row[0]:
@@ -96,7 +101,26 @@ def _repeats(segments: DataFrame, window: int) -> DataFrame:
             yield batch_of(list(_sorted_shard(rows, window)))
 
     ordered = segments.repartition("key").sortWithinPartitions("key", "name")
-    return common.map_arrow(ordered, "key long, name long, `from` array<long>, `to` array<long>", run)
+    return common.map_arrow(ordered, "doc long, mark long, first long, `from` array<long>, `to` array<long>", run)
+
+
+def _repeats_by_string(segments: DataFrame, window: int) -> DataFrame:
+    """The same as :func:`_repeats`, with each string of a run a row under its 128-bit hash."""
+
+    def explode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        digest = xxhash.xxh3_128_digest
+        for batch in batches:
+            for i in range(batch.num_rows):
+                copies, raw, doc, mark, first = (batch.column(k)[i].as_py() for k in range(2, 7))
+                n = len(raw) - window + 1
+                halves = np.frombuffer(b"".join([digest(raw[j : j + window]) for j in range(n)]), ">i8").reshape(n, 2).astype(np.int64)
+                same = {c: pa.array([x] * n, pa.int64()) for c, x in (("copies", copies), ("doc", doc), ("mark", mark), ("first", first))}
+                yield pa.RecordBatch.from_pydict(same | {"at": np.arange(n), "h": halves[:, 0], "g": halves[:, 1]})
+
+    rows = common.stored(common.map_arrow(segments.dropDuplicates(["key", "name"]), "copies long, doc long, mark long, first long, at long, h long, g long", explode), "strings")
+    twice = common.stored(rows.groupBy("h", "g").agg(F.sum("copies").alias("total")).where("total > 1").select("h", "g"), "twice")
+    hit = rows.where("copies = 1").join(twice, ["h", "g"]).groupBy("doc", "mark", "first").agg(F.collect_set("at").alias("at"))  # a run's length bounds its set
+    return hit.select("doc", "mark", "first", F.col("at").alias("from"), F.transform("at", lambda x: x + 1).alias("to"))
 
 
 def repeated_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -105,20 +129,26 @@ def repeated_spans(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id"
     keyed = _keyed(docs, id_col, text_col)
     runs = common.stored(_runs(keyed, window), "runs")
     keys = runs.groupBy("key").agg(F.count("*").alias("total"), F.min("name").alias("low"), F.max("name").alias("high")).where("total > 1")
+    keys = common.stored(keys, "keys")  # a side of its own in the join, so that a hot anchor's runs can be split
     held = common.stored(runs.join(keys, "key").select("doc", "mark", "first", "n", "key", "name", (F.col("low") != F.col("high")).alias("mixed")), "held")
     common.delete_dir(spark, runs.inputFiles()[0].rsplit("/", 1)[0]) if runs.inputFiles() else None
 
     names = held.where("mixed").groupBy("key", "name").agg(F.count("*").alias("copies"), F.min(F.struct("doc", "mark", "first", "n")).alias("at"))
-    names = names.select("key", "name", "copies", "at.*")
+    names = common.stored(names.select("key", "name", "copies", "at.*"), "names")
+    crowded = common.stored(names.groupBy("key").agg(F.count("*").alias("wordings")).where(F.col("wordings") > WORDINGS).select("key", F.lit(True).alias("crowded")), "crowded")
+    wanted = names.join(crowded, "key", "left")
     raw = F.substring(F.col("text").cast("binary"), F.col("first").cast("int") + 1, F.col("n").cast("int") + F.lit(window - 1))
-    segments = names.join(keyed, ["doc", "mark"]).select("key", "name", "copies", raw.alias("bytes"))
-    found = common.stored(_repeats(segments, window), "repeats")
-
-    whole = held.where("not mixed").select("doc", "mark", F.col("first").alias("from"), (F.col("first") + F.col("n") + window - 1).alias("to"))
+    segments = wanted.join(keyed, ["doc", "mark"]).select("key", "name", "copies", raw.alias("bytes"), "doc", "mark", "first", "crowded")
+    sorted_ = _repeats(segments.where("crowded is null").drop("crowded"), window)
+    if not crowded.isEmpty():
+        sorted_ = sorted_.unionByName(_repeats_by_string(segments.where("crowded").drop("crowded"), window))
+    found = common.stored(sorted_, "repeats")
+
+    # a name that occurs more than once is repeated as a whole, wherever it stands
+    once = names.where("copies = 1").select("key", "name", F.lit(True).alias("once"))
+    whole = held.join(once, ["key", "name"], "left").where("once is null").select("doc", "mark", F.col("first").alias("from"), (F.col("first") + F.col("n") + window - 1).alias("to"))
     part = (
-        held.where("mixed")
-        .join(found, ["key", "name"])
-        .select("doc", "mark", "first", F.explode(F.arrays_zip("from", "to")).alias("s"))
+        found.select("doc", "mark", "first", F.explode(F.arrays_zip("from", "to")).alias("s"))
         .select("doc", "mark", (F.col("first") + F.col("s.from")).alias("from"), (F.col("first") + F.col("s.to") + window - 1).alias("to"))
     )
     # a document's own runs bound its set; rows that occur again add nothing to it

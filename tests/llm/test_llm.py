@@ -220,7 +220,9 @@ def cut_by_counting(texts, window):
     return out
 
 
-def test_repeats_equal_brute_force(spark, odd):
+@pytest.mark.parametrize("wordings", [0, 50_000])
+def test_repeats_equal_brute_force(spark, wordings, monkeypatch):
+    monkeypatch.setattr(suffix, "WORDINGS", wordings)
     shared, other = prose(90, 50), prose(80, 51)
     texts = [f"{prose(40, i)} {shared} {prose(30, 60 + i)}" for i in range(6)] + [other + "é" + prose(50, 9), prose(20, 8) + other, "ab" * 300, None, "", prose(30, 77), prose(99, 78), prose(99, 78)]
     got = {r["doc_id"]: tuple(r)[1:] for r in suffix.digest(docs_of(spark, texts)).collect()}
