@@ -31,6 +31,7 @@ HEAD = struct.Struct("<8sIIQQ")
 BLOCK = 4096
 #: Ids after which a task closes a shard file, at the next end of a document.
 SHARD_IDS = 4_000_000
+_WHOLE = {8: "<u1", 16: "<u2", 32: "<u4"}
 
 
 def bits_for(vocabulary: int) -> int:
@@ -41,6 +42,10 @@ def bits_for(vocabulary: int) -> int:
 def pack(ids: np.ndarray, bits: int) -> np.ndarray:
     """Ids as 64-bit words, ``bits`` each; 64 ids fill exactly ``bits`` words."""
     rows = -(-len(ids) // 64)
+    if bits in _WHOLE:  # ids that fill whole bytes are an array of that type already
+        whole = np.zeros(rows * 64, _WHOLE[bits])
+        whole[: len(ids)] = ids
+        return whole.view("<u8")
     full = np.zeros(rows * 64, np.uint64)
     full[: len(ids)] = ids
     full = full.reshape(rows, 64)
@@ -55,6 +60,8 @@ def pack(ids: np.ndarray, bits: int) -> np.ndarray:
 
 def unpack(words: np.ndarray, bits: int, n: int) -> np.ndarray:
     """The first ``n`` ids of packed words."""
+    if bits in _WHOLE:
+        return words.view(_WHOLE[bits])[:n].astype(np.uint32)
     words = words.reshape(-1, bits)
     out = np.empty((len(words), 64), np.uint64)
     mask = np.uint64((1 << bits) - 1)
@@ -188,6 +195,8 @@ def read_tokens(manifest: DataFrame, path: str) -> DataFrame:
                         }
                     )
 
+    if manifest.isEmpty():
+        return spark.createDataFrame([], "doc_id long, start long, n_tokens long, ids_crc32 long")
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.bin").load(path)
     files = files.select(F.element_at(F.split("path", "/"), -1).alias("shard"), "content")
     rows = common.map_arrow(files, "shard string, doc_id long, local long, n_tokens long, ids_crc32 long", read)

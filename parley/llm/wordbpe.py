@@ -46,7 +46,7 @@ class WordEncoder:
     ``cache_words`` bounds each generation of each cache; it changes speed only.
     """
 
-    def __init__(self, path: str, cache_words: int = 200_000) -> None:
+    def __init__(self, path: str, cache_words: int = 350_000) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.pre = self.tokenizer.model, self.tokenizer.pre_tokenizer
@@ -91,9 +91,10 @@ class WordEncoder:
             return b""
         if _AFTER_SPACE.search(text) or any(" " in s and s in text for s in self.specials):
             return b"".join([self.plain[c] for c in _CHUNKS.findall(text)])
-        first, *rest = text.split(" ")
-        spaced = self.spaced
-        return self.plain[first] + b"".join([spaced[w] for w in rest])
+        words, spaced = text.split(" "), self.spaced
+        out = [spaced[w] for w in words]
+        out[0] = self.plain[words[0]]
+        return b"".join(out)
 
 
 _encoders: dict[str, WordEncoder] = {}
