@@ -91,9 +91,17 @@ class Vocabulary:
 class TrieViterbi:
     """Segments sorted words, reusing the forward states of common prefixes."""
 
-    def __init__(self, vocabulary: Vocabulary, pairs: int = 300_000) -> None:
-        self.v = vocabulary
+    def __init__(self, vocabulary: Vocabulary, pairs: int = 400_000) -> None:
+        self.v, ids = vocabulary, vocabulary.ids
+        self.code = {k: np.array([k], "<u4").tobytes() for k in ids.values()}
+        self.least = min(vocabulary.scores, default=0.0) - 10
         self.fits = Recent(pairs, self._fits)
+        # by a prefix's last two characters, the lengths of pieces that may end there, longest first
+        sizes: dict[str, set[int]] = {}
+        for p in ids:
+            if len(p) > 1:
+                sizes.setdefault(p[-2:], set()).add(len(p))
+        self.sizes = {k: (*sorted(v, reverse=True), 1) for k, v in sizes.items()}
 
     def _merged(self, text: str) -> list[str]:
         """Merge neighbouring parts, best-scored piece first, leftmost on ties."""
@@ -109,14 +117,22 @@ class TrieViterbi:
             parts[where : where + 2] = [parts[where] + parts[where + 1]]
         return parts
 
-    def _fits(self, pair: tuple[str, str]) -> bool:
-        return self._merged(pair[0] + pair[1]) == [p for p in pair if p]
-
-    def segment(self, words: list[str]) -> Iterator[tuple[str, list[int]]]:
-        """Each of the sorted distinct words with its ids."""
-        states: list[tuple[int, str, float]] = [(0, "", 0.0)]  # begin of the last piece, the piece, score sum
-        before = ""
-        step = self._merge_state if self.v.merges else self._best_state
+    def _fits(self, pair: int) -> bool:
+        """Whether merging keeps the boundary between two pieces; -1 stands for a word's or wall's edge."""
+        before, k = divmod(pair, len(self.v.pieces))
+        own = [self.v.pieces[k]] if before < 0 else [self.v.pieces[before], self.v.pieces[k]]
+        return self._merged("".join(own)) == own
+
+    def _other(self, char: str) -> bytes:
+        """Ids of a character that no piece holds."""
+        v = self.v
+        return np.array([v.bytes[b] for b in char.encode("utf-8", "surrogatepass")] if v.bytes else [v.unknown], "<u4").tobytes()
+
+    def segment(self, words: list[str]) -> Iterator[tuple[str, bytes]]:
+        """Each of the sorted distinct words with its ids as little-endian unsigned 32-bit bytes."""
+        step = self._merge_states if self.v.merges else self._best_states
+        code, before = self.code, ""
+        states: list[tuple[int, int, float]] = [(0, -1, 0.0)]  # where the last piece begins, its id or -1, score sum
         for word in words:
             same = 0
             for a, b in zip(before, word):
@@ -124,56 +140,52 @@ class TrieViterbi:
                     break
                 same += 1
             del states[same + 1 :]
-            for end in range(same + 1, len(word) + 1):
-                states.append(step(word, end, states))
-            before = word
-            pieces, at = [], len(word)
+            step(word, same + 1, states)
+            before, at, out = word, len(word), []
             while at:
-                begin, piece, _ = states[at]
-                pieces.append(piece)
+                begin, k, _ = states[at]
+                out.append(code[k] if k >= 0 else self._other(word[begin:at]))
                 at = begin
-            yield word, self._ids(reversed(pieces))
-
-    def _merge_state(self, word: str, end: int, states) -> tuple[int, str, float]:
-        ids, fits = self.v.ids, self.fits
-        for begin in range(max(0, end - self.v.longest), end):
-            piece = word[begin:end]
-            if (end - begin == 1 or piece in ids) and (not begin and self._merged_whole(piece) or begin and fits[states[begin][1], piece]):
-                return begin, piece, 0.0
-        raise ValueError(f"no piece ends {word[:end]!r}")
-
-    def _merged_whole(self, piece: str) -> bool:
-        return len(piece) == 1 or self.fits["", piece]
-
-    def _best_state(self, word: str, end: int, states) -> tuple[int, str, float]:
-        ids, scores, best = self.v.ids, self.v.scores, None
-        for begin in range(max(0, end - self.v.longest), end):
-            piece = word[begin:end]
-            k = ids.get(piece)
-            if k is None and end - begin > 1:
-                continue
-            total = states[begin][2] + (scores[k] if k is not None else min(scores) - 10)
-            if best is None or total > best[2]:
-                best = (begin, piece, total)
-        return best
-
-    def _ids(self, pieces) -> list[int]:
-        out = []
-        for p in pieces:
-            k = self.v.ids.get(p)
-            if k is not None:
-                out.append(k)
-            elif self.v.bytes:
-                out += [self.v.bytes[b] for b in p.encode("utf-8", "surrogatepass")]
+            out.reverse()
+            yield word, b"".join(out)
+
+    def _merge_states(self, word: str, first: int, states: list) -> None:
+        get, fits, sizes, n = self.v.ids.get, self.fits, self.sizes, len(self.v.pieces)
+        for end in range(first, len(word) + 1):
+            for size in sizes.get(word[end - 2 : end] if end > 1 else word[0], (1,)):
+                begin = end - size
+                if begin < 0:
+                    continue
+                k = get(word[begin:end])
+                if k is None:
+                    if size == 1:
+                        states.append((begin, -1, 0.0))
+                        break
+                elif fits[states[begin][1] * n + k]:
+                    states.append((begin, k, 0.0))
+                    break
             else:
-                out.append(self.v.unknown)
-        return out
+                raise ValueError(f"no piece ends {word[:end]!r}")
+
+    def _best_states(self, word: str, first: int, states: list) -> None:
+        ids, scores = self.v.ids, self.v.scores
+        for end in range(first, len(word) + 1):
+            best = None
+            for size in self.sizes.get(word[end - 2 : end] if end > 1 else word[0], (1,)):
+                begin = end - size
+                k = ids.get(word[begin:end]) if begin >= 0 else None
+                if begin < 0 or k is None and size > 1:
+                    continue
+                total = states[begin][2] + (self.least if k is None else scores[k])
+                if best is None or total > best[2]:
+                    best = (begin, -1 if k is None else k, total)
+            states.append(best)
 
 
 class PieceCodec:
     """Encodes batches of texts and decodes ids."""
 
-    def __init__(self, path: str, keep_words: int = 150_000) -> None:
+    def __init__(self, path: str, keep_words: int = 300_000) -> None:
         self.v = Vocabulary(path)
         self.trie = TrieViterbi(self.v)
         self.keep, self.known, self.older = keep_words, {}, {}
@@ -188,22 +200,24 @@ class PieceCodec:
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit bytes."""
-        cut = [_WORDS.findall(self.marked(t)) for t in texts]
         known, older = self.known, self.older
-        fresh = []
-        for word in set().union(*cut):
-            if word not in known:
-                if word in older:
-                    known[word] = older[word]
-                else:
-                    fresh.append(word)
-        for word, ids in self.trie.segment(sorted(fresh)):
-            known[word] = np.array(ids, "<u4").tobytes()
+        cut = [self._cut(t) for t in texts]
+        fresh = set().union(*cut).difference(known)
+        for word in [w for w in fresh if w in older]:
+            known[word] = older[word]
+            fresh.discard(word)
+        known.update(self.trie.segment(sorted(fresh)))
         out = [b"".join([known[w] for w in words]) for words in cut]
         if len(known) > self.keep:
             self.known, self.older = {}, known
         return out
 
+    def _cut(self, text: str) -> list[str]:
+        """Marked words; texts whose marks stand alone are cut by plain splitting."""
+        if self.v.squeeze or not self.v.prefix or not text or MARK in text or "  " in text or text[0] == " " or text[-1] == " ":
+            return _WORDS.findall(self.marked(text))
+        return (MARK + text.replace(" ", " " + MARK)).split(" ")
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; a mark that encoding put before the text is taken off."""
         table = self.by_id
