@@ -22,11 +22,9 @@ BUCKETS = 4096
 FIT_DOCS = 3_000
 #: Languages whose tables the model may hold; more are refused.
 MAX_LANGUAGES = 512
-#: Languages of a document's candidate sets.
-SET_SIZE = 3
-#: Languages that take part in a document's mixture, by their own likelihood.
-MIXED = 8
 EM_ROUNDS = 12
+#: How often the rounds over all languages are repeated, at most, while the likelihood is far from its greatest.
+EM_REPEATS = 25
 SMOOTHING = 0.5
 UNKNOWN = "und"
 
@@ -62,32 +60,55 @@ class Model:
     table: np.ndarray
 
     def infer(self, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """For each row the chosen languages' shares (zero outside the set), and its total count."""
-        single = counts @ np.log(self.table).T
-        keep = np.argsort(-single, axis=1)[:, :MIXED]
-        weights = np.zeros_like(single, np.float32)
-        np.put_along_axis(weights, keep, np.float32(1 / keep.shape[1]), axis=1)
+        """For each row the chosen languages' shares (zero outside the set), and its total count.
+
+        All languages take part. Sets grow by the languages' shares in the whole mixture until
+        no larger set can gain more than its penalty, by an upper bound on any mixture's likelihood.
+        """
         total = np.maximum(counts.sum(axis=1, keepdims=True), 1)
-        weights = self._em(counts, weights, total)
+        penalty = np.log(total[:, 0] + 1)
+        weights, bound = self._mixture(counts, total, penalty / 2)
         order = np.argsort(-weights, axis=1, kind="stable")
-        best = np.full(len(counts), -np.inf)
+        single = counts @ np.log(self.table).T
+        best = single.max(axis=1)
         chosen = np.zeros_like(weights)
-        for k in range(1, min(SET_SIZE, weights.shape[1]) + 1):
-            some = np.zeros_like(weights)
-            if k == 1:
-                pick = single.argmax(axis=1)[:, None]
-                np.put_along_axis(some, pick, np.float32(1), axis=1)
-                fitted, likelihood = some, np.take_along_axis(single, pick, axis=1)[:, 0]
-            else:
-                members = order[:, :k]
-                np.put_along_axis(some, members, np.take_along_axis(weights, members, axis=1), axis=1)
-                fitted = self._em(counts, some / np.maximum(some.sum(axis=1, keepdims=True), 1e-12), total, 6)
-                likelihood = np.einsum("ij,ij->i", counts, np.log(np.maximum(fitted @ self.table, 1e-12)))
-            value = likelihood - 0.5 * (2 * k - 2) * np.log(total[:, 0] + 1)
-            better = value > best
-            chosen[better], best[better] = fitted[better], value[better]
+        np.put_along_axis(chosen, single.argmax(axis=1)[:, None], np.float32(1), axis=1)
+        present = (weights > 0).sum(axis=1)
+        for k in range(2, weights.shape[1] + 1):
+            at = np.flatnonzero((present >= k) & (bound - (k - 1) * penalty > best))
+            if not len(at):
+                break
+            members, some = order[at, :k], np.zeros((len(at), weights.shape[1]), np.float32)
+            np.put_along_axis(some, members, np.take_along_axis(weights[at], members, axis=1), axis=1)
+            fitted = self._em(counts[at], some / np.maximum(some.sum(axis=1, keepdims=True), 1e-12), total[at])
+            value = self._likelihood(counts[at], fitted) - (k - 1) * penalty[at]
+            better = value > best[at]
+            chosen[at[better]], best[at[better]] = fitted[better], value[better]
         return chosen, total[:, 0]
 
+    def _mixture(self, counts, total, near) -> tuple[np.ndarray, np.ndarray]:
+        """Shares of all languages, and a bound that no mixture's likelihood exceeds.
+
+        No mixture is likelier by more than total * log(g), g being the greatest factor by
+        which a further round would raise a share; rounds go on while that is above ``near``.
+        """
+        weights = np.full((len(counts), len(self.table)), np.float32(1 / len(self.table)))
+        bound, at = np.empty(len(counts)), np.arange(len(counts))
+        for _ in range(EM_REPEATS):
+            some, size = counts[at], total[at]
+            weights[at] = self._em(some, weights[at], size)
+            mixed = np.maximum(weights[at] @ self.table, 1e-12)
+            gain = ((some / mixed) @ self.table.T / size).max(axis=1)
+            gap = size[:, 0] * np.log(np.maximum(gain, 1))
+            bound[at] = self._likelihood(some, weights[at]) + gap
+            at = at[gap > near[at]]
+            if not len(at):
+                break
+        return weights, bound
+
+    def _likelihood(self, counts, weights) -> np.ndarray:
+        return np.einsum("ij,ij->i", counts, np.log(np.maximum(weights @ self.table, 1e-12)))
+
     def _em(self, counts, weights, total, rounds: int = EM_ROUNDS) -> np.ndarray:
         for _ in range(rounds):
             mixed = np.maximum(weights @ self.table, 1e-12)
