@@ -1,4 +1,4 @@
-"""Licence scans: lines and paragraphs against licence templates by Dice over word bigrams.
+"""Licence scans: lines, paragraphs and word windows against licence templates by Dice over word bigrams.
 
 Both sides are lower-cased and reduced to words of letters, digits and inner points. With m
 and n distinct bigrams, Dice is 2 * common / (m + n), at most 2 * min(m, n) / (m + n); a
@@ -8,10 +8,15 @@ template whose size cannot reach the threshold is never compared.
 from __future__ import annotations
 
 import math
+import re
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from . import common
+
 THRESHOLD = 0.8
 
 # Licence identifiers and the wording of their notices.
@@ -33,7 +38,24 @@ TEMPLATES: dict[str, str] = {
     "proprietary": "All rights reserved.",
 }
 
+# Wordings that the tables do not hold and the SQL leaves out.
+MORE_TEMPLATES: dict[str, str] = {
+    "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
+    "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
+    "LGPL-text": "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version.",
+    "AGPL-3.0": "This work is licensed under the GNU Affero General Public License, version 3.",
+    "AGPL-text": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version.",
+    "Unlicense-text": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means.",
+    "Zlib-text": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions:",
+    "EPL-2.0-text": "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at",
+    "CC-BY-ND-4.0": "Licensed under CC BY-ND 4.0.",
+    "CC-BY-NC-SA-4.0": "Licensed under CC BY-NC-SA 4.0.",
+    "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
+}
+
 WORD = r"[\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)*"
+#: The same words for Python's re.
+_TOKEN = re.compile(r"[^\W_]+(?:\.[^\W_]+)*")
 
 
 def words(text: Column) -> Column:
@@ -56,16 +78,120 @@ def _templates(spark, templates: dict[str, str]) -> list[tuple[str, list[str]]]:
     return [(r["license"], r["b"]) for r in rows.select("license", bigrams(words(F.col("text"))).alias("b")).collect() if r["b"]]
 
 
+def _pairs_of(tokens: list[str]) -> list[str]:
+    return [f"{a} {b}" for a, b in zip(tokens, tokens[1:])]
+
+
+class _Windows:
+    """Licences inside lines and blocks: windows of words that reach the threshold.
+
+    A window grows by a template's own bigrams only, since a foreign one at its edge lowers Dice.
+    """
+
+    def __init__(self, templates: list[tuple[str, list[str]]], threshold: float) -> None:
+        self.known, self.threshold = {name: frozenset(pairs) for name, pairs in templates}, threshold
+        # A match has at least the share threshold / (2 - threshold) of a template's bigrams, so one of these.
+        self.anchors = frozenset(p for _, pairs in templates for p in sorted(pairs, key=lambda p: (-len(p), p))[: len(pairs) - self._need(len(pairs)) + 1])
+        self.first = frozenset(p.split(" ")[0] for p in self.anchors)
+
+    def _need(self, n: int) -> int:
+        return math.ceil(self.threshold / (2 - self.threshold) * n - 1e-9)
+
+    def _dice(self, pairs: set[str], known: frozenset[str]) -> float:
+        return 2 * len(pairs & known) / (len(pairs) + len(known))
+
+    def _unit(self, tokens: list[str]) -> tuple[str, int] | None:
+        """The licence of a whole line or block and its template's size."""
+        pairs = set(_pairs_of(tokens) or tokens)
+        best = min(((-self._dice(pairs, known), name, len(known)) for name, known in self.known.items()), default=(0, "", 0)) if pairs else (0, "", 0)
+        return best[1:] if -best[0] >= self.threshold else None
+
+    def find(self, text: str) -> list[tuple[int, str, float]]:
+        """First character, licence and dice of each window outside the lines and blocks that match whole."""
+        lowered = text.lower()
+        if self.first.isdisjoint(_TOKEN.findall(lowered)) or self.anchors.isdisjoint(_pairs_of(_TOKEN.findall(lowered))):
+            return []
+        text = re.sub("\r\n?", "\n", lowered)
+        taken, at = [], 0
+        for kind in (r"\n", r"\n[ \t]*\n"):
+            cuts = [(m.start(), m.end()) for m in re.finditer(kind, text)]
+            for a, b in zip([0, *(c[1] for c in cuts)], [*(c[0] for c in cuts), len(text)]):
+                unit = text[a:b]
+                if (kind == r"\n" or "\n" in unit) and (found := self._unit(_TOKEN.findall(unit))):
+                    words = [(m.group(), m.start() + a, m.end() + a) for m in _TOKEN.finditer(unit)]
+                    inner = min(self._hits(words, self.known[found[0]]), default=(0, 0, a, b))
+                    taken.append((a, b, *found, *inner[2:]))
+        found, block = [], []
+        for line in [*text.split("\n"), ""]:
+            tokens = [(m.group(), m.start() + at, m.end() + at) for m in _TOKEN.finditer(line)]
+            at += len(line) + 1
+            if tokens:
+                block += tokens
+            elif block:  # a line without words, such as a bare comment mark, ends a block
+                found += self._in_block(block, taken)
+                block = []
+        out, used = [], []
+        for less, short, name, a, b in sorted(found):
+            if all(b <= x or a >= y for x, y in used):
+                used.append((a, b))
+                out.append((a, name, -less))
+        return out
+
+    def _in_block(self, block: list[tuple[str, int, int]], taken: list[tuple]) -> list[tuple[float, int, str, int, int]]:
+        """Windows of a block; a whole unit keeps its own licence to itself, and the place of its notice unless a longer one surrounds it."""
+        found = []
+        for name, known in self.known.items():
+            for less, short, a, b in self._hits(block, known):
+                if all((b <= x or a >= y) if other == name else (b <= c or a >= d or (a <= c and d <= b and size < len(known))) for x, y, other, size, c, d in taken):
+                    found.append((less, short, name, a, b))
+        return found
+
+    def _hits(self, block: list[tuple[str, int, int]], known: frozenset[str]) -> Iterator[tuple[float, int, int, int]]:
+        """Negated dice and size, first and last character of the windows that reach the threshold."""
+        pairs = _pairs_of([w for w, _, _ in block])
+        at = [i for i, p in enumerate(pairs) if p in known]
+        need, most = self._need(len(known)), math.floor((2 - self.threshold) / self.threshold * len(known) + 1e-9)
+        for s in range(len(at) - need + 1):
+            if at[s + need - 1] - at[s] >= most:
+                continue
+            seen, last = set(), at[s]
+            for k in range(s, len(at)):
+                if at[k] - at[s] >= most:
+                    break
+                seen.update(pairs[last : at[k] + 1])
+                last = at[k] + 1
+                if (dice := self._dice(seen, known)) >= self.threshold:
+                    yield -dice, -len(seen), block[at[s]][1], block[at[k] + 1][2]
+
+
+def _windows(docs: DataFrame, templates: list[tuple[str, list[str]]], threshold: float) -> DataFrame:
+    """doc_id, place (negative, apart from lines and blocks), license and dice of windows inside lines and blocks."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        windows = _Windows(templates, threshold)
+        for batch in batches:
+            rows = [(i, *w) for i, text in enumerate(common.texts_of(batch)) for w in windows.find(text)]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())), pa.array([-1 - r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.float64())],
+                names=["doc_id", "place", "license", "dice"],
+            )
+
+    return common.map_arrow(docs.select("doc_id", "text"), f"doc_id {kind}, place int, license string, dice double", found)
+
+
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, license, dice (best match, 6 digits) and n_units, for each licence a document shows.
 
-    Units are lines and paragraphs (runs of lines between empty ones); a unit's licence is its
-    best template at or above ``threshold``, ties to the first by name. Null and empty texts,
+    Units are lines and paragraphs (runs of lines between empty ones), and windows of words inside
+    them that no matching unit covers; a unit's licence is its best template at or above
+    ``threshold``, ties to the first by name. Null and empty texts,
     and documents without a licence, give no row; rows that repeat a doc_id and a unit count once.
     """
     spark = docs.sparkSession
+    known = _templates(spark, templates or TEMPLATES | MORE_TEMPLATES)
     least, most = threshold / (2 - threshold), (2 - threshold) / threshold
-    sized = [(n, name, pairs) for name, pairs in _templates(spark, templates or TEMPLATES) for n in range(math.ceil(least * len(pairs) - 1e-9), math.floor(most * len(pairs) + 1e-9) + 1)]
+    sized = [(n, name, pairs) for name, pairs in known for n in range(math.ceil(least * len(pairs) - 1e-9), math.floor(most * len(pairs) + 1e-9) + 1)]
     by_size = spark.createDataFrame(sized, "n int, license string, known array<string>")  # as many rows as the templates' sizes allow
     text = F.regexp_replace("text", "\r\n?", "\n")
     blocks = F.filter(F.split(text, r"\n[ \t]*\n"), lambda b: F.contains(b, F.lit("\n")))
@@ -73,6 +199,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     pairs = units.select("doc_id", "place", bigrams(words(F.col("unit"))).alias("pairs")).select("doc_id", "place", "pairs", F.coalesce(F.size("pairs"), F.lit(0)).alias("n"))
     dice = 2.0 * F.size(F.array_intersect("pairs", "known")) / (F.col("n") + F.size("known"))
     scored = pairs.join(F.broadcast(by_size), "n").select("doc_id", "place", "license", dice.alias("dice")).where(F.col("dice") >= threshold)
+    scored = scored.unionByName(_windows(docs.where(F.col("text").isNotNull()), known, threshold))
     best = scored.groupBy("doc_id", "place").agg(F.min(F.struct((-F.col("dice")).alias("less"), "license")).alias("b"))
     return best.groupBy("doc_id", F.col("b.license").alias("license")).agg(F.round(F.max(-F.col("b.less")), 6).alias("dice"), F.count("*").alias("n_units"))
 
