@@ -67,6 +67,39 @@ def _apart(a: Column, b: Column, segment: tuple[int, int, int] | None = None) ->
     return F.bit_count(_part(bits, segment) if segment else bits)
 
 
+def _segments(fp: Column) -> Column:
+    return F.array(*(F.struct(F.lit(i).alias("seg"), _part(fp, s).alias("key")) for i, s in enumerate(SEGMENTS)))
+
+
+def _balls(fp: Column) -> Column:
+    """All values within a segment's radius of the fingerprint's own, for each segment."""
+    return F.array(
+        *(
+            F.struct(F.lit(i).alias("seg"), _part(fp, s).bitwiseXOR(F.lit(flip).cast("long")).alias("key"))
+            for i, s in enumerate(SEGMENTS)
+            for flip in [0, *((1 << b for b in range(s[1])) if s[2] else ())]
+        )
+    )
+
+
+def star_pairs(nodes: DataFrame) -> DataFrame:
+    """Pairs (u, v) within ``DISTANCE`` bits, v having the smallest fingerprint of a segment's value that both share."""
+    fp = F.col("fp")
+    keyed = nodes.select("rep", "fp", F.explode(_segments(fp)).alias("k")).select("rep", "fp", "k.*")
+    heads = keyed.groupBy("seg", "key").agg(F.min(F.struct("fp", "rep")).alias("head"), F.count("*").alias("n")).where("n > 1")
+    near = keyed.join(heads, ["seg", "key"]).where((_apart(fp, F.col("head.fp")) <= DISTANCE) & (fp != F.col("head.fp")))
+    return near.select(F.col("rep").alias("u"), F.col("head.rep").alias("v")).distinct()
+
+
+def ball_pairs(grouped: DataFrame) -> DataFrame:
+    """Pairs (u, v) of two groups within ``DISTANCE`` bits, with their groups; a pair may come more than once."""
+    fp, a, b = F.col("fp"), F.col("fp_u"), F.col("fp_v")
+    near = grouped.select("rep", "fp", "group", F.explode(_balls(fp)).alias("k")).select(F.col("rep").alias("u"), F.col("fp").alias("fp_u"), F.col("group").alias("group_u"), "k.*")
+    held = grouped.select("rep", "fp", "group", F.explode(_segments(fp)).alias("k")).select(F.col("rep").alias("v"), F.col("fp").alias("fp_v"), F.col("group").alias("group_v"), "k.*")
+    met = (near["seg"] == held["seg"]) & (near["key"] == held["key"]) & (a < b) & (F.col("group_u") != F.col("group_v")) & (_apart(a, b) <= DISTANCE)
+    return near.join(held, met).select("u", "v", "group_u", "group_v")
+
+
 def links(nodes: DataFrame) -> DataFrame:
     """Pairs (u, v) of representatives whose fingerprints lie within ``DISTANCE`` bits.
 
@@ -76,30 +109,10 @@ def links(nodes: DataFrame) -> DataFrame:
     then leaves out pairs inside one star, so a group of n copies costs far fewer than n * n
     links, and every group that any pair connects stays connected.
     """
-    fp = F.col("fp")
-    keyed = nodes.select("rep", "fp", F.explode(F.array(*(F.struct(F.lit(i).alias("seg"), _part(fp, s).alias("key")) for i, s in enumerate(SEGMENTS)))).alias("k")).select("rep", "fp", "k.*")
-    heads = keyed.groupBy("seg", "key").agg(F.min(F.struct("fp", "rep")).alias("head"), F.count("*").alias("n")).where("n > 1")
-    stars = (
-        keyed.join(heads, ["seg", "key"])
-        .where((_apart(fp, F.col("head.fp")) <= DISTANCE) & (fp != F.col("head.fp")))
-        .select(F.col("rep").alias("u"), F.col("head.rep").alias("v"))
-    )
-    stars = common.stored(stars.distinct(), "stars")
+    stars = common.stored(star_pairs(nodes), "stars")
     part = components(stars).select(F.col("node").alias("rep"), F.col("component").alias("group"))
     grouped = common.stored(nodes.join(part, "rep", "left").select("rep", "fp", F.coalesce("group", "rep").alias("group")), "groups")
-
-    ball = [
-        F.struct(F.lit(i).alias("seg"), _part(fp, s).bitwiseXOR(F.lit(flip).cast("long")).alias("key"))
-        for i, s in enumerate(SEGMENTS)
-        for flip in [0, *((1 << b for b in range(s[1])) if s[2] else ())]
-    ]
-    near = grouped.select("rep", "fp", "group", F.explode(F.array(*ball)).alias("k")).select(F.col("rep").alias("u"), F.col("fp").alias("fp_u"), F.col("group").alias("group_u"), "k.*")
-    held = grouped.select("rep", "fp", "group", F.explode(F.array(*(F.struct(F.lit(i).alias("seg"), _part(fp, s).alias("key")) for i, s in enumerate(SEGMENTS)))).alias("k")).select(F.col("rep").alias("v"), F.col("fp").alias("fp_v"), F.col("group").alias("group_v"), "k.*")
-    a, b = F.col("fp_u"), F.col("fp_v")
-    found = near.join(
-        held,
-        (near["seg"] == held["seg"]) & (near["key"] == held["key"]) & (a < b) & (F.col("group_u") != F.col("group_v")) & (_apart(a, b) <= DISTANCE),
-    ).select(F.col("group_u").alias("u"), F.col("group_v").alias("v"))
+    found = ball_pairs(grouped).select(F.col("group_u").alias("u"), F.col("group_v").alias("v"))
     return stars.unionByName(found.distinct())
 
 
@@ -122,12 +135,13 @@ def near_duplicates(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
 
 def one_of_each(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """One document of each near-duplicate group, the smallest doc_id, with all its columns.
+    """The documents with the smallest doc_id of each near-duplicate group, with all their columns.
 
-    Of rows that repeat that doc_id one stays. Rows without a doc_id stay as they are.
+    Of rows that repeat both that doc_id and the text one stays. Rows without a doc_id stay as they are.
     """
     groups = near_duplicates(docs, text_col)
-    kept = common.stored(groups.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct(), "kept")
-    named = docs.where(F.col("doc_id").isNotNull())
-    stay = named.join(kept, named["doc_id"] == kept["__kept"], "left_semi").dropDuplicates(["doc_id"])
-    return stay.unionByName(docs.where(F.col("doc_id").isNull()))
+    kept = common.stored(groups.where("doc_id = component_id").select(F.col("doc_id").alias("kept_id")).distinct(), "kept")
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col("doc_id").alias("id"), F.col(text_col).alias("text"))
+    named = rows.where(F.col("id").isNotNull())
+    stay = named.join(kept, named["id"] == kept["kept_id"], "left_semi").dropDuplicates(["id", "text"])
+    return stay.unionByName(rows.where(F.col("id").isNull())).select("row.*")
