@@ -3,20 +3,25 @@
 A byte-level BPE splits a text into pre-tokens before it merges anything, and no pre-token
 reaches from a non-space character into white space that follows it. So a text may be cut
 before each white-space run and the cuts' ids concatenated; frequent words are then encoded
-once per task instead of once per occurrence.
+once per task instead of once per occurrence. Line feeds that are pre-tokens of their own cut
+a text likewise.
 """
 
 from __future__ import annotations
 
 import re
-import sys
-from array import array
 
 import numpy as np
 from tokenizers import Tokenizer
 
-_WS = "\t-\r \x85\xa0  -     　"
-_AFTER_SPACE = re.compile(f"[{_WS}] ")
+#: White space other than spaces and line feeds.
+_ODD = "\t\v-\r\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
+_WS = "\n " + _ODD
+#: White space that does not fall apart into single characters: before a space, three in a row, or two that end a text.
+_RUNS = re.compile(f"[{_WS}](?: |[{_WS}][{_WS}]|[{_WS}]\\Z)")
+_ODD_SPACE = re.compile(f"[{_ODD}]")
+#: Texts whose pre-tokens show that a line feed stands apart, alone or beside one other white space.
+_FEEDS = ("a\nb", "a.\nb", "a\n.b", "a\n\nb", "a \nb", "1\n2", "é\nÉ")
 #: A word whose pre-tokens are plain to see: letters, then marks other than an apostrophe.
 _SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-&(-/:-@[-`{-~]*)")
 _CHUNKS = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
@@ -55,6 +60,8 @@ class WordEncoder:
         # how the pre-tokenizer writes each byte; a space before a word is part of its pre-token
         self.marks = {ord(c): self._mark(c) for c in map(chr, range(33, 256)) if c not in "\x7f\x80" and self.direct}
         self.space = self._mark(" .")[:-1] if self.direct else ""
+        self.feed = self._feed() if self.direct else ""
+        self.code = [k.to_bytes(4, "little") for k in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
         self.piece = Recent(cache_words, self._piece)
         self.spaced = Recent(cache_words, self._spaced)
         self.plain = Recent(cache_words // 8, self._chunk)
@@ -62,11 +69,14 @@ class WordEncoder:
     def _mark(self, text: str) -> str:
         return "".join(p for p, _ in self.pre.pre_tokenize_str(text))
 
+    def _feed(self) -> str:
+        """The line feed's own pre-token, or nothing where the pre-tokenizer joins it to what surrounds it."""
+        feed = self._mark("\n")
+        apart = all([p for p, _ in self.pre.pre_tokenize_str(t)].count(feed) == t.count("\n") for t in _FEEDS)
+        return feed if apart else ""
+
     def _piece(self, piece: str) -> bytes:
-        ids = array("I", [t.id for t in self.model.tokenize(piece)])
-        if sys.byteorder == "big":
-            ids.byteswap()
-        return ids.tobytes()
+        return b"".join([self.code[t.id] for t in self.model.tokenize(piece)])
 
     def _chunk(self, chunk: str) -> bytes:
         if not chunk:
@@ -77,23 +87,41 @@ class WordEncoder:
         return b"".join([get(p) for p, _ in self.pre.pre_tokenize_str(chunk)])
 
     def _spaced(self, word: str) -> bytes:
+        """Ids of a word after a space, or of a line's first word after its line feed."""
+        if word[:1] == "\n":
+            return self.piece[self.feed] + self._word(word[1:], "") if len(word) > 1 else self.piece[self.feed]
+        return self._word(word, " ")
+
+    def _word(self, word: str, before: str) -> bytes:
+        if self.easy and word.isalpha() and word.isascii():
+            return self.piece[self.space + word if before else word]
         m = _SIMPLE.fullmatch(word)
         if not m or not word or not self.easy:
-            return self._chunk(" " + word)
+            return self._chunk(before + word)
         letters, marks = m.groups()
+        space = self.space if before else ""
         if not letters:
-            return self.piece[self.space + marks]
-        head = self.piece[self.space + (letters if letters.isascii() else letters.translate(self.marks))]
+            return self.piece[space + marks]
+        head = self.piece[space + (letters if letters.isascii() else letters.translate(self.marks))]
         return head + self.piece[marks] if marks else head
 
+    def _whole_runs(self, text: str) -> bool:
+        """Whether white space must be encoded together with what surrounds it."""
+        if any(map(text.__contains__, "\t\v\f\r")) if text.isascii() else _ODD_SPACE.search(text):
+            return _RUNS.search(text) is not None
+        return "  " in text or "\n " in text or "\n\n\n" in text or " \n\n" in text or text.endswith(("\n\n", " \n"))
+
     def encode(self, text: str) -> bytes:
         if not text:
             return b""
-        if _AFTER_SPACE.search(text) or any(" " in s and s in text for s in self.specials):
+        if self._whole_runs(text) or any(s in text for s in self.specials):
             return b"".join([self.plain[c] for c in _CHUNKS.findall(text)])
-        words, spaced = text.split(" "), self.spaced
-        out = [spaced[w] for w in words]
-        out[0] = self.plain[words[0]]
+        words, spaced = (text.replace("\n", " \n") if self.feed else text).split(" "), self.spaced
+        out = list(map(spaced.get, words))
+        out[0] = self.plain[words[0]]  # the text's first word has no space before it
+        if None in out:
+            for i in [i for i, ids in enumerate(out) if ids is None]:
+                out[i] = spaced[words[i]]
         return b"".join(out)
 
 
