@@ -2,7 +2,7 @@
 
 Each document's hashed byte-gram vector is projected to three dimensions; the Hilbert key of
 that point orders the corpus, so that documents with like wording are packed next to each
-other. The corpus is range-partitioned by key and each task cuts its stretch of the curve
+other. The curve is cut into ranges of like size and each task cuts its range
 into full sequences. What is left at the end of a stretch is cut into sequences whose lengths
 are powers of two, which need no padding.
 """
@@ -23,6 +23,11 @@ from .wordbpe import encoder
 
 DIMS, ORDER = 3, 16
 BUCKETS = 512
+#: Bytes of text of one range of the curve, which one task packs; more where there would be more than so many ranges.
+RANGE_BYTES, MOST_RANGES = 16 << 20, 100_000
+#: Documents that say where ranges are cut: for each range, and in all. It sets the tasks' sizes, and what is packed together only at their ends.
+RANGE_SAMPLE, SAMPLE_ROWS = 100, 200_000
+_NULL_ID = -(1 << 63)
 #: Sequences of one task are numbered from its partition's number times this.
 SEQUENCES = 1 << 40
 
@@ -77,16 +82,42 @@ def curve_keys(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
 
 def with_curve_key(docs: DataFrame, key: str = "curve_key") -> DataFrame:
     """doc_id, text and the document's place on the curve; a null text counts as empty."""
+    return _keyed(docs, np.zeros((0, 2), np.int64), key).drop("range")
+
+
+def _plain(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+
+
+def _keyed(docs: DataFrame, cuts: np.ndarray, key: str) -> DataFrame:
+    """doc_id, text, key and range: how many of the ``cuts`` (key, doc_id) a row does not come before."""
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(curve_keys(*common.utf8_parts(batch.column(1))))],
-                names=["doc_id", "text", key],
-            )
-
-    columns = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    return common.map_arrow(columns, f"doc_id long, text string, {key} long", keyed)
+            keys = curve_keys(*common.utf8_parts(batch.column(1)))
+            low, high = (np.searchsorted(cuts[:, 0], keys, side) for side in ("left", "right"))
+            if (low != high).any():  # copies of one text share a key: ids tell them apart
+                ids = np.array([_NULL_ID if i is None else i for i in batch.column(0).to_pylist()], np.int64)
+                for r in np.flatnonzero(low != high):
+                    low[r] += np.searchsorted(cuts[low[r] : high[r], 1], ids[r], "right")
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(keys), pa.array(low.astype(np.int32))], names=["doc_id", "text", key, "range"])
+
+    return common.map_arrow(_plain(docs), f"doc_id long, text string, {key} long, range int", keyed)
+
+
+def curve_cuts(docs: DataFrame) -> np.ndarray:
+    """Places (key, doc_id) that cut the curve into ranges of about equal bytes, from a bounded sample of documents."""
+    row = _plain(docs).agg(F.count("*").alias("n"), F.sum(F.octet_length("text").cast("long") + 1).alias("bytes")).first()
+    ranges = -(-(row["bytes"] or 0) // max(RANGE_BYTES, (row["bytes"] or 0) // MOST_RANGES))
+    if ranges < 2:
+        return np.zeros((0, 2), np.int64)
+    share = min(1.0, min(SAMPLE_ROWS, ranges * RANGE_SAMPLE) / row["n"])
+    some = docs if share == 1 else docs.sample(fraction=share, seed=7)
+    rows = with_curve_key(some).select("curve_key", F.coalesce("doc_id", F.lit(_NULL_ID)).alias("doc_id"), F.octet_length("text").alias("bytes")).toPandas()
+    rows = rows.sort_values(["curve_key", "doc_id"], ignore_index=True)
+    filled = rows["bytes"].cumsum() / max(1, rows["bytes"].sum())
+    at = np.searchsorted(filled, np.arange(1, ranges) / ranges)
+    return rows.loc[np.unique(at[at < len(rows)]), ["curve_key", "doc_id"]].to_numpy(np.int64)
 
 
 def powers_of_two(n: int) -> list[int]:
@@ -157,6 +188,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 1, size: int = 2048) ->
         if rows:
             yield batch_of(rows)
 
-    key = "curve_key"
-    ordered = with_curve_key(docs, key).repartitionByRange(key, "doc_id").sortWithinPartitions(key, "doc_id", "text")
+    key, cuts = "curve_key", curve_cuts(docs)
+    ranged = _keyed(docs, cuts, key).repartitionById(len(cuts) + 1, F.col("range"))
+    ordered = ranged.sortWithinPartitions(key, "doc_id", "text")
     return common.map_arrow(ordered.select("doc_id", "text"), PIECES, cut)

@@ -27,22 +27,16 @@ _SIMPLE = re.compile("([A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]*)([!-&(-/
 _CHUNKS = re.compile(f"[{_WS}]*[^{_WS}]+|[{_WS}]+")
 
 
-class Recent(dict):
-    """A mapping of two generations: the older one is dropped when the younger is full."""
+class Recent:
+    """A cache of two generations: the older one is dropped when the younger is full."""
 
-    def __init__(self, limit: int, make) -> None:
-        super().__init__()
-        self.limit, self.make, self.old = limit, make, {}
+    def __init__(self, limit: int) -> None:
+        self.limit, self.new, self.old = limit, {}, {}
 
-    def __missing__(self, key):
-        value = self.old.get(key)
-        if value is None:
-            value = self.make(key)
-        if len(self) >= self.limit:
-            self.old = dict(self)
-            self.clear()
-        self[key] = value
-        return value
+    def put(self, key, value) -> None:
+        if len(self.new) >= self.limit:
+            self.old, self.new = self.new, {}
+        self.new[key] = value
 
 
 class WordEncoder:
@@ -51,7 +45,7 @@ class WordEncoder:
     ``cache_words`` bounds each generation of each cache; it changes speed only.
     """
 
-    def __init__(self, path: str, cache_words: int = 350_000) -> None:
+    def __init__(self, path: str, cache_words: int = 250_000) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.specials = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()]
         self.model, self.pre = self.tokenizer.model, self.tokenizer.pre_tokenizer
@@ -62,9 +56,7 @@ class WordEncoder:
         self.space = self._mark(" .")[:-1] if self.direct else ""
         self.feed = self._feed() if self.direct else ""
         self.code = [k.to_bytes(4, "little") for k in range(self.tokenizer.get_vocab_size(with_added_tokens=True))]
-        self.piece = Recent(cache_words, self._piece)
-        self.spaced = Recent(cache_words, self._spaced)
-        self.plain = Recent(cache_words // 8, self._chunk)
+        self.pieces, self.words, self.chunks = Recent(cache_words), Recent(cache_words), Recent(cache_words // 8)
 
     def _mark(self, text: str) -> str:
         return "".join(p for p, _ in self.pre.pre_tokenize_str(text))
@@ -76,34 +68,53 @@ class WordEncoder:
         return feed if apart else ""
 
     def _piece(self, piece: str) -> bytes:
-        return b"".join([self.code[t.id] for t in self.model.tokenize(piece)])
+        """Ids of one pre-token."""
+        held = self.pieces
+        ids = held.new.get(piece)
+        if ids is None:
+            ids = held.old.get(piece)
+            if ids is None:
+                code = self.code
+                ids = b"".join([code[t.id] for t in self.model.tokenize(piece)])
+            held.put(piece, ids)
+        return ids
 
     def _chunk(self, chunk: str) -> bytes:
-        if not chunk:
-            return b""
-        if not self.direct or any(s in chunk for s in self.specials):
-            return np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
-        get = self.piece.__getitem__
-        return b"".join([get(p) for p, _ in self.pre.pre_tokenize_str(chunk)])
-
-    def _spaced(self, word: str) -> bytes:
+        """Ids of a stretch of text that pre-tokenizing alone cuts up."""
+        held = self.chunks
+        ids = held.new.get(chunk)
+        if ids is None:
+            if not chunk:
+                ids = b""
+            elif not self.direct or any(s in chunk for s in self.specials):
+                ids = np.array(self.tokenizer.encode(chunk, add_special_tokens=False).ids, "<u4").tobytes()
+            else:
+                ids = b"".join([self._piece(p) for p, _ in self.pre.pre_tokenize_str(chunk)])
+            held.put(chunk, ids)
+        return ids
+
+    def _word(self, word: str) -> bytes:
         """Ids of a word after a space, or of a line's first word after its line feed."""
+        ids = self.words.old.get(word)
+        if ids is not None:
+            return ids
+        head, before, space = b"", " ", self.space
         if word[:1] == "\n":
-            return self.piece[self.feed] + self._word(word[1:], "") if len(word) > 1 else self.piece[self.feed]
-        return self._word(word, " ")
-
-    def _word(self, word: str, before: str) -> bytes:
-        if self.easy and word.isalpha() and word.isascii():
-            return self.piece[self.space + word if before else word]
+            head, before, space, word = self._piece(self.feed), "", "", word[1:]
+            if not word:
+                return head
+        if not self.easy:
+            return head + self._chunk(before + word)
+        if word.isascii() and word.isalpha():
+            return head + self._piece(space + word)
         m = _SIMPLE.fullmatch(word)
-        if not m or not word or not self.easy:
-            return self._chunk(before + word)
+        if not m or not word:
+            return head + self._chunk(before + word)
         letters, marks = m.groups()
-        space = self.space if before else ""
         if not letters:
-            return self.piece[space + marks]
-        head = self.piece[space + (letters if letters.isascii() else letters.translate(self.marks))]
-        return head + self.piece[marks] if marks else head
+            return head + self._piece(space + marks)
+        ids = self._piece(space + (letters if letters.isascii() else letters.translate(self.marks)))
+        return head + ids + self._piece(marks) if marks else head + ids
 
     def _whole_runs(self, text: str) -> bool:
         """Whether white space must be encoded together with what surrounds it."""
@@ -115,13 +126,18 @@ class WordEncoder:
         if not text:
             return b""
         if self._whole_runs(text) or any(s in text for s in self.specials):
-            return b"".join([self.plain[c] for c in _CHUNKS.findall(text)])
-        words, spaced = (text.replace("\n", " \n") if self.feed else text).split(" "), self.spaced
-        out = list(map(spaced.get, words))
-        out[0] = self.plain[words[0]]  # the text's first word has no space before it
+            return b"".join(map(self._chunk, _CHUNKS.findall(text)))
+        words, held = (text.replace("\n", " \n") if self.feed else text).split(" "), self.words
+        out = list(map(held.new.get, words))
+        out[0] = self._chunk(words[0])  # the text's first word has no space before it
         if None in out:
             for i in [i for i, ids in enumerate(out) if ids is None]:
-                out[i] = spaced[words[i]]
+                word = words[i]
+                ids = held.new.get(word)
+                if ids is None:
+                    ids = self._word(word)
+                    held.put(word, ids)
+                out[i] = ids
         return b"".join(out)
 
 
