@@ -53,13 +53,15 @@ def delete_dir(spark: SparkSession, path: str) -> None:
 
 
 def write_blob(path: str, name: str, blob: bytes) -> None:
-    """Store one file whole: written under another name, then moved, so a rerun is harmless."""
+    """Store one file whole: written under another name, then moved. A file that a run before left is replaced."""
     fs, root = pafs.FileSystem.from_uri(path)
     fs.create_dir(root, recursive=True)
-    part = f"{root}/_{name}.{uuid.uuid4().hex}"
+    part, whole = f"{root}/_{name}.{uuid.uuid4().hex}", f"{root}/{name}"
     with fs.open_output_stream(part) as out:
         out.write(blob)
-    fs.move(part, f"{root}/{name}")
+    if fs.get_file_info(whole).type != pafs.FileType.NotFound:
+        fs.delete_file(whole)  # not every file system moves onto a file
+    fs.move(part, whole)
 
 
 def map_arrow(

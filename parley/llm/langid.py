@@ -20,8 +20,6 @@ from . import common
 BUCKETS = 4096
 #: Labelled documents of a language that the model is fitted on: those with the smallest hashes.
 FIT_DOCS = 3_000
-#: Languages whose tables the model may hold; more are refused.
-MAX_LANGUAGES = 512
 EM_ROUNDS = 12
 #: How often the rounds over all languages are repeated, at most, while the likelihood is far from its greatest.
 EM_REPEATS = 25
@@ -124,11 +122,13 @@ def fit(docs: DataFrame, where: Column | None = None, fit_docs: int = FIT_DOCS)
     """
     known = docs.where("text is not null and lang is not null")
     known = known.where(where) if where is not None else known
-    order = Window.partitionBy("lang").orderBy(F.xxhash64(F.col("doc_id").cast("string")), F.col("doc_id"))
-    ids = known.select("doc_id", "lang").withColumn("k", F.row_number().over(order)).where(F.col("k") <= fit_docs)
-    if (langs := ids.agg(F.count_distinct("lang")).first()[0]) > MAX_LANGUAGES:
-        raise ValueError(f"{langs} languages; the model holds at most {MAX_LANGUAGES}")
-    sample = known.select("doc_id", "lang", "text").join(F.broadcast(ids.select("doc_id").distinct()), "doc_id").select("lang", "text")
+    known = known.select("lang", "text", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text").alias("hash"))
+    # a language's share of hashes that holds twice as many rows as are taken: no window meets all of a common language
+    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
+    below = F.when(F.col("n") <= 4 * fit_docs, 1.0).otherwise(2.0 * fit_docs / F.col("n"))
+    low = known.join(counts.select("lang", below.alias("share")), "lang").where(F.col("hash") / float(1 << 64) + 0.5 <= F.col("share"))
+    order = Window.partitionBy("lang").orderBy("hash", "text")
+    sample = low.select("lang", "text", F.row_number().over(order).alias("k")).where(F.col("k") <= fit_docs).select("lang", "text")
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[str, np.ndarray] = {}
@@ -168,19 +168,19 @@ def predict_batch(model: Model, texts: list[str]) -> list[tuple[str, float, list
 
 
 def with_language(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """All columns, and __lang, __score, __languages; nulls and texts without letters are ``und``."""
+    """row (a struct of all columns), lang, score and languages; nulls and texts without letters are ``und``."""
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kind = pa.list_(pa.struct([("lang", pa.string()), ("share", pa.float64())]))
         for batch in batches:
-            got = predict_batch(model, common.texts_of(batch, text_col))
+            got = predict_batch(model, common.texts_of(batch))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([[{"lang": a, "share": b} for a, b in g[2]] for g in got], kind)],
-                names=[*batch.schema.names, "__lang", "__score", "__languages"],
+                [batch.column("row"), pa.array([g[0] for g in got], pa.string()), pa.array([g[1] for g in got], pa.float64()), pa.array([[{"lang": a, "share": b} for a, b in g[2]] for g in got], kind)],
+                names=["row", "lang", "score", "languages"],
             )
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return common.map_arrow(docs, f"{fields}, __lang string, __score double, __languages array<struct<lang:string,share:double>>", predicted)
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text_col).alias("text"))
+    return common.map_arrow(rows, f"row {rows.schema['row'].dataType.simpleString()}, lang string, score double, languages array<struct<lang:string,share:double>>", predicted)
 
 
 def identify(docs: DataFrame) -> DataFrame:
@@ -195,7 +195,7 @@ def identify(docs: DataFrame) -> DataFrame:
     if model is None:
         empty = F.array().cast("array<struct<lang:string,share:double>>")
         return base.select("doc_id", "held_out", F.lit(UNKNOWN).alias("lang_pred"), F.lit(0.0).alias("score"), empty.alias("languages"))
-    return with_language(base, model).select("doc_id", "held_out", F.col("__lang").alias("lang_pred"), F.col("__score").alias("score"), F.col("__languages").alias("languages"))
+    return with_language(base, model).select("row.doc_id", "row.held_out", F.col("lang").alias("lang_pred"), "score", "languages")
 
 
 def keep_known(docs: DataFrame, least_share: float = 0.5) -> DataFrame:
@@ -203,4 +203,4 @@ def keep_known(docs: DataFrame, least_share: float = 0.5) -> DataFrame:
     model = fit(docs)
     if model is None:
         return docs
-    return with_language(docs, model).where((F.col("__lang") != UNKNOWN) & (F.col("__score") >= least_share)).select(*docs.columns)
+    return with_language(docs, model).where((F.col("lang") != UNKNOWN) & (F.col("score") >= least_share)).select("row.*")

@@ -164,20 +164,38 @@ class _Windows:
                     yield -dice, -len(seen), block[at[s]][1], block[at[k] + 1][2]
 
 
+def needed_words(templates: list[tuple[str, list[str]]], threshold: float) -> list[str]:
+    """Words of which every match of any template holds one: too few bigrams are left without them.
+
+    A match has at least the share threshold / (2 - threshold) of a template's bigrams. Words are
+    taken where they touch most bigrams, longer ones first, those of other templates before new ones.
+    """
+    chosen: list[str] = []
+    for _, pairs in sorted(templates, key=lambda t: (len(t[1]), t[0])):
+        need = math.ceil(threshold / (2 - threshold) * len(pairs) - 1e-9)
+        left = [p.split(" ") for p in pairs if not set(p.split(" ")) & set(chosen)]
+        while len(left) >= need:
+            words = sorted({w for p in left for w in p}, key=lambda w: (-min(len(w), 7), -sum(w in p for p in left), w))
+            chosen.append(words[0])
+            left = [p for p in left if words[0] not in p]
+    return chosen
+
+
 def _windows(docs: DataFrame, templates: list[tuple[str, list[str]]], threshold: float) -> DataFrame:
-    """doc_id, place (negative, apart from lines and blocks), license and dice of windows inside lines and blocks."""
+    """row, doc_id, place (negative, apart from lines and blocks), license and dice of windows inside lines and blocks."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = _Windows(templates, threshold)
         for batch in batches:
             rows = [(i, *w) for i, text in enumerate(common.texts_of(batch)) for w in windows.find(text)]
+            at = pa.array([r[0] for r in rows], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0).take(pa.array([r[0] for r in rows], pa.int64())), pa.array([-1 - r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.float64())],
-                names=["doc_id", "place", "license", "dice"],
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array([-1 - r[1] for r in rows], pa.int32()), pa.array([r[2] for r in rows], pa.string()), pa.array([r[3] for r in rows], pa.float64())],
+                names=["row", "doc_id", "place", "license", "dice"],
             )
 
-    return common.map_arrow(docs.select("doc_id", "text"), f"doc_id {kind}, place int, license string, dice double", found)
+    return common.map_arrow(docs.select("row", "doc_id", "text"), f"row long, doc_id {kind}, place int, license string, dice double", found)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
@@ -186,21 +204,25 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     Units are lines and paragraphs (runs of lines between empty ones), and windows of words inside
     them that no matching unit covers; a unit's licence is its best template at or above
     ``threshold``, ties to the first by name. Null and empty texts,
-    and documents without a licence, give no row; rows that repeat a doc_id and a unit count once.
+    and documents without a licence, give no row. Every row's units count, those of rows that share
+    a doc_id, or have none, together. Texts without a word that every match needs are left out first.
     """
     spark = docs.sparkSession
     known = _templates(spark, templates or TEMPLATES | MORE_TEMPLATES)
     least, most = threshold / (2 - threshold), (2 - threshold) / threshold
     sized = [(n, name, pairs) for name, pairs in known for n in range(math.ceil(least * len(pairs) - 1e-9), math.floor(most * len(pairs) + 1e-9) + 1)]
     by_size = spark.createDataFrame(sized, "n int, license string, known array<string>")  # as many rows as the templates' sizes allow
+    lowered = F.lower("text")
+    docs = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))  # tells apart the units of rows with one id
+    docs = docs.where(F.greatest(*(lowered.contains(w) for w in needed_words(known, threshold)), F.lit(False)))
     text = F.regexp_replace("text", "\r\n?", "\n")
     blocks = F.filter(F.split(text, r"\n[ \t]*\n"), lambda b: F.contains(b, F.lit("\n")))
-    units = docs.where(F.col("text").isNotNull()).select("doc_id", F.posexplode(F.concat(F.split(text, "\n"), blocks)).alias("place", "unit"))
-    pairs = units.select("doc_id", "place", bigrams(words(F.col("unit"))).alias("pairs")).select("doc_id", "place", "pairs", F.coalesce(F.size("pairs"), F.lit(0)).alias("n"))
+    units = docs.select("row", "doc_id", F.posexplode(F.concat(F.split(text, "\n"), blocks)).alias("place", "unit"))
+    pairs = units.select("row", "doc_id", "place", bigrams(words(F.col("unit"))).alias("pairs")).select("row", "doc_id", "place", "pairs", F.coalesce(F.size("pairs"), F.lit(0)).alias("n"))
     dice = 2.0 * F.size(F.array_intersect("pairs", "known")) / (F.col("n") + F.size("known"))
-    scored = pairs.join(F.broadcast(by_size), "n").select("doc_id", "place", "license", dice.alias("dice")).where(F.col("dice") >= threshold)
-    scored = scored.unionByName(_windows(docs.where(F.col("text").isNotNull()), known, threshold))
-    best = scored.groupBy("doc_id", "place").agg(F.min(F.struct((-F.col("dice")).alias("less"), "license")).alias("b"))
+    scored = pairs.join(F.broadcast(by_size), "n").select("row", "doc_id", "place", "license", dice.alias("dice")).where(F.col("dice") >= threshold)
+    scored = scored.unionByName(_windows(docs, known, threshold))
+    best = scored.groupBy("row", "doc_id", "place").agg(F.min(F.struct((-F.col("dice")).alias("less"), "license")).alias("b"))
     return best.groupBy("doc_id", F.col("b.license").alias("license")).agg(F.round(F.max(-F.col("b.less")), 6).alias("dice"), F.count("*").alias("n_units"))
 
 

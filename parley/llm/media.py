@@ -13,6 +13,7 @@ import hashlib
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +24,8 @@ from . import common
 
 PACKET, SYNC = 188, 0x47
 PAT_PID, PMT_PID, DATA_PID, PROGRAM = 0, 0x1000, 0x100, 1
+#: A program of private data alone has no clock reference: its map names the null PID for it.
+NO_PCR = 0x1FFF
 PRIVATE_PES, PRIVATE_STREAM = 0x06, 0xBD  # stream type, stream id
 #: Payload bytes of an access unit, and ticks of the 90 kHz clock between units.
 UNIT, TICKS = 16_384, 3_600
@@ -64,7 +67,7 @@ def _table_packet(pid: int, section: bytes) -> bytes:
 
 
 _TABLES = _table_packet(PAT_PID, _section(0, 1, PROGRAM.to_bytes(2, "big") + (0xE000 | PMT_PID).to_bytes(2, "big"))) + _table_packet(
-    PMT_PID, _section(2, PROGRAM, (0xE000 | DATA_PID).to_bytes(2, "big") + b"\xf0\x00" + bytes([PRIVATE_PES]) + (0xE000 | DATA_PID).to_bytes(2, "big") + b"\xf0\x00")
+    PMT_PID, _section(2, PROGRAM, (0xE000 | NO_PCR).to_bytes(2, "big") + b"\xf0\x00" + bytes([PRIVATE_PES]) + (0xE000 | DATA_PID).to_bytes(2, "big") + b"\xf0\x00")
 )
 
 
@@ -120,6 +123,7 @@ class Stream:
     streams: dict[int, int]  # elementary PID to stream type
     continuity_errors: int
     packets: int
+    unit_at: list[int]  # first byte of each unit in the payload
 
 
 def _sections(packets: np.ndarray, body: np.ndarray) -> bytes:
@@ -144,8 +148,27 @@ def _sections(packets: np.ndarray, body: np.ndarray) -> bytes:
     raise ValueError("a program table is missing or cut off")
 
 
-def demux(stream: bytes) -> Stream:
-    """Read a transport stream of one program with one elementary stream."""
+def _continuity(p: np.ndarray, has_field: np.ndarray) -> tuple[np.ndarray, int]:
+    """Which of one PID's packets with a body to read, and how many breaks their counters show.
+
+    A packet may come twice in a row, whole and alike: the second is left out. A flagged
+    discontinuity is no break.
+    """
+    counters = p[:, 3].astype(np.int16) & 15
+    step = np.diff(counters, prepend=(counters[:1] - 1)) & 15
+    again = np.zeros(len(p), bool)
+    for k in np.flatnonzero(step == 0):
+        again[k] = k > 0 and not again[k - 1] and (p[k] == p[k - 1]).all()
+    flagged = has_field & (p[:, 4] > 0) & ((p[:, 5] & 0x80) != 0)
+    return ~again, int(((step != 1) & ~again & ~flagged).sum())
+
+
+def demux(stream: bytes, strict: bool = True) -> Stream:
+    """Read a transport stream of one program with one elementary stream.
+
+    A ``strict`` reader refuses streams whose continuity counters show lost packets; another one
+    counts the breaks and returns the units that it can still put together.
+    """
     if not stream or len(stream) % PACKET:
         raise ValueError("not a whole number of packets")
     p = np.frombuffer(stream, np.uint8).reshape(-1, PACKET)
@@ -164,12 +187,15 @@ def demux(stream: bytes) -> Stream:
         streams[int.from_bytes(pmt[i + 1 : i + 3], "big") & 0x1FFF] = pmt[i]
         i += 5 + (int.from_bytes(pmt[i + 3 : i + 5], "big") & 0xFFF)
 
-    errors = 0
+    errors, read = 0, has_body.copy()
     for k in [PAT_PID, pmt_pid, *streams]:
-        counters = p[(pid == k) & has_body, 3].astype(np.int16) & 15
-        errors += int(((np.diff(counters) & 15) != 1).sum())
-
-    own = np.flatnonzero((pid == next(iter(streams))) & has_body)
+        at = np.flatnonzero((pid == k) & has_body)
+        read[at], breaks = _continuity(p[at], has_field[at])
+        errors += breaks
+    own = np.flatnonzero((pid == next(iter(streams))) & read)
+    errors += len(own) > 0 and not p[own[0], 1] & 0x40  # the first packet left starts no unit
+    if errors and strict:
+        raise ValueError(f"continuity counters show {errors} breaks: packets are lost")
     q, at = p[own], body[own]
     kept = np.arange(PACKET) >= at[:, None]
     data, sizes = q[kept].tobytes(), PACKET - at
@@ -184,13 +210,16 @@ def demux(stream: bytes) -> Stream:
         length = int.from_bytes(pes[4:6], "big")
         unit = pes[9 + pes[8] : 6 + length if length else len(pes)]
         if length and len(pes) < 6 + length:
-            raise ValueError("a PES packet is cut off")
+            if strict:
+                raise ValueError("a PES packet is cut off")
+            continue
         if pes[7] & 0x80:
             b = pes[9:14]
             stamps.append((b[0] >> 1 & 7) << 30 | int.from_bytes(b[1:3], "big") >> 1 << 15 | int.from_bytes(b[3:5], "big") >> 1)
         access.append(bool(flags[first]))
         units.append(unit)
-    return Stream(b"".join(units), stamps, access, [len(u) for u in units], streams, errors, len(p))
+    sizes = [len(u) for u in units]
+    return Stream(b"".join(units), stamps, access, sizes, streams, errors, len(p), list(accumulate(sizes, initial=0))[:-1])
 
 
 def aligned(text: bytes) -> bytes:
@@ -212,21 +241,28 @@ def with_media(docs: DataFrame, text_col: str = "text", media_col: str = "media"
     return common.map_arrow(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text_col).alias("text")), f"doc_id long, n_bytes long, {media_col} binary", encode)
 
 
-FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, continuity_errors long, access_points long, first_pts long, last_pts long"
+FEATURES = "doc_id long, n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, continuity_errors long, access_points long, first_pts long, last_pts long, points array<struct<pts:bigint,byte:bigint>>"
 
 
 def media_features(media: DataFrame, media_col: str = "media") -> DataFrame:
-    """Features of stored transport streams, computed from the payload that is read back."""
+    """Features of stored transport streams, computed from the payload that is read back.
+
+    ``points`` holds the timestamp and first payload byte of each random-access point. A stream
+    with lost packets is refused.
+    """
 
     def describe(doc_id, n_bytes, raw: bytes) -> tuple:
         s = demux(raw)
+        if len(s.payload) != max(ALIGN, -(-n_bytes // ALIGN) * ALIGN):
+            raise ValueError(f"document {doc_id}: units are missing at the stream's end")
         used = np.frombuffer(s.payload, np.uint8)
         levels = np.bincount(used >> 5, minlength=8)
         text = f"packets={s.packets};units={len(s.unit_bytes)};access={sum(s.access)};streams={','.join(f'{k:#x}:{v:#x}' for k, v in s.streams.items())};levels={'/'.join(map(str, levels))}"
-        return (doc_id, n_bytes, len(s.payload), hashlib.sha256(s.payload).hexdigest(), zlib.crc32(s.payload[-ALIGN:]), len(raw), hashlib.sha256(raw).hexdigest(), text, s.continuity_errors, sum(s.access), s.timestamps[0] if s.timestamps else None, s.timestamps[-1] if s.timestamps else None)
+        return (doc_id, n_bytes, len(s.payload), hashlib.sha256(s.payload).hexdigest(), zlib.crc32(s.payload[-ALIGN:]), len(raw), hashlib.sha256(raw).hexdigest(), text, s.continuity_errors, sum(s.access), s.timestamps[0] if s.timestamps else None, s.timestamps[-1] if s.timestamps else None, [{"pts": t, "byte": at} for t, at, a in zip(s.timestamps, s.unit_at, s.access) if a])
 
     names = [c.split()[0] for c in FEATURES.split(", ")]
-    types = [pa.string() if c.endswith("string") else pa.int64() for c in FEATURES.split(", ")]
+    kinds = {"string": pa.string(), "long": pa.int64(), "array<struct<pts:bigint,byte:bigint>>": pa.list_(pa.struct([("pts", pa.int64()), ("byte", pa.int64())]))}
+    types = [kinds[c.split()[1]] for c in FEATURES.split(", ")]
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

@@ -5,6 +5,9 @@ give each host, and each path below a host, a posterior rate of good documents:
 shrunk toward its host and a host toward the whole corpus, by prior strengths estimated from
 how much the groups really differ. A document's verdict combines its own evidence with the
 posterior of its path, from which its own share is taken out.
+
+The ``documents`` table has no addresses: its callers take ``source`` for the host and ``lang``
+for the path below it.
 """
 
 from __future__ import annotations
@@ -144,29 +147,58 @@ class Priors:
     path_weight: float
 
 
-def _weight(groups: DataFrame, rate: float, within: float) -> float:
-    """Prior strength by the method of moments: the less the groups differ, the stronger."""
-    row = groups.where("n > 1").agg(F.sum("n").alias("n"), F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - rate, 2)).alias("v"), F.count("*").alias("g")).first()
-    if not row["n"]:
-        return 10.0
-    between = row["v"] / row["n"] - within * row["g"] / row["n"]
-    return float(np.clip(rate * (1 - rate) / max(between, 1e-9), 1.0, 10_000.0))
+#: Prior weights lie between these: at least one document's worth, and at most what makes levels alike.
+LEAST_WEIGHT, MOST_WEIGHT = 1.0, 10_000.0
+
+
+def prior_weights(sums: dict[str, float]) -> tuple[float, float]:
+    """Host and path weights from nested sums of squares, by equating them with their expectations.
+
+    ``within``, ``paths`` and ``hosts`` are the sums of squares of documents around their path,
+    of paths around their host and of hosts around the corpus. A level's weight is the variance
+    within paths over its own: the less sites differ, the more their prior weighs.
+    """
+    n, hosts, paths = sums["n"], sums["n_hosts"], sums["n_paths"]
+    error = max(sums["within"] / (n - paths), 1e-9) if n > paths else 1e-9
+    spread = n - sums["path_share"]  # n less the sum over hosts of squared path sizes by host size
+    path = (sums["paths"] - (paths - hosts) * error) / spread if spread > 0 else 0.0
+    spread = n - sums["host_share"]
+    host = (sums["hosts"] - (hosts - 1) * error - (sums["path_share"] - sums["path_size"]) * max(path, 0.0)) / spread if spread > 0 else 0.0
+    weigh = lambda v: float(np.clip(error / max(v, 1e-12), LEAST_WEIGHT, MOST_WEIGHT))
+    return weigh(host), weigh(path)
 
 
 def site_posteriors(evidence: DataFrame) -> tuple[DataFrame, Priors]:
-    """Posterior sums by host and path from rows of host, path and p.
+    """Sums by host and path from rows of host, path and p, the hosts' posterior rates, and the priors.
 
-    Documents are summed on the map side first, so a hot host costs one row a task.
+    Documents are summed on the map side first, so a hot host costs one row a task. Sites of one
+    document take part in the estimate like all others.
     """
-    paths = common.stored(evidence.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("s"), F.sum(F.col("p") * F.col("p")).alias("q")), "paths")
-    hosts = paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s"))
-    all_docs = paths.agg(F.sum("n").alias("n"), F.sum("s").alias("s"), F.sum("q").alias("q")).first()
-    n = all_docs["n"] or 1
-    rate = float(np.clip((all_docs["s"] or 0.0) / n, 1e-4, 1 - 1e-4))
-    within = max((all_docs["q"] or 0.0) / n - rate * rate, 1e-6)
-    priors = Priors(rate, _weight(hosts, rate, within), _weight(paths, rate, within))
-    hosts = hosts.select("host", ((F.col("s") + priors.host_weight * rate) / (F.col("n") + priors.host_weight)).alias("host_rate"))
-    return common.stored(paths.join(hosts, "host").select("host", "path", "n", "s", "host_rate"), "sites"), priors
+    paths = evidence.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("p").alias("s"), F.sum(F.col("p") * F.col("p")).alias("q"))
+    paths = common.stored(paths, "paths")
+    hosts = paths.groupBy("host").agg(F.sum("n").alias("host_n"), F.sum("s").alias("host_s"), F.sum(F.col("n") * F.col("n")).alias("squares"), F.count("*").alias("n_paths"), F.sum("q").alias("q"), F.sum(F.col("s") * F.col("s") / F.col("n")).alias("path_squares"))
+    hosts = common.stored(hosts, "hosts")
+    n, s = F.col("host_n"), F.col("host_s")
+    row = hosts.agg(
+        F.sum(n).alias("n"),
+        F.sum(s).alias("s"),
+        F.count("*").alias("n_hosts"),
+        F.sum("n_paths").alias("n_paths"),
+        F.sum(F.col("q") - F.col("path_squares")).alias("within"),
+        F.sum(F.col("path_squares") - s * s / n).alias("paths"),
+        F.sum(s * s / n).alias("host_squares"),
+        F.sum(F.col("squares") / n).alias("path_share"),
+        F.sum("squares").alias("squares"),
+        F.sum(n * n).alias("host_sizes"),
+    ).first()
+    sums = {k: float(v or 0.0) for k, v in row.asDict().items()}
+    total = max(sums["n"], 1.0)
+    mean = sums["s"] / total
+    sums |= {"hosts": sums["host_squares"] - total * mean * mean, "path_size": sums["squares"] / total, "host_share": sums["host_sizes"] / total}
+    rate = float(np.clip(mean, 1e-4, 1 - 1e-4))
+    priors = Priors(rate, *prior_weights(sums))
+    rates = hosts.select("host", "host_n", "host_s", ((s + priors.host_weight * rate) / (n + priors.host_weight)).alias("host_rate"))
+    return common.stored(paths.select("host", "path", "n", "s").join(rates, "host"), "sites"), priors
 
 
 def _logit(p: Column) -> Column:
@@ -174,16 +206,20 @@ def _logit(p: Column) -> Column:
 
 
 def judged(evidence: DataFrame, sites: DataFrame, priors: Priors) -> DataFrame:
-    """Adds site_score and quality to rows of host, path and p."""
+    """Adds site_score and quality to rows of host, path and p.
+
+    The document's own share is taken out of its path and of its host before both are shrunk.
+    """
     p = F.col("p")
-    site = (F.col("s") - p + priors.path_weight * F.col("host_rate")) / (F.col("n") - 1 + priors.path_weight)
+    host = (F.col("host_s") - p + priors.host_weight * priors.rate) / (F.col("host_n") - 1 + priors.host_weight)
+    site = (F.col("s") - p + priors.path_weight * host) / (F.col("n") - 1 + priors.path_weight)
     site = F.least(F.greatest(site, F.lit(1e-4)), F.lit(1 - 1e-4))
     odds = _logit(p) + _logit(F.col("site_score")) - float(np.log(priors.rate / (1 - priors.rate)))
     return (
         evidence.join(sites, ["host", "path"], "left")
         .withColumn("site_score", F.coalesce(site, F.lit(priors.rate)))
         .withColumn("quality", 1 / (1 + F.exp(-odds)))
-        .drop("n", "s", "host_rate")
+        .drop("n", "s", "host_n", "host_s", "host_rate")
     )
 
 
@@ -209,12 +245,19 @@ def classify(docs: DataFrame, labels: DataFrame, host_col: str = "source", path_
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, host_col: str = "source", path_col: str = "lang") -> DataFrame:
-    """The documents that the classifier keeps, with the columns they came with."""
+    """The documents that the classifier keeps, with the columns they came with.
+
+    Verdicts are kept by id and text hash, so texts are described once.
+    """
     model = fit(docs, labels)
     if model is None:
         return docs
     host, path = _site(docs, host_col, path_col)
-    sites, priors = site_posteriors(common.stored(with_evidence(docs.select("text", host.alias("host"), path.alias("path")), model, out="p").drop("text"), "evidence"))
-    held = F.struct(*docs.columns).alias("row")
-    rows = docs.select(held, host.alias("host"), path.alias("path"), F.col("text").alias("text"))
-    return judged(with_evidence(rows, model, out="p").drop("text"), sites, priors).where(F.col("quality") >= KEEP_FROM).select("row.*")
+    id_, mark = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64(F.coalesce("text", F.lit("")))
+    named = docs.select(id_.alias("id"), mark.alias("mark"), host.alias("host"), path.alias("path"), "text")
+    evidence = common.stored(with_evidence(named, model, out="p").drop("text"), "evidence")
+    sites, priors = site_posteriors(evidence)
+    sites_of = ["id", "mark", "host", "path"]
+    gone = judged(evidence, sites, priors).where(F.col("quality") < KEEP_FROM).select(*sites_of).distinct()
+    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), id_.alias("id"), mark.alias("mark"), host.alias("host"), path.alias("path"))
+    return rows.join(common.stored(gone, "gone"), sites_of, "left_anti").select("row.*")
