@@ -20,11 +20,11 @@ from pyspark.sql import functions as F
 from . import common
 
 #: Nodes of a shard, queries of a block (means of hash-dealt groups).
-SHARD_ROWS, QUERY_ROWS = 2_500, 4_096
+SHARD_ROWS, QUERY_ROWS = 10_000, 4_096
 DEGREE, BUILD_BEAM, RELAX = 28, 32, 1.2
 #: A list may outgrow DEGREE by this factor before it is pruned.
 SLACK = 1.3
-BEAM = 96
+BEAM = 160
 
 
 def _distances(x: np.ndarray, q: np.ndarray) -> np.ndarray:
@@ -115,13 +115,14 @@ def nearest(vectors: DataFrame, k: int = 10, query_every: int = 100, id_col: str
     A row is no neighbour of its own query; equal vectors are neighbours at distance zero,
     ties going to the smaller id. Vectors that are null, zero or hold a null or non-finite
     component take no part; a query meets vectors of its own length only. Rows that repeat an
-    id count as one.
+    id count as one, with the smallest of their vectors.
     """
     spark = vectors.sparkSession
     rows = (
         vectors.where(F.col(id_col).isNotNull() & _valid(vector_col))
         .select(F.col(id_col).cast("long").alias("vec_id"), F.transform(vector_col, lambda x: x.cast("double") + F.lit(0.0)).alias("vec"))
-        .dropDuplicates(["vec_id"])
+        .groupBy("vec_id")
+        .agg(F.min("vec").alias("vec"))
     )
     # the first k + 1 rows of each vector: enough when one of them is the query itself
     order = Window.partitionBy("vec").orderBy("vec_id")
@@ -135,14 +136,16 @@ def nearest(vectors: DataFrame, k: int = 10, query_every: int = 100, id_col: str
     shards = max(1, -(-counts // SHARD_ROWS))
     blocks = max(1, -(-queries.count() // QUERY_ROWS))
 
-    def build(pdf: pd.DataFrame) -> pd.DataFrame:
-        start, graph = build_graph(np.stack(pdf["vec"].to_numpy()).astype(np.float32))
-        pdf = pdf.assign(place=np.arange(len(pdf)), start=start)
-        return pdf.assign(edges=[g.tolist() for g in graph])[["shard", "dim", "place", "start", "node", "vec", "edges"]]
+    def build(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rows = list(frames)
+        for _, pdf in pd.concat(rows).sort_values("node").groupby("dim") if rows else ():
+            start, graph = build_graph(np.stack(pdf["vec"].to_numpy()).astype(np.float32))
+            pdf = pdf.assign(place=np.arange(len(pdf)), start=start)
+            yield pdf.assign(edges=[g.tolist() for g in graph])[["shard", "dim", "place", "start", "node", "vec", "edges"]]
 
-    dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("node"), F.lit(shards))).withColumn("dim", F.size("vec"))
-    dealt = dealt.repartition(shards, "shard", "dim")
-    index = dealt.groupBy("shard", "dim").applyInPandas(build, "shard long, dim int, place long, start long, node long, vec array<double>, edges array<long>")
+    dealt = nodes.select("node", "vec", F.pmod(F.xxhash64("node"), F.lit(shards)).alias("shard"), F.size("vec").alias("dim"))
+    dealt = dealt.repartitionById(shards, F.col("shard").cast("int"))  # a task for each shard
+    index = dealt.mapInPandas(build, "shard long, dim int, place long, start long, node long, vec array<double>, edges array<long>")
     index = common.stored(index, "index")
 
     def search(shard: pd.DataFrame, asked: pd.DataFrame) -> pd.DataFrame:
