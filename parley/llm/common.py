@@ -84,6 +84,21 @@ def utf8_parts(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0] : at[-1]], at - at[0]
 
 
+def small_parts(sizes: np.ndarray, most: int = 2 << 20) -> Iterator[tuple[int, int]]:
+    """Bounds of stretches of rows of at most ``most`` bytes together; a larger row is one by itself.
+
+    Batches have a number of rows, so long texts would otherwise multiply what a task holds at once.
+    """
+    begin, held = 0, 0
+    for i, size in enumerate(sizes.tolist()):
+        if held and held + size > most:
+            yield begin, i
+            begin, held = i, 0
+        held += size
+    if begin < len(sizes):
+        yield begin, len(sizes)
+
+
 def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """Texts of a batch, null read as empty."""
     return [x or "" for x in batch.column(name).to_pylist()]

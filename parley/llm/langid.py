@@ -134,9 +134,10 @@ def fit(docs: DataFrame, where: Column | None = None, fit_docs: int = FIT_DOCS)
         sums: dict[str, np.ndarray] = {}
         for batch in batches:
             langs, texts = np.array(batch.column(0).to_pylist(), object), common.texts_of(batch, "text")
-            counts = trigram_counts(texts)
-            for lang in set(langs):
-                sums[lang] = sums.get(lang, 0) + counts[langs == lang].sum(axis=0, dtype=np.float64)
+            for i, j in common.small_parts(np.array([len(t) for t in texts], np.int64)):
+                counts, own = trigram_counts(texts[i:j]), langs[i:j]
+                for lang in set(own):
+                    sums[lang] = sums.get(lang, 0) + counts[own == lang].sum(axis=0, dtype=np.float64)
         for lang, v in sums.items():
             at = np.flatnonzero(v)
             yield pa.RecordBatch.from_pydict({"lang": [lang] * len(at), "bucket": pa.array(at, pa.int32()), "n": v[at]})
@@ -156,7 +157,9 @@ def _has_letter(text: str) -> bool:
 
 def predict_batch(model: Model, texts: list[str]) -> list[tuple[str, float, list[tuple[str, float]]]]:
     """lang, score and the chosen languages with their shares, for each text."""
-    shares, _ = model.infer(trigram_counts(texts))
+    sizes = np.array([len(t) for t in texts], np.int64)
+    parts = [model.infer(trigram_counts(texts[i:j]))[0] for i, j in common.small_parts(sizes)]
+    shares = np.concatenate(parts) if parts else np.zeros((0, len(model.languages)), np.float32)
     out = []
     for text, row in zip(texts, shares):
         if not _has_letter(text):

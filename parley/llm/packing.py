@@ -94,7 +94,9 @@ def _keyed(docs: DataFrame, cuts: np.ndarray, key: str) -> DataFrame:
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = curve_keys(*common.utf8_parts(batch.column(1)))
+            data, at = common.utf8_parts(batch.column(1))
+            parts = [curve_keys(data[at[i] : at[j]], at[i : j + 1] - at[i]) for i, j in common.small_parts(np.diff(at))]
+            keys = np.concatenate(parts) if parts else np.zeros(0, np.int64)
             low, high = (np.searchsorted(cuts[:, 0], keys, side) for side in ("left", "right"))
             if (low != high).any():  # copies of one text share a key: ids tell them apart
                 ids = np.array([_NULL_ID if i is None else i for i in batch.column(0).to_pylist()], np.int64)

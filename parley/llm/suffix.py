@@ -28,7 +28,7 @@ WINDOW = 200
 #: very many documents share) is resolved string by string, over the whole cluster.
 WORDINGS = 50_000
 #: Bytes of runs that one induced sort takes, closed at the next anchor.
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 4 << 20
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
