@@ -9,8 +9,24 @@ from .operators import intervals, lineage, planning
 from .policy import WindowPolicy
 from .sources import media
 
-# Stages in order, and the status an entity needs for each.
-STAGES = {"split": "pending", "diarize": "split", "quality_filter": "diarized", "separate": "pending", "transcribe": "separated", "persona": "transcribed", "reconstruct": "personified", "extend": "reconstructed"}
+# Stages in order, the status an entity needs for each besides failed, and the one it has meanwhile.
+STAGES = {
+    "split": ("pending", "splitting"),
+    "diarize": ("pending", "diarizing"),
+    "quality_filter": ("diarized", "filtering"),
+    "separate": ("pending", "separating"),
+    "transcribe": ("separated", "transcribing"),
+    "persona": ("transcribed", "persona_generating"),
+    "reconstruct": ("persona_generated", "reconstructing"),
+    "extend": ("reconstructed", "extending"),
+}
+# What a stage says of entities that it may not claim.
+SAID = {
+    "diarize": {"diarizing": "already_processing", "filtering": "already_processing", "diarized": "dispatch_ready", "completed": "completed"},
+    "separate": {"separating": "already_processing"},
+}
+#: Columns that a claim makes null.
+CLEARED = {"diarize": ("diarization_uri",)}
 
 
 def scan_uploads(spark: SparkSession, path: str) -> DataFrame:
@@ -35,7 +51,9 @@ def trigger(current: DataFrame, ids: DataFrame, stage: str) -> DataFrame:
     """Claims entities for a stage; each id's disposition says whether it was claimed."""
     if stage not in STAGES:
         raise ValueError(f"unknown stage: {stage}")
-    return lineage.claim(current, ids, "id", "status", [STAGES[stage], "failed"], "processing")
+    needed, meanwhile = STAGES[stage]
+    clear = tuple(c for c in CLEARED.get(stage, ()) if c in current.columns)
+    return lineage.claim(current, ids, "id", "status", [needed, "failed"], meanwhile, SAID.get(stage), clear)
 
 
 def windows(turns: DataFrame, limit: DataFrame, keys: list[str], policy: WindowPolicy = WindowPolicy()) -> DataFrame:

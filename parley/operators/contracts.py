@@ -5,7 +5,27 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-TAGS = ("laughs", "sighs", "whispers", "excited", "sad", "angry", "curious", "sarcastic")
+# Audio tags, kinds of utterances and their placements.
+TAGS = (
+    "[angry]",
+    "[chuckles]",
+    "[clears throat]",
+    "[coughs]",
+    "[crying]",
+    "[curious]",
+    "[excited]",
+    "[exhales]",
+    "[inhales deeply]",
+    "[laughs]",
+    "[sad]",
+    "[shouts]",
+    "[sighs]",
+    "[surprised]",
+    "[thoughtful]",
+    "[whispers]",
+)
+TYPES = ("dialogue", "backchannel", "paralinguistic")
+PLACEMENTS = ("sequential", "overlap_previous")
 
 
 def canonical_json(columns: dict[str, Column]) -> Column:
@@ -29,21 +49,38 @@ def identity(content: Column) -> Column:
     return F.struct(F.length(content).cast("long").alias("size_bytes"), F.sha2(content, 256).alias("sha256"))
 
 
-def script_rules(script: DataFrame, keys: list[str], least: int = 2, most: int = 40) -> DataFrame:
-    """Scripts of two speakers (idx, speaker, placement, text, tags) with the rules they break."""
+def good_tags(tags: Column) -> Column:
+    """At most three tags, each once, all of them known."""
+    return (F.size(tags) <= 3) & (F.size(F.array_distinct(tags)) == F.size(tags)) & (F.size(F.array_except(tags, F.lit(list(TAGS)))) == 0)
+
+
+def canonical(text: Column) -> Column:
+    """Neither empty nor with white space at an end."""
+    return (text != "") & ~text.rlike(r"^\s|\s$")
+
+
+def script_rules(script: DataFrame, keys: list[str], least: int = 2, most: int = 200) -> DataFrame:
+    """Scripts of two speakers (idx, speaker, type, placement, text, tags) with the rules they break.
+
+    Sounds need a tag and everything else needs words; only what is no ordinary dialogue may overlap.
+    """
     w = Window.partitionBy(*keys).orderBy("idx")
+    overlaps, sound = F.col("placement") == "overlap_previous", F.col("type") == "paralinguistic"
     rows = script.select("*", F.lag("speaker").over(w).alias("before"))
-    per = rows.groupBy(*keys).agg(
-        F.count("*").alias("n"),
-        F.count_distinct("speaker").alias("speakers"),
-        F.min_by("placement", "idx").alias("opening"),
-        F.max(((F.col("placement") == "overlap") & (F.col("before") == F.col("speaker"))).cast("int")).alias("self_overlap"),
-        F.max(F.col("text").rlike(r"[\[\]]").cast("int")).alias("brackets"),
-        F.max(((F.size("tags") > 3) | (F.size(F.array_distinct("tags")) < F.size("tags")) | (F.size(F.array_except("tags", F.lit(list(TAGS)))) > 0)).cast("int")).alias("tags"),
-    )
-    rules = {"count": ~F.col("n").between(least, most), "speakers": F.col("speakers") != 2, "opening": F.col("opening") != "sequential", "self_overlap": F.col("self_overlap") == 1, "brackets": F.col("brackets") == 1, "tags": F.col("tags") == 1}
-    broken = F.array_compact(F.array(*(F.when(c, F.lit(k)) for k, c in rules.items())))
-    return per.select(*keys, F.col("n").alias("n_utterances"), F.array_join(broken, ",").alias("violations"))
+    broken = {
+        "kind": ~(F.col("type").isin(*TYPES) & F.col("placement").isin(*PLACEMENTS)),
+        "brackets": F.col("text").rlike(r"[\[\]]"),
+        "tags": ~good_tags(F.col("tags")),
+        "words": F.when(sound, F.size("tags") == 0).otherwise(F.col("text") == ""),
+        "dialogue_overlap": overlaps & (F.col("type") == "dialogue"),
+        "self_overlap": overlaps & (F.col("before") == F.col("speaker")),
+    }
+    any_of = (F.coalesce(F.max(F.coalesce(c, F.lit(True)).cast("int")), F.lit(0)).alias(k) for k, c in broken.items())
+    per = rows.withColumn("before", F.coalesce("before", F.lit("") if dict(script.dtypes)["speaker"] == "string" else F.lit(-1)))
+    per = per.groupBy(*keys).agg(F.count("*").alias("n"), F.count_distinct("speaker").alias("speakers"), F.min_by("placement", "idx").alias("opening"), *any_of)
+    rules = {"count": ~F.col("n").between(least, most), "speakers": F.col("speakers") != 2, "opening": F.col("opening") != "sequential"} | {k: F.col(k) == 1 for k in broken}
+    names = F.array_compact(F.array(*(F.when(c, F.lit(k)) for k, c in rules.items())))
+    return per.select(*keys, F.col("n").alias("n_utterances"), F.array_join(names, ",").alias("violations"))
 
 
 def diarization_rules(turns: DataFrame, keys: list[str]) -> DataFrame:

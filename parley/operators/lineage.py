@@ -7,8 +7,53 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Legal status changes of an entity.
-TRANSITIONS = (("pending", "processing"), ("processing", "completed"), ("processing", "failed"), ("failed", "processing"))
+# Legal status changes of recordings, of their parts and of chunks.
+RAW_TRANSITIONS = (
+    ("pending", "splitting"),
+    ("pending", "failed"),
+    ("failed", "splitting"),
+    ("splitting", "split_completed"),
+    ("splitting", "failed"),
+    ("split_completed", "failed"),
+)
+PART_TRANSITIONS = (
+    ("pending", "diarizing"),
+    ("failed", "diarizing"),
+    ("diarizing", "diarized"),
+    ("diarizing", "failed"),
+    ("diarized", "filtering"),
+    ("diarized", "failed"),
+    ("failed", "filtering"),
+    ("filtering", "completed"),
+    ("filtering", "failed"),
+)
+CHUNK_TRANSITIONS = (
+    ("pending", "separating"),
+    ("failed", "separating"),
+    ("separating", "separated"),
+    ("separating", "rejected"),
+    ("separating", "failed"),
+    ("separated", "transcribing"),
+    ("failed", "transcribing"),
+    ("transcribing", "transcribed"),
+    ("transcribing", "failed"),
+    ("transcribed", "persona_generating"),
+    ("failed", "persona_generating"),
+    ("persona_generating", "persona_generated"),
+    ("persona_generating", "failed"),
+    ("persona_generated", "reconstructing"),
+    ("persona_generated", "failed"),
+    ("failed", "reconstructing"),
+    ("reconstructing", "reconstructed"),
+    ("reconstructing", "rejected"),
+    ("reconstructing", "failed"),
+    ("reconstructed", "extending"),
+    ("reconstructed", "failed"),
+    ("failed", "extending"),
+    ("extending", "completed"),
+    ("extending", "rejected"),
+    ("extending", "failed"),
+)
 
 
 def first_by_content(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -46,7 +91,7 @@ def latest(events: DataFrame, keys: list[str], order: str, status: str) -> DataF
     return events.groupBy(*keys).agg(F.max_by(status, order).alias(status), F.max(order).alias(order), F.count("*").alias("n_events"))
 
 
-def illegal_transitions(events: DataFrame, keys: list[str], order: str, status: str, legal=TRANSITIONS) -> DataFrame:
+def illegal_transitions(events: DataFrame, keys: list[str], order: str, status: str, legal: tuple[tuple[str, str], ...]) -> DataFrame:
     """Status changes that the table of legal ones does not hold; an entity's first event is legal."""
     spark = events.sparkSession
     w = Window.partitionBy(*keys).orderBy(order)
@@ -55,11 +100,39 @@ def illegal_transitions(events: DataFrame, keys: list[str], order: str, status:
     return steps.join(F.broadcast(table), ["from_status", status], "left_anti")
 
 
-def claim(current: DataFrame, ids: DataFrame, key: str, status: str, allowed: list[str], to: str) -> DataFrame:
-    """Compare-and-set for many entities: their new status, or why the claim is refused."""
-    rows = ids.select(key).distinct().join(current.select(key, status), key, "left")
-    ok = F.col(status).isin(*allowed)
-    return rows.select(key, F.when(ok, F.lit(to)).otherwise(F.col(status)).alias(status), F.when(F.col(status).isNull(), "missing").when(ok, "claimed").otherwise(F.concat(F.lit("already_"), F.col(status))).alias("disposition"))
+def claim(current: DataFrame, ids: DataFrame, key: str, status: str, allowed: list[str], to: str, said: dict[str, str] | None = None, clear: tuple[str, ...] = ()) -> DataFrame:
+    """Compare-and-set for many entities: their new status, or why the claim is refused.
+
+    ``said`` names the dispositions of statuses that may not be claimed; others are called
+    already_<status>. Columns to ``clear`` come along, and are null where the claim succeeds.
+    """
+    rows = ids.select(key).distinct().join(current.select(key, status, *clear), key, "left")
+    ok = F.coalesce(F.col(status).isin(*allowed), F.lit(False))
+    named = F.coalesce(*(F.when(F.col(status) == k, F.lit(v)) for k, v in (said or {}).items()), F.concat(F.lit("already_"), F.col(status)))
+    disposition = F.when(F.col(status).isNull(), "missing").when(ok, "claimed").otherwise(named)
+    return rows.select(key, F.when(ok, F.lit(to)).otherwise(F.col(status)).alias(status), *(F.when(~ok, F.col(c)).alias(c) for c in clear), disposition.alias("disposition"))
+
+
+def complete(current: DataFrame, claims: DataFrame, key: str, status: str, expected: str, to: str, same: list[str]) -> DataFrame:
+    """Optimistic completion: a claimed entity moves on only if it is as it was when it was claimed.
+
+    Each claim's outcome is completed, conflict (another status, or one of the ``same`` columns
+    differs, nulls alike) or missing, beside the status that follows.
+    """
+    then = claims.dropDuplicates([key]).select(key, F.struct(*same).alias("then"))
+    now = current.select(key, status, F.struct(*same).alias("now"))
+    rows = then.join(now, key, "left")
+    unchanged = reduce(lambda x, y: x & y, (F.col(f"then.{c}").eqNullSafe(F.col(f"now.{c}")) for c in same), F.col(status) == expected)
+    ok = F.coalesce(unchanged, F.lit(False))
+    return rows.select(key, F.when(ok, F.lit(to)).otherwise(F.col(status)).alias(status), F.when(F.col("now").isNull(), "missing").when(ok, "completed").otherwise("conflict").alias("outcome"))
+
+
+def merged_namespace(results: Column, name: str, value: Column) -> Column:
+    """A map of results with one more namespace; null where another value stands there already."""
+    held = F.coalesce(results, F.create_map().cast("map<string,string>"))
+    before = F.try_element_at(held, F.lit(name))
+    added = F.map_concat(F.map_filter(held, lambda k, v: k != name), F.create_map(F.lit(name), value))
+    return F.when(before.isNull() | before.eqNullSafe(value), added)
 
 
 def violations(rows: DataFrame, rules: dict[str, Column], keys: list[str]) -> DataFrame:

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import hashlib
+import uuid
+from decimal import Decimal
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, LongType, ShortType
+from pyspark.sql.types import ArrayType, DecimalType, ShortType
 
 from .signal import cosine, rms
 
@@ -34,10 +36,15 @@ def audit(pieces: DataFrame, keys: list[str], least: int = 3_000, ratio: float =
     return pieces.select(*keys).distinct().join(per, keys, "left").select(*keys, F.coalesce("n_votes", F.lit(0)).alias("n_votes"), verdict.alias("verdict"))
 
 
-@F.pandas_udf(LongType())
-def window_seed(chunk_id: pd.Series, index: pd.Series) -> pd.Series:
-    """A window's seed: eight bytes of SHAKE-256 over the chunk and the window's number."""
-    return pd.Series([int.from_bytes(hashlib.shake_256(f"{c}:{i}".encode()).digest(8), "big") >> 1 for c, i in zip(chunk_id, index)])
+@F.pandas_udf(ArrayType(DecimalType(20, 0)))
+def window_seeds(chunk_id: pd.Series, windows: pd.Series) -> pd.Series:
+    """The seeds of a chunk's windows: SHAKE-256 over the 16 bytes of its UUID, cut into unsigned numbers of eight bytes."""
+
+    def seeds(chunk: str, n: int) -> list[Decimal]:
+        drawn = hashlib.shake_256(uuid.UUID(chunk).bytes).digest(8 * n)
+        return [Decimal(int.from_bytes(drawn[8 * k : 8 * k + 8], "big")) for k in range(n)]
+
+    return pd.Series([seeds(c, int(n)) for c, n in zip(chunk_id, windows)])
 
 
 @F.pandas_udf(ArrayType(ShortType()))

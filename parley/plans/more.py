@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import api
 from ..functions import timebase
-from ..operators import lineage, speakers, sweep, tracks
+from ..operators import contracts, lineage, speakers, sweep, tracks
 from ..policy import WindowPolicy
 from ..sources import views as v
 from . import oracles as o
@@ -65,8 +65,57 @@ def peak_arrays(spark, d):
 
 @query
 def window_seeds(spark, d):
-    rows = v.turns(spark, d).select("part_id", "turn_id")
-    return rows.select("part_id", "turn_id", tracks.window_seed(F.col("part_id").cast("string"), F.col("turn_id")).alias("seed"))
+    """Each recording has a UUID from its id's digest, and a window for each of its turns."""
+    hexed = F.md5(F.col("part_id").cast("string").cast("binary"))
+    rows = v.turns(spark, d).groupBy("part_id").agg(F.count("*").alias("n"))
+    seeds = rows.select("part_id", F.posexplode(tracks.window_seeds(hexed, F.col("n"))).alias("window_index", "seed"))
+    return seeds.select("part_id", "window_index", F.col("seed").cast("string").alias("seed"))
+
+
+_PATHS = {
+    "recording": (lineage.RAW_TRANSITIONS, ("pending", "splitting", "split_completed", "failed")),
+    "part": (lineage.PART_TRANSITIONS, ("pending", "diarizing", "diarized", "failed", "filtering")),
+    "chunk": (lineage.CHUNK_TRANSITIONS, ("separating", "separated", "transcribing", "failed", "rejected")),
+}
+
+
+def _illegal_sql() -> str:
+    parts = []
+    for level, (legal, names) in _PATHS.items():
+        pick = "CASE " + " ".join(f"WHEN k = {i} THEN '{n}'" for i, n in enumerate(names)) + " END"
+        parts.append(f"""SELECT '{level}' AS level, user_id, event_id, from_status, status FROM (
+          SELECT user_id, event_id, status, lag(status) OVER (PARTITION BY user_id ORDER BY event_id) AS from_status FROM (
+            SELECT user_id, event_id, {pick} AS status FROM (SELECT user_id, event_id, (length(event_type) + event_id) % {len(names)} AS k FROM events)))
+        WHERE from_status IS NOT NULL AND (from_status, status) NOT IN ({", ".join(f"('{a}', '{b}')" for a, b in legal)})""")
+    return " UNION ALL ".join(parts)
+
+
+@against(_illegal_sql())
+def illegal_transitions(spark, d):
+    """Every user's events read as statuses of a recording, a part and a chunk: the changes that no table allows."""
+    events = v.table(spark, d, "events")
+    found = None
+    for level, (legal, names) in _PATHS.items():
+        k = (F.length("event_type") + F.col("event_id")) % len(names)
+        rows = events.select("user_id", "event_id", F.element_at(F.lit(list(names)), (k + 1).cast("int")).alias("status"))
+        bad = lineage.illegal_transitions(rows, ["user_id"], "event_id", "status", legal).select(F.lit(level).alias("level"), "user_id", "event_id", "from_status", "status")
+        found = bad if found is None else found.unionByName(bad)
+    return found
+
+
+@against(r"""WITH s AS (SELECT conv_id, turn AS idx, role AS speaker, text, turn % 5 AS k, CASE WHEN turn % 11 = 7 THEN 'paralinguistic' WHEN (conv_id + turn) % 3 = 0 THEN 'backchannel' ELSE 'dialogue' END AS type,
+    CASE WHEN (conv_id + turn) % 6 = 0 OR (conv_id + turn) % 37 = 0 THEN 'overlap_previous' ELSE 'sequential' END AS placement FROM conversations), r AS (
+  SELECT *, coalesce(lag(speaker) OVER (PARTITION BY conv_id ORDER BY idx), '') AS b FROM s)
+  SELECT conv_id, count(*) AS n_utterances, concat_ws(',', CASE WHEN NOT count(*) BETWEEN 2 AND 200 THEN 'count' END, CASE WHEN count(DISTINCT speaker) <> 2 THEN 'speakers' END, CASE WHEN arg_min(placement, idx) <> 'sequential' THEN 'opening' END,
+    CASE WHEN bool_or(coalesce(regexp_matches(text, '[\[\]]'), true)) THEN 'brackets' END, CASE WHEN bool_or(k > 3) THEN 'tags' END, CASE WHEN bool_or(CASE WHEN type = 'paralinguistic' THEN k = 0 ELSE coalesce(text = '', true) END) THEN 'words' END,
+    CASE WHEN bool_or(placement = 'overlap_previous' AND type = 'dialogue') THEN 'dialogue_overlap' END, CASE WHEN bool_or(placement = 'overlap_previous' AND b = speaker) THEN 'self_overlap' END) AS violations FROM r GROUP BY conv_id""")
+def script_rules(spark, d):
+    talk = v.table(spark, d, "conversations")
+    tags = F.slice(F.array(F.lit("[laughs]"), F.lit("[clears throat]"), F.lit("[sad]"), F.lit("[sad]")), F.lit(1), (F.col("turn") % 5).cast("int"))
+    n = F.col("conv_id") + F.col("turn")
+    kind = F.when(F.col("turn") % 11 == 7, "paralinguistic").when(n % 3 == 0, "backchannel").otherwise("dialogue")
+    place = F.when((n % 6 == 0) | (n % 37 == 0), "overlap_previous").otherwise("sequential")
+    return contracts.script_rules(talk.select("conv_id", F.col("turn").alias("idx"), F.col("role").alias("speaker"), kind.alias("type"), place.alias("placement"), "text", tags.alias("tags")), ["conv_id"])
 
 
 @query

@@ -151,15 +151,17 @@ ORACLES: dict[str, str] = {
       SELECT l_orderkey, round(st, 6) AS statistic, round(10 * log10((en * pow(10, db / 10) / (1 + pow(10, db / 10))) / (en / (1 + pow(10, db / 10)) + 1e-10)), 4) AS snr_db FROM d""",
     "rms_ratio_votes": f"""WITH r AS (SELECT vec_id, {_rms('embedding[1:32]')} AS ra, {_rms('embedding[33:64]')} AS rb FROM embeddings)
       SELECT vec_id, round(ra, 6) AS rms_a, round(rb, 6) AS rms_b, CASE WHEN greatest(ra, rb) / greatest(least(ra, rb), 1e-12) < 1.05 THEN 'none' WHEN ra >= rb THEN 'direct' ELSE 'swapped' END AS vote FROM r""",
-    "cosine_top2_margin": f"""WITH c AS (SELECT e.vec_id, r.vec_id AS ref, {_cos('e.embedding', 'r.embedding')} AS c FROM embeddings e, embeddings r WHERE r.vec_id < 4 AND e.vec_id <> r.vec_id), k AS (
-      SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY c DESC, ref) AS n FROM c)
-      SELECT vec_id, max(ref) FILTER (n = 1) AS best, round(max(c) FILTER (n = 1), 6) AS cosine, round(max(c) FILTER (n = 1) - max(c) FILTER (n = 2), 6) AS margin FROM k GROUP BY vec_id""",
+    "cosine_top2_margin": f"""WITH e AS (SELECT vec_id, embedding, label FROM embeddings WHERE label IS NOT NULL), x AS (SELECT label, unnest(embedding)::DOUBLE AS x, unnest(range(1, len(embedding) + 1)) AS i FROM e), m AS (
+      SELECT label AS ref, list(m ORDER BY i) AS r FROM (SELECT label, i, avg(x) AS m FROM x GROUP BY label, i) GROUP BY label), a AS (SELECT vec_id, embedding, unnest([label, (label + 1) % 10]) AS ref FROM e), c AS (
+      SELECT a.vec_id, a.ref, round({_cos('a.embedding', 'm.r')}, 9) AS c FROM a JOIN m ON a.ref = m.ref), k AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY c DESC, ref) AS n FROM c)
+      SELECT vec_id, max(ref) FILTER (n = 1) AS best, round(max(c) FILTER (n = 1), 5) AS cosine, CASE WHEN count(*) > 1 THEN round(max(c) - min(c), 5) END AS margin FROM k GROUP BY vec_id""",
     "waveform_peaks": """WITH x AS (SELECT l_suppkey, CAST(round(l_extendedprice) AS BIGINT) AS x, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_extendedprice) - 1 AS i, count(*) OVER (PARTITION BY l_suppkey) AS len FROM lineitem), b AS (
       SELECT l_suppkey, CAST(floor(i * 20 / len) AS BIGINT) AS bar, 0.65 * max(abs(x)) + 0.35 * sqrt(avg(x * x)) AS level FROM x GROUP BY 1, 2)
       SELECT l_suppkey, bar, round(pow(level / greatest(max(level) OVER (PARTITION BY l_suppkey), 1e-10), 0.72), 3) AS height FROM b""",
     "crossfade_stitch": """WITH e AS (SELECT vec_id, embedding[1:40]::DOUBLE[] AS a, embedding[41:64]::DOUBLE[] AS b FROM embeddings)
       SELECT vec_id, CAST(56 AS BIGINT) AS n, round(list_sum(a[1:32]) + list_sum([a[33 + i] * (1 - i / 7.0) + b[1 + i] * (i / 7.0) FOR i IN range(0, 8)]) + list_sum(b[9:24]), 6) AS total FROM e""",
-    "wav_round_trip": """SELECT l_orderkey AS track_id, CAST(1 AS BIGINT) AS channels, CAST(16000 AS BIGINT) AS rate, CAST(16 AS BIGINT) AS bits, count(*) AS frames, true AS whole, 2 * least(count(*), 2) AS cut_bytes FROM lineitem GROUP BY l_orderkey""",
+    "wav_round_trip": """SELECT l_orderkey AS track_id, CAST(1 AS BIGINT) AS channels, CAST(16000 AS BIGINT) AS rate, CAST(16 AS BIGINT) AS bits, count(*) AS frames, true AS whole, count(*) AS read, CAST(sum(round_even(l_extendedprice / top * 32767 * 0.9, 0)) AS BIGINT) AS total
+      FROM (SELECT l_orderkey, l_extendedprice, greatest(1e-9, max(abs(l_extendedprice)) OVER (PARTITION BY l_orderkey)) AS top FROM lineitem) GROUP BY l_orderkey""",
     "address_parts": r"""SELECT page_id, regexp_extract(url, '^([^:/?#]+):', 1) AS scheme, regexp_extract(url, '^[^:/?#]+://([^/?#:]*)', 1) AS host, regexp_extract(url, '^[^:/?#]+://[^/?#]*([^?#]*)', 1) AS path,
       NOT (regexp_matches(url, '[%\\\s?#]') OR regexp_matches(url, '(^|/)\.\.?(/|$)') OR regexp_matches(url, '[^:]//')) AND regexp_matches(url, '^[a-z][a-z0-9]*://[^/]+/.+') AS canonical FROM pages""",
     "time_conversions": """WITH s AS (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, CAST(CAST(l_extendedprice / 1000 AS VARCHAR) AS DECIMAL(28, 12)) AS s FROM lineitem), f AS (
@@ -168,21 +170,15 @@ ORACLES: dict[str, str] = {
     "lineage_counts": """WITH k AS (SELECT l_orderkey, count(*) AS k FROM lineitem GROUP BY 1), p AS (SELECT o_custkey, count(*) AS n, sum(k) AS c FROM orders LEFT JOIN k ON o_orderkey = l_orderkey GROUP BY 1)
       SELECT c_custkey, coalesce(n, 0) AS n_parts, CAST(coalesce(c, 0) AS BIGINT) AS n_chunks FROM customer LEFT JOIN p ON c_custkey = o_custkey""",
     "cascade_survivors": "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'F')",
-    "upsert_conflicts": """WITH a AS (SELECT * FROM orders WHERE o_orderkey % 3 <> 0), b AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderpriority END AS p FROM orders WHERE o_orderkey % 2 = 0)
+    "upsert_conflicts": """WITH a AS (SELECT * FROM orders WHERE o_orderstatus <> 'P'), b AS (SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL ELSE o_orderpriority END AS p FROM orders WHERE o_orderstatus <> 'F')
       SELECT coalesce(a.o_orderkey, b.o_orderkey) AS o_orderkey, CASE WHEN b.o_orderkey IS NULL THEN 'untouched' WHEN a.o_orderkey IS NULL THEN 'inserted' WHEN a.o_custkey IS NOT DISTINCT FROM b.o_custkey AND a.o_orderpriority IS NOT DISTINCT FROM b.p THEN 'kept' ELSE 'conflict' END AS outcome
       FROM a FULL JOIN b ON a.o_orderkey = b.o_orderkey""",
     "state_latest": "SELECT user_id, arg_max(event_type, event_id) AS event_type, max(event_id) AS event_id, count(*) AS n_events FROM events GROUP BY user_id",
-    "illegal_transitions": """SELECT from_status, status, user_id, event_id FROM (SELECT user_id, event_id, event_type AS status, lag(event_type) OVER (PARTITION BY user_id ORDER BY event_id) AS from_status FROM events)
-      WHERE from_status IS NOT NULL AND (from_status, status) NOT IN (('view', 'click'), ('click', 'purchase'), ('click', 'view'), ('signup', 'view'), ('purchase', 'view'), ('view', 'view'))""",
     "claims": """WITH i AS (SELECT DISTINCT o_orderkey * 2 AS o_orderkey FROM orders) SELECT i.o_orderkey, CASE WHEN o_orderstatus IN ('O', 'P') THEN 'X' ELSE o_orderstatus END AS o_orderstatus,
       CASE WHEN o_orderstatus IS NULL THEN 'missing' WHEN o_orderstatus IN ('O', 'P') THEN 'claimed' ELSE 'already_' || o_orderstatus END AS disposition FROM i LEFT JOIN orders o ON i.o_orderkey = o.o_orderkey""",
     "constraint_violations": """WITH l AS (SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity, l_discount, l_returnflag FROM lineitem)
       SELECT l_orderkey, l_linenumber, 'quantity' AS rule FROM l WHERE NOT coalesce(l_quantity <= 48, false) UNION ALL SELECT l_orderkey, l_linenumber, 'discount' FROM l WHERE NOT coalesce(l_discount BETWEEN 0 AND 0.09, false)
       UNION ALL SELECT l_orderkey, l_linenumber, 'flag' FROM l WHERE NOT coalesce(l_returnflag IN ('A', 'N', 'R'), false)""",
-    "script_rules": r"""WITH s AS (SELECT conv_id, turn AS idx, role AS speaker, CASE WHEN (conv_id + turn) % 4 = 0 THEN 'overlap' ELSE 'sequential' END AS placement, text, turn % 5 AS k FROM conversations), r AS (
-      SELECT *, lag(speaker) OVER (PARTITION BY conv_id ORDER BY idx) AS b FROM s)
-      SELECT conv_id, count(*) AS n_utterances, concat_ws(',', CASE WHEN NOT count(*) BETWEEN 2 AND 40 THEN 'count' END, CASE WHEN count(DISTINCT speaker) <> 2 THEN 'speakers' END, CASE WHEN arg_min(placement, idx) <> 'sequential' THEN 'opening' END,
-        CASE WHEN max(CASE WHEN placement = 'overlap' AND b = speaker THEN 1 ELSE 0 END) = 1 THEN 'self_overlap' END, CASE WHEN max(CASE WHEN regexp_matches(text, '[\[\]]') THEN 1 ELSE 0 END) = 1 THEN 'brackets' END, CASE WHEN max(CASE WHEN k > 3 THEN 1 ELSE 0 END) = 1 THEN 'tags' END) AS violations FROM r GROUP BY conv_id""",
     "diarization_rules": f"""WITH {TURNS} SELECT part_id, concat_ws(',', CASE WHEN max(speaker) + 1 <> count(DISTINCT speaker) THEN 'speakers' END, CASE WHEN min(end_ms - start_ms) <= 0 OR min(start_ms) < 0 THEN 'bounds' END, CASE WHEN count(DISTINCT (start_ms, end_ms, speaker)) < count(*) THEN 'repeated' END) AS violations FROM turns GROUP BY part_id""",
     "canonical_documents": """WITH j AS (SELECT doc_id, '{"doc_id":' || doc_id || ',"ids":[' || doc_id || '],"quality":' || CASE WHEN doc_id % 7 > 0 THEN coalesce(quality::VARCHAR, 'null') ELSE 'null' END || ',"toxic":' || coalesce(toxic::VARCHAR, 'null') || '}' AS json FROM labels)
       SELECT doc_id, json, true AS exact, sha256(json) AS sha256 FROM j""",

@@ -29,6 +29,14 @@ def cut(content: Column, start_frame: Column, end_frame: Column) -> Column:
     return F.substring(content, (start_frame * 2 + 45).cast("int"), ((end_frame - start_frame) * 2).cast("int"))
 
 
+def samples_of(payload: Column) -> Column:
+    """The 16-bit little-endian samples of payload bytes."""
+    places = F.sequence(F.lit(0), (F.length(payload) / 2).cast("int") - 1)
+    pair = lambda i: F.conv(F.concat(F.hex(F.substring(payload, i * 2 + 2, F.lit(1))), F.hex(F.substring(payload, i * 2 + 1, F.lit(1)))), 16, 10).cast("int")
+    signed = lambda i: pair(i) - F.when(pair(i) >= 32768, 65536).otherwise(0)
+    return F.when(F.length(payload) >= 2, F.transform(places, signed)).otherwise(F.array().cast("array<int>"))
+
+
 def to_wav(samples: np.ndarray, rate: int) -> bytes:
     out = io.BytesIO()
     with wave.open(out, "wb") as w:

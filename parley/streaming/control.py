@@ -28,6 +28,11 @@ def source(spark: SparkSession, sf_dir: str, table: str = "events") -> DataFrame
     return spark.readStream.schema(schema).option("pathGlobFilter", name if not _is_folder(spark, path) else "*").parquet(path if _is_folder(spark, path) else folder)
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
 def _is_folder(spark: SparkSession, path: str) -> bool:
     p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).getFileStatus(p).isDirectory()
@@ -61,10 +66,19 @@ def counted_state(events: DataFrame) -> DataFrame:
 
 
 def upserted(events: DataFrame, path: str, keys: list[str]) -> None:
-    """A foreachBatch sink that a redelivered batch does not double: each batch has its own folder."""
+    """A foreachBatch sink that doubles neither a redelivered batch nor a key of an earlier one.
+
+    Each batch has its own folder, which a redelivery overwrites, and leaves out the keys of all
+    other folders.
+    """
 
     def write(batch: DataFrame, number: int) -> None:
-        batch.dropDuplicates(keys).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        spark, fresh = batch.sparkSession, batch.dropDuplicates(keys)
+        if _exists(spark, path):
+            schema = batch.select(*keys).schema.add("batch", "long")
+            before = spark.read.schema(schema).parquet(path).where(F.col("batch") != number)
+            fresh = fresh.join(before.select(*keys).distinct(), keys, "left_anti")
+        fresh.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     log = _shared(events.sparkSession, "upsert-log")
     events.writeStream.foreachBatch(write).option("checkpointLocation", log).trigger(availableNow=True).start().awaitTermination()

@@ -1,13 +1,14 @@
-"""The service's functions, model ports, track helpers and streaming sinks."""
+"""The service's functions, track helpers and streaming sinks."""
 
 import hashlib
+import uuid
 
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 from parley import api
-from parley.operators import lineage, ports, tracks
+from parley.operators import lineage, tracks
 from parley.plans.more import QUERIES
 from parley.sources import media
 from parley.streaming import control
@@ -39,27 +40,6 @@ def test_windows_split_long_groups(spark):
     assert sorted((r["start_ms"], r["end_ms"], r["part_index"]) for r in got) == [(0, 40_250, 0), (49_750, 130_250, 1)]
 
 
-def test_seeds_are_shake_256(spark):
-    row = spark.range(1).select(tracks.window_seed(F.lit("x"), F.lit(3).cast("long")).alias("s")).first()
-    assert row["s"] == int.from_bytes(hashlib.shake_256(b"x:3").digest(8), "big") >> 1
-
-
-def test_ports_are_deterministic_and_retry(spark):
-    wav = spark.createDataFrame([(1, bytearray(media.to_wav(np.arange(40), 16_000)))], "id long, wav binary")
-    assert ports.recognised(wav).collect() == ports.recognised(wav).collect()
-    v = ports.embedded(wav).first()["embedding"]
-    assert sum(x * x for x in v) == pytest.approx(1)
-    calls = []
-
-    def flaky(x):
-        calls.append(x)
-        if len(calls) < 3:
-            raise TimeoutError
-        return x
-
-    assert ports.with_retry(flaky)(5) == 5 and len(calls) == 3
-
-
 def test_rendering_replaces_and_normalises(spark):
     row = spark.range(1).select(
         tracks.rendered(F.array(F.lit(1), F.lit(2)), F.array(F.array(*(F.lit(5).cast("smallint"),) * 3), F.array(F.lit(9).cast("smallint"))), F.lit(6)).alias("t"),
@@ -69,10 +49,39 @@ def test_rendering_replaces_and_normalises(spark):
     assert row["t"] == [0, 5, 9, 5, 0, 0] and row["n"] == [[0.45], [-0.9]] and row["s"]
 
 
-def test_illegal_transitions_by_default_table(spark):
-    rows = [(1, 0, "pending"), (1, 1, "processing"), (1, 2, "completed"), (1, 3, "processing"), (2, 0, "failed"), (2, 1, "processing")]
-    got = lineage.illegal_transitions(spark.createDataFrame(rows, "id int, seq int, status string"), ["id"], "seq", "status").collect()
-    assert [(r["id"], r["from_status"], r["status"]) for r in got] == [(1, "completed", "processing")]
+def test_illegal_transitions_by_level(spark):
+    rows = [(1, 0, "pending"), (1, 1, "splitting"), (1, 2, "split_completed"), (1, 3, "splitting"), (2, 0, "failed"), (2, 1, "splitting"), (2, 2, "failed")]
+    events = spark.createDataFrame(rows, "id int, seq int, status string")
+    got = lineage.illegal_transitions(events, ["id"], "seq", "status", lineage.RAW_TRANSITIONS).collect()
+    assert [(r["id"], r["from_status"], r["status"]) for r in got] == [(1, "split_completed", "splitting")]
+    for legal in (lineage.RAW_TRANSITIONS, lineage.PART_TRANSITIONS, lineage.CHUNK_TRANSITIONS):
+        assert not any(a in ("completed", "rejected") for a, _ in legal)
+    every = {*lineage.RAW_TRANSITIONS, *lineage.PART_TRANSITIONS, *lineage.CHUNK_TRANSITIONS}
+    assert all({(needed, meanwhile), ("failed", meanwhile)} <= every for needed, meanwhile in api.STAGES.values())
+
+
+def test_diarize_claims_say_what_stands_and_clear_the_old_result(spark):
+    now = spark.createDataFrame([("a", "failed", "old"), ("b", "filtering", "x"), ("c", "diarized", "y"), ("d", "completed", "z")], "id string, status string, diarization_uri string")
+    got = {r["id"]: (r["status"], r["diarization_uri"], r["disposition"]) for r in api.trigger(now, now.select("id"), "diarize").collect()}
+    assert got == {"a": ("diarizing", None, "claimed"), "b": ("filtering", "x", "already_processing"), "c": ("diarized", "y", "dispatch_ready"), "d": ("completed", "z", "completed")}
+
+
+def test_window_seeds_are_slices_of_one_digest(spark):
+    from parley.operators import tracks
+
+    chunk = uuid.uuid5(uuid.NAMESPACE_URL, "chunk")
+    row = spark.createDataFrame([(str(chunk), 3)], "id string, n int").select(tracks.window_seeds("id", "n").alias("s")).first()
+    drawn = hashlib.shake_256(chunk.bytes).digest(24)
+    assert [int(x) for x in row["s"]] == [int.from_bytes(drawn[i : i + 8], "big") for i in (0, 8, 16)]
+
+
+def test_keys_of_earlier_batches_are_not_stored_again(spark, tmp_path):
+    source, out = tmp_path / "in", control._shared(spark, "upserts")
+    for k, ids in enumerate([[1, 2, 2], [2, 3]]):
+        spark.createDataFrame([(i, k) for i in ids], "id long, k int").coalesce(1).write.parquet(f"{source}/{k}")
+    stream = spark.readStream.schema("id long, k int").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(source))
+    control.upserted(stream, out, ["id"])
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
 
 
 def test_redelivered_batches_do_not_double(spark, sf_dir):

@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from parley.plans import more, oracles
+from parley.plans import checks, foldsql, more, oracles  # noqa: F401  all register
 from parley.plans.more import QUERIES
 
 ORACLES = oracles.ORACLES | more.ORACLES
