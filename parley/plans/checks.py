@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from ..operators import lineage, validators
+from ..sources import media
 from ..sources import views as v
 from . import oracles as o
 from .more import ORACLES, against
@@ -235,3 +236,34 @@ def namespace_merge(spark, d):
     held = F.when(F.col("o_orderstatus") == "F", F.create_map(F.lit("separation"), F.when(F.col("o_orderkey") % 3 == 0, "old").otherwise("new"))).when(F.col("o_orderstatus") == "P", F.create_map(F.lit("persona"), F.lit("p")))
     merged = lineage.merged_namespace(held, "separation", F.lit("new"))
     return v.table(spark, d, "orders").select("o_orderkey", F.to_json(F.sort_array(F.map_keys(merged))).alias("names"))
+
+
+@against("""WITH f AS (SELECT l_orderkey AS k, count(*) * (8 + l_orderkey % 3 * 8) AS n FROM lineitem GROUP BY l_orderkey), e AS (SELECT k, n, n // 16 + CASE WHEN k % 5 = 0 THEN 1 ELSE 0 END AS ms FROM f)
+  SELECT k AS track_id, CAST((n * 1000 + 8000) // 16000 = ms AS BOOLEAN) AS strict, n = ms * 16 AS exact, n = ms * 16 AS chunk, n = ms * 16 AS track,
+    CASE WHEN CAST(round_even((k % 4 + 1) * 11.025, 0) AS BIGINT) <= n THEN 2 * (CAST(round_even((k % 4 + 1) * 11.025, 0) AS BIGINT) - CAST(round_even(k % 4 * 11.025, 0) AS BIGINT)) END AS range_bytes FROM e""")
+def wav_reads(spark, d):
+    """Which readers take a track, and the bytes of one of its milliseconds at 11,025 frames a second."""
+    longer = F.flatten(F.transform("samples", lambda x: F.array_repeat(x, (8 + F.col("track_id") % 3 * 8).cast("int"))))
+    w = media.with_wav(v.samples(spark, d).withColumn("samples", longer)).withColumn("h", media.wav_header(F.col("wav")))
+    ms = F.expr("h.frames div 16") + F.when(F.col("track_id") % 5 == 0, 1).otherwise(0)
+    at = F.col("track_id") % 4
+    part = media.range_of(F.col("wav"), F.col("h.frames"), at, at + 1, 11_025)
+    return w.select("track_id", media.readings(F.col("h"), F.length("wav"), ms).alias("r"), F.length(part).cast("long").alias("range_bytes")).select("track_id", "r.*", "range_bytes")
+
+
+@against("""SELECT o_orderkey, 'raw_audios/' || k || '/audio.wav' AS audio, 'raw_audios/' || k || '/vad_segments.json' AS segments, CASE WHEN p >= 0 THEN 'raw_audios/' || k || '/audio_parts/' || p || '/audio.wav' END AS part,
+  CASE WHEN p >= 0 THEN 'raw_audios/' || k || '/audio_parts/' || p || '/results/transcript.json' ELSE 'results/transcript.json' END AS transcript FROM (SELECT o_orderkey, md5(CAST(o_orderkey AS VARCHAR)) AS k, o_orderkey % 5 - 1 AS p FROM orders)""")
+def storage_keys(spark, d):
+    k = F.md5(F.col("o_orderkey").cast("string").cast("binary"))
+    rows = v.table(spark, d, "orders").select("o_orderkey", media.raw_keys(k, F.col("o_orderkey") % 5 - 1).alias("k")).select("o_orderkey", "k.*")
+    return rows.withColumn("transcript", media.beside(F.col("part"), "results", "transcript.json"))
+
+
+@against("""SELECT label, '{"schema_version":1,"model":"d\\u00e9j\\u00e0","audio_duration_ms":' || n || ',"segments":[{"start_ms":0,"end_ms":' || n || '}]}' || chr(10) AS compact,
+  '{' || chr(10) || '  "schema_version": 1,' || chr(10) || '  "segments": [' || chr(10) || '    ' || n || chr(10) || '  ]' || chr(10) || '}' || chr(10) AS pretty FROM (SELECT label, count(*) AS n FROM embeddings GROUP BY label)""")
+def json_sinks(spark, d):
+    n = v.table(spark, d, "embeddings").groupBy("label").agg(F.count("*").alias("n"))
+    segment = F.struct(F.lit(0).alias("start_ms"), F.col("n").alias("end_ms"))
+    compact = F.to_json(F.struct(F.lit(1).alias("schema_version"), F.lit("déjà").alias("model"), F.col("n").alias("audio_duration_ms"), F.array(segment).alias("segments")))
+    pretty = F.to_json(F.struct(F.lit(1).alias("schema_version"), F.array("n").alias("segments")))
+    return n.select("label", media.compact_json(compact).alias("compact"), media.pretty_json(pretty).alias("pretty"))

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import io
+import json
 import wave
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 MAX_UPLOAD = 314_572_800
 
@@ -29,6 +31,62 @@ def cut(content: Column, start_frame: Column, end_frame: Column) -> Column:
     return F.substring(content, (start_frame * 2 + 45).cast("int"), ((end_frame - start_frame) * 2).cast("int"))
 
 
+def half_even_frame(ms: Column, rate: int) -> Column:
+    """The frame at a millisecond, halves to even."""
+    return F.bround(ms.cast("decimal(20,0)") * rate / 1000, 0).cast("long")
+
+
+def readings(header: Column, length: Column, expected_ms: Column, rate: int = 16_000) -> Column:
+    """Which readers accept a WAV of ``expected_ms``.
+
+    ``strict`` compares the length in milliseconds, halves up; ``exact`` refuses lengths between
+    milliseconds; ``chunk`` wants the very number of frames, ``track`` also no byte after them.
+    """
+    frames = header["frames"]
+    pcm = header["whole"] & (header["channels"] == 1) & (header["bits"] == 16) & (header["rate"] == rate) & (frames > 0)
+    strict = F.floor((frames * 1000 + rate // 2) / rate) == expected_ms
+    exact = (frames * 1000 % rate == 0) & (frames * 1000 == expected_ms * rate)
+    chunk = frames == half_even_frame(expected_ms, rate)
+    track = (frames * 1000 == expected_ms * rate) & (length == frames * 2 + 44)
+    said = {"strict": strict, "exact": exact, "chunk": chunk, "track": track}
+    return F.struct(*(F.coalesce(pcm & ok, F.lit(False)).alias(k) for k, ok in said.items()))
+
+
+def range_of(content: Column, frames: Column, start_ms: Column, end_ms: Column, rate: int) -> Column:
+    """Payload bytes between two milliseconds, bounds rounded half to even; null past the end or where nothing is left."""
+    a, b = half_even_frame(start_ms, rate), half_even_frame(end_ms, rate)
+    return F.when((start_ms >= 0) & (b > a) & (b <= frames), cut(content, a, b))
+
+
+def raw_keys(raw_id: Column, part_index: Column) -> Column:
+    """Storage keys of a recording's audio, its speech segments, and one of its parts."""
+    root = F.concat(F.lit("raw_audios/"), raw_id)
+    part = F.when(part_index >= 0, F.concat(root, F.lit("/audio_parts/"), part_index.cast("string"), F.lit("/audio.wav")))
+    return F.struct(F.concat(root, F.lit("/audio.wav")).alias("audio"), F.concat(root, F.lit("/vad_segments.json")).alias("segments"), part.alias("part"))
+
+
+def beside(key: Column, *names: Column | str) -> Column:
+    """A key in the folder of another key, such as results/transcript.json or speaker-references/references.json."""
+    parts = [F.lit(n) if isinstance(n, str) else n for n in names]
+    return F.concat_ws("/", F.regexp_replace(key, "/[^/]*$", ""), *parts)
+
+
+def _dumped(texts: pd.Series, **style) -> pd.Series:
+    return texts.map(lambda t: None if t is None else json.dumps(json.loads(t), ensure_ascii=True, **style) + "\n")
+
+
+@F.pandas_udf(StringType())
+def compact_json(document: pd.Series) -> pd.Series:
+    """JSON text without spaces, fields as they come, ASCII only, with a line feed at the end."""
+    return _dumped(document, separators=(",", ":"))
+
+
+@F.pandas_udf(StringType())
+def pretty_json(document: pd.Series) -> pd.Series:
+    """JSON text indented by two, fields as they come, ASCII only, with a line feed at the end."""
+    return _dumped(document, indent=2)
+
+
 def samples_of(payload: Column) -> Column:
     """The 16-bit little-endian samples of payload bytes."""
     places = F.sequence(F.lit(0), (F.length(payload) / 2).cast("int") - 1)
