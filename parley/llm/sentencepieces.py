@@ -95,7 +95,7 @@ class TrieViterbi:
         self.v, ids = vocabulary, vocabulary.ids
         self.code = {k: np.array([k], "<u4").tobytes() for k in ids.values()}
         self.least = min(vocabulary.scores, default=0.0) - 10
-        self.fits = Recent(pairs, self._fits)
+        self.fitting = Recent(pairs)
         # by a prefix's last two characters, the lengths of pieces that may end there, longest first
         sizes: dict[str, set[int]] = {}
         for p in ids:
@@ -119,9 +119,13 @@ class TrieViterbi:
 
     def _fits(self, pair: int) -> bool:
         """Whether merging keeps the boundary between two pieces; -1 stands for a word's or wall's edge."""
-        before, k = divmod(pair, len(self.v.pieces))
-        own = [self.v.pieces[k]] if before < 0 else [self.v.pieces[before], self.v.pieces[k]]
-        return self._merged("".join(own)) == own
+        fits = self.fitting.old.get(pair)
+        if fits is None:
+            before, k = divmod(pair, len(self.v.pieces))
+            own = [self.v.pieces[k]] if before < 0 else [self.v.pieces[before], self.v.pieces[k]]
+            fits = self._merged("".join(own)) == own
+        self.fitting.put(pair, fits)
+        return fits
 
     def _other(self, char: str) -> bytes:
         """Ids of a character that no piece holds."""
@@ -150,7 +154,7 @@ class TrieViterbi:
             yield word, b"".join(out)
 
     def _merge_states(self, word: str, first: int, states: list) -> None:
-        get, fits, sizes, n = self.v.ids.get, self.fits, self.sizes, len(self.v.pieces)
+        get, fitting, sizes, n = self.v.ids.get, self.fitting, self.sizes, len(self.v.pieces)
         for end in range(first, len(word) + 1):
             for size in sizes.get(word[end - 2 : end] if end > 1 else word[0], (1,)):
                 begin = end - size
@@ -161,11 +165,15 @@ class TrieViterbi:
                     if size == 1:
                         states.append((begin, -1, 0.0))
                         break
-                elif fits[states[begin][1] * n + k]:
+                    continue
+                pair = states[begin][1] * n + k
+                fits = fitting.new.get(pair)
+                if fits or fits is None and self._fits(pair):
                     states.append((begin, k, 0.0))
                     break
-            else:
-                raise ValueError(f"no piece ends {word[:end]!r}")
+            else:  # merging the whole prefix decides
+                last = self._merged(word[:end])[-1]
+                states.append((end - len(last), get(last, -1), 0.0))
 
     def _best_states(self, word: str, first: int, states: list) -> None:
         ids, scores = self.v.ids, self.v.scores
