@@ -6,21 +6,40 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..policy import ReferencePolicy
-from .intervals import merge
+from .intervals import BUCKET_MS, merge
+
+
+def _edges(ranges: DataFrame, keys: list[str], weight: int) -> DataFrame:
+    """Starts and ends of ranges: at t the number of speakers changes by d, and the sum of their numbers by ds."""
+    speaker = F.col("speaker").cast("long")
+    sides = F.explode(F.array(F.struct(F.col("start_ms").alias("t"), F.lit(weight).alias("d")), F.struct(F.col("end_ms").alias("t"), F.lit(-weight).alias("d"))))
+    return ranges.select(*keys, speaker.alias("s"), sides.alias("e")).select(*keys, "e.t", "e.d", (F.col("e.d") * F.col("s")).alias("ds"))
+
+
+def _swept(edges: DataFrame, keys: list[str]) -> DataFrame:
+    """Stretches between neighbouring bounds: how many speakers are live, and the sum of their numbers.
+
+    Bounds are summed inside buckets of time; what is live at a bucket's start, and where the
+    next one begins, come from one row a bucket. A recording with a large share of all rows is
+    so spread over its buckets.
+    """
+    at = edges.groupBy(*keys, F.expr(f"t div {BUCKET_MS}").alias("bucket"), "t").agg(F.sum("d").alias("d"), F.sum("ds").alias("ds"))
+    per = at.groupBy(*keys, "bucket").agg(F.min("t").alias("first"), F.sum("d").alias("d"), F.sum("ds").alias("ds"))
+    w = Window.partitionBy(*keys).orderBy("bucket")
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    borders = per.select(*keys, "bucket", F.lead("first").over(w).alias("next_t"), *(F.coalesce(F.sum(c).over(before), F.lit(0)).alias(f"{c}_before") for c in ("d", "ds")))
+    inside = Window.partitionBy(*keys, "bucket").orderBy("t")
+    run = inside.rowsBetween(Window.unboundedPreceding, 0)
+    live, speaker = (F.sum(c).over(run) + F.col(f"{c}_before") for c in ("d", "ds"))
+    end = F.coalesce(F.lead("t").over(inside), F.col("next_t"))
+    return at.join(borders, [*keys, "bucket"]).select(*keys, F.col("t").alias("start_ms"), end.alias("end_ms"), live.alias("live"), speaker.alias("speaker"))
 
 
 def _pieces(turns: DataFrame, keys: list[str]) -> DataFrame:
     """Stretches between neighbouring bounds in which exactly one speaker is active."""
     spoken = merge(turns, [*keys, "speaker"])
-    edges = spoken.select(*keys, F.col("start_ms").alias("t"), F.lit(1).alias("d"), F.col("speaker").cast("long").alias("s")).unionAll(
-        spoken.select(*keys, F.col("end_ms").alias("t"), F.lit(-1).alias("d"), F.col("speaker").cast("long").alias("s"))
-    )
     # after the union each speaker is active at most once, so counts and speaker sums name the one
-    at = edges.groupBy(*keys, "t").agg(F.sum("d").alias("d"), F.sum(F.col("d") * F.col("s")).alias("ds"))
-    w = Window.partitionBy(*keys).orderBy("t")
-    run = w.rowsBetween(Window.unboundedPreceding, 0)
-    swept = at.select(*keys, F.col("t").alias("start_ms"), F.lead("t").over(w).alias("end_ms"), F.sum("d").over(run).alias("live"), F.sum("ds").over(run).alias("speaker"))
-    return swept.where("live = 1 and end_ms > start_ms").select(*keys, "speaker", "start_ms", "end_ms")
+    return _swept(_edges(spoken, keys, 1), keys).where("live = 1 and end_ms > start_ms").select(*keys, "speaker", "start_ms", "end_ms")
 
 
 def pure_intervals(turns: DataFrame, keys: list[str]) -> DataFrame:
@@ -30,14 +49,8 @@ def pure_intervals(turns: DataFrame, keys: list[str]) -> DataFrame:
 
 def audit_pieces(turns: DataFrame, keys: list[str]) -> DataFrame:
     """Single-speaker ranges cut at every turn's bounds, for comparing separated tracks."""
-    edges = turns.select(*keys, F.col("start_ms").alias("t"), F.lit(1).alias("d"), "speaker").unionAll(turns.select(*keys, F.col("end_ms").alias("t"), F.lit(-1).alias("d"), "speaker"))
-    per = edges.groupBy(*keys, "t", "speaker").agg(F.sum("d").alias("d"))
-    speakers = turns.select(*keys, "speaker").distinct()
-    grid = per.select(*keys, "t").distinct().join(speakers, keys).join(per, [*keys, "t", "speaker"], "left")
-    live = F.sum(F.coalesce("d", F.lit(0))).over(Window.partitionBy(*keys, "speaker").orderBy("t").rowsBetween(Window.unboundedPreceding, 0))
-    at = grid.withColumn("live", live).groupBy(*keys, "t").agg(F.sum((F.col("live") > 0).cast("int")).alias("n"), F.max(F.when(F.col("live") > 0, F.col("speaker"))).alias("speaker"))
-    w = Window.partitionBy(*keys).orderBy("t")
-    return at.select(*keys, F.col("speaker").cast("long").alias("speaker"), F.col("t").alias("start_ms"), F.lead("t").over(w).alias("end_ms"), "n").where("n = 1 and end_ms is not null").drop("n")
+    edges = _edges(merge(turns, [*keys, "speaker"]), keys, 1).unionByName(_edges(turns, keys, 0))
+    return _swept(edges, keys).where("live = 1 and end_ms is not null").select(*keys, "speaker", "start_ms", "end_ms")
 
 
 def longest_pure(pure: DataFrame, keys: list[str], trim: int = 500, most: int = 30_000) -> DataFrame:

@@ -75,14 +75,17 @@ def with_silence(a: Column, frames: int, b: Column) -> Column:
     return F.concat(a, F.array_repeat(F.lit(0.0), frames), b)
 
 
-def timed_peaks(rows: DataFrame, keys: list[str], time: str, value: str, audible: str, buckets: int) -> DataFrame:
-    """Peak of each bucket of time relative to the loudest, silence after the audible end."""
-    w = Window.partitionBy(*keys)
-    span = rows.withColumn("__all", F.max(time).over(w) + 1)
-    bar = F.floor(F.col(time) * buckets / F.col("__all")).cast("long")
-    level = F.when(F.col(time) <= F.col(audible), F.abs(value)).otherwise(0.0)
-    levels = span.withColumn("bar", bar).groupBy(*keys, "bar").agg(F.max(level).alias("level"))
-    return levels.select(*keys, "bar", F.round(F.col("level") / F.greatest(F.max("level").over(w), F.lit(1e-10)), 3).alias("height"))
+def timed_peaks(rows: DataFrame, keys: list[str], time: str, value: str, audible: float, buckets: int) -> DataFrame:
+    """Peak of each bucket of time relative to the loudest, silence after the ``audible`` share of the time.
+
+    Lengths and loudest bars are aggregated and joined, so no window meets a track's samples.
+    """
+    span = rows.join(rows.groupBy(*keys).agg((F.max(time) + 1).alias("span")), keys)
+    bar = F.floor(F.col(time) * buckets / F.col("span")).cast("long")
+    level = F.when(F.col(time) <= (F.col("span") - 1) * audible, F.abs(value)).otherwise(0.0)
+    levels = span.select(*keys, bar.alias("bar"), level.alias("level")).groupBy(*keys, "bar").agg(F.max("level").alias("level"))
+    loudest = levels.groupBy(*keys).agg(F.greatest(F.max("level"), F.lit(1e-10)).alias("loudest"))
+    return levels.join(loudest, keys).select(*keys, "bar", F.round(F.col("level") / F.col("loudest"), 3).alias("height"))
 
 
 def downsampled(levels: Column, bars: int) -> Column:

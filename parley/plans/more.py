@@ -48,9 +48,8 @@ def audit_votes(spark, d):
   SELECT part_id, CAST(floor(start_ms * 420 / (top + 1)) AS BIGINT) AS bar, max(CASE WHEN start_ms <= top * 0.75 THEN abs(x) ELSE 0 END) AS level FROM x GROUP BY 1, 2)
   SELECT part_id, bar, round(level / greatest(max(level) OVER (PARTITION BY part_id), 1e-10), 3) AS height FROM b""")
 def peaks_with_cutoff(spark, d):
-    top = F.max("start_ms").over(Window.partitionBy("part_id"))
-    rows = v.turns(spark, d).select("part_id", "start_ms", ((F.col("turn_id") * 7919 % 1000) / 1000.0).alias("x"), (top * 0.75).alias("audible"))
-    return tracks.timed_peaks(rows, PART, "start_ms", "x", "audible", 420)
+    rows = v.turns(spark, d).select("part_id", "start_ms", ((F.col("turn_id") * 7919 % 1000) / 1000.0).alias("x"))
+    return tracks.timed_peaks(rows, PART, "start_ms", "x", 0.75, 420)
 
 
 @against("""SELECT vec_id, round(list_sum([0.65 * list_max(l[i * 4 + 1 : i * 4 + 4]) + 0.35 * list_sum(l[i * 4 + 1 : i * 4 + 4]) / 4 FOR i IN range(0, 16)]), 6) AS total,
