@@ -20,6 +20,8 @@ from . import common
 BUCKETS = 4096
 #: Labelled documents of a language that the model is fitted on: those with the smallest hashes.
 FIT_DOCS = 3_000
+#: Languages whose rows are thinned by hash before the window that takes the smallest ones; it only saves work.
+COMMON_LANGUAGES = 64
 EM_ROUNDS = 12
 #: How often the rounds over all languages are repeated, at most, while the likelihood is far from its greatest.
 EM_REPEATS = 25
@@ -124,9 +126,10 @@ def fit(docs: DataFrame, where: Column | None = None, fit_docs: int = FIT_DOCS)
     known = known.where(where) if where is not None else known
     known = known.select("lang", "text", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text").alias("hash"))
     # a language's share of hashes that holds twice as many rows as are taken: no window meets all of a common language
-    counts = known.groupBy("lang").agg(F.count("*").alias("n"))
-    below = F.when(F.col("n") <= 4 * fit_docs, 1.0).otherwise(2.0 * fit_docs / F.col("n"))
-    low = known.join(counts.select("lang", below.alias("share")), "lang").where(F.col("hash") / float(1 << 64) + 0.5 <= F.col("share"))
+    counts = known.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") > 4 * fit_docs)
+    common_ones = {r["lang"]: 2.0 * fit_docs / r["n"] for r in counts.orderBy(F.desc("n"), "lang").limit(COMMON_LANGUAGES).collect()}
+    share = F.coalesce(*(F.when(F.col("lang") == k, F.lit(v)) for k, v in common_ones.items()), F.lit(1.0))
+    low = known.where(F.col("hash") / float(1 << 64) + 0.5 <= share)
     order = Window.partitionBy("lang").orderBy("hash", "text")
     sample = low.select("lang", "text", F.row_number().over(order).alias("k")).where(F.col("k") <= fit_docs).select("lang", "text")
 

@@ -247,17 +247,15 @@ def classify(docs: DataFrame, labels: DataFrame, host_col: str = "source", path_
 def keep_good(docs: DataFrame, labels: DataFrame, host_col: str = "source", path_col: str = "lang") -> DataFrame:
     """The documents that the classifier keeps, with the columns they came with.
 
-    Verdicts are kept by id and text hash, so texts are described once.
+    Texts are described twice, for the sites' sums and for the verdicts: that costs less than
+    shuffling them to verdicts kept by id.
     """
     model = fit(docs, labels)
     if model is None:
         return docs
     host, path = _site(docs, host_col, path_col)
-    id_, mark = F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 63))), F.xxhash64(F.coalesce("text", F.lit("")))
-    named = docs.select(id_.alias("id"), mark.alias("mark"), host.alias("host"), path.alias("path"), "text")
-    evidence = common.stored(with_evidence(named, model, out="p").drop("text"), "evidence")
-    sites, priors = site_posteriors(evidence)
-    sites_of = ["id", "mark", "host", "path"]
-    gone = judged(evidence, sites, priors).where(F.col("quality") < KEEP_FROM).select(*sites_of).distinct()
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), id_.alias("id"), mark.alias("mark"), host.alias("host"), path.alias("path"))
-    return rows.join(common.stored(gone, "gone"), sites_of, "left_anti").select("row.*")
+    plain = docs.select("text", host.alias("host"), path.alias("path"))
+    sites, priors = site_posteriors(common.stored(with_evidence(plain, model, out="p").drop("text"), "evidence"))
+    held = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    rows = docs.select(held, host.alias("host"), path.alias("path"), F.col("text").alias("text"))
+    return judged(with_evidence(rows, model, out="p").drop("text"), sites, priors).where(F.col("quality") >= KEEP_FROM).select("row.*")
