@@ -66,17 +66,17 @@ def beam_search(x: np.ndarray, graph: list[np.ndarray], start: int, q: np.ndarra
 
 def robust_prune(x: np.ndarray, nodes: np.ndarray, dist: np.ndarray, degree: int, relax: float) -> np.ndarray:
     """Of candidates ordered by distance, those not much nearer to a kept one than to the point."""
+    v = x[nodes]
+    size = np.einsum("ij,ij->i", v, v)
+    shadows = relax * relax * (size[:, None] + size - 2 * (v @ v.T)) <= dist  # of each node, those it stands before
     kept, alive = [], np.ones(len(nodes), bool)
-    bound = relax * relax
     for i in range(len(nodes)):
-        if not alive[i]:
-            continue
-        kept.append(nodes[i])
-        if len(kept) == degree:
-            break
-        rest = np.flatnonzero(alive[i + 1 :]) + i + 1
-        alive[rest[bound * _distances(x[nodes[rest]], x[nodes[i]]) <= dist[rest]]] = False
-    return np.array(kept, np.int64)
+        if alive[i]:
+            kept.append(i)
+            if len(kept) == degree:
+                break
+            alive &= ~shadows[i]
+    return nodes[kept]
 
 
 def build_graph(x: np.ndarray, degree: int = DEGREE, beam: int = BUILD_BEAM, relax: float = RELAX) -> tuple[int, list[np.ndarray]]:
