@@ -10,6 +10,8 @@ from __future__ import annotations
 import math
 import re
 from collections.abc import Iterator
+from functools import reduce
+from operator import or_
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -212,9 +214,10 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     least, most = threshold / (2 - threshold), (2 - threshold) / threshold
     sized = [(n, name, pairs) for name, pairs in known for n in range(math.ceil(least * len(pairs) - 1e-9), math.floor(most * len(pairs) + 1e-9) + 1)]
     by_size = spark.createDataFrame(sized, "n int, license string, known array<string>")  # as many rows as the templates' sizes allow
-    lowered = F.lower("text")
+    held = needed_words(known, threshold)
+    needed = F.exists(F.array(F.lower("text")), lambda t: reduce(or_, (t.contains(w) for w in held), F.lit(False)))  # the lambda has the text lowered once
     docs = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("row"))  # tells apart the units of rows with one id
-    docs = docs.where(F.greatest(*(lowered.contains(w) for w in needed_words(known, threshold)), F.lit(False)))
+    docs = docs.where(needed)
     text = F.regexp_replace("text", "\r\n?", "\n")
     blocks = F.filter(F.split(text, r"\n[ \t]*\n"), lambda b: F.contains(b, F.lit("\n")))
     units = docs.select("row", "doc_id", F.posexplode(F.concat(F.split(text, "\n"), blocks)).alias("place", "unit"))
