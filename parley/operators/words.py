@@ -10,9 +10,11 @@ from .intervals import merge, overlap_join
 
 # Abbreviations whose point ends no sentence.
 ABBREVIATIONS = (
-    "mr. mrs. ms. dr. jr. sr. prof. rev. hon. capt. sgt. lt. col. gen. cpl. maj. sen. rep. gov. pres. amb. inc. ltd. co. corp. llc. llp. plc. gmbh. "
-    "e.g. i.e. etc. vs. cf. viz. a.m. p.m. u.s. u.k. u.n. e.u. st. ave. blvd. rd. ln. ct. no. fig. vol. pp. ch. sec. art."
-).split()
+    "mr.", "mrs.", "ms.", "dr.", "jr.", "sr.", "prof.", "rev.", "hon.", "capt.", "sgt.", "lt.", "col.", "gen.",
+    "cpl.", "maj.", "sen.", "rep.", "gov.", "pres.", "amb.", "inc.", "ltd.", "co.", "corp.", "llc.", "llp.",
+    "plc.", "gmbh.", "e.g.", "i.e.", "etc.", "vs.", "cf.", "viz.", "a.m.", "p.m.", "u.s.", "u.k.", "u.n.", "e.u.",
+    "st.", "ave.", "blvd.", "rd.", "ln.", "ct.", "no.", "fig.", "vol.", "pp.", "ch.", "sec.", "art.",
+)
 
 
 def ends_sentence(word: Column) -> Column:
