@@ -12,9 +12,9 @@ import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Rows of an Arrow batch handed to Python. Whole texts travel in these batches, so the
-#: default of 10,000 rows would hold too many bytes when documents are long.
-BATCH_ROWS = 256
+#: Rows and bytes of an Arrow batch handed to Python. Whole texts travel in these batches, so
+#: the defaults of 10,000 rows and 64 MB would hold too much when documents are long.
+BATCH_ROWS, BATCH_BYTES = 256, 4 << 20
 
 DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -22,6 +22,7 @@ DOC_COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables, read with batches small enough for whole texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
