@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, common, langid, license, media, packing, quality, sentencepieces, simhash, suffix, tokenfile
+from . import ann, common, divergence, langid, license, media, packing, quality, sentencepieces, simhash, suffix, target, tokenfile
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -59,6 +59,14 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepieces.digest(common.table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op11_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return target.resample(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
+
+
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(common.table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality": op1_quality,
     "op2_language": op2_language,
@@ -70,6 +78,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_media": op8_media,
     "op9_license": op9_license,
     "op10_sentencepiece": op10_sentencepiece,
+    "op11_target": op11_target,
+    "op13_divergence": op13_divergence,
 }
 
-ORACLE_SQL: dict[str, str] = {"op9_license": license.oracle()}
+ORACLE_SQL: dict[str, str] = {"op9_license": license.oracle(), "op11_target": target.oracle(), "op13_divergence": divergence.oracle()}
