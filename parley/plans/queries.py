@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from .. import storage
 from ..functions import timebase
 from ..operators import contracts, intervals, lineage, planning, quality, signal, speakers, sweep, words
 from ..policy import QualityPolicy, WindowPolicy
@@ -357,8 +358,8 @@ def stream_dedup(spark, d):
 
 @query
 def stream_state(spark, d):
-    folder = control._shared(spark, "state")
-    log = control._shared(spark, "state-log")
+    folder = storage.shared(spark, "state")
+    log = storage.shared(spark, "state-log")
     rows = control.counted_state(control.source(spark, d).select("user_id", "value"))
 
     def write(batch: DataFrame, number: int) -> None:

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import pandas as pd
@@ -10,15 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-
-def _shared(spark: SparkSession, name: str) -> str:
-    base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        import tempfile
-
-        base = "file://" + tempfile.mkdtemp(prefix="parley-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+from ..storage import shared
 
 
 def source(spark: SparkSession, sf_dir: str, table: str = "events") -> DataFrame:
@@ -41,7 +32,7 @@ def _is_folder(spark: SparkSession, path: str) -> bool:
 def drained(stream: DataFrame, name: str, mode: str = "append") -> DataFrame:
     """Run a stream over all input there is into a Parquet folder and return what it wrote."""
     spark = stream.sparkSession
-    out, log = _shared(spark, name), _shared(spark, f"{name}-log")
+    out, log = shared(spark, name), shared(spark, f"{name}-log")
     stream.writeStream.format("parquet").outputMode(mode).option("path", out).option("checkpointLocation", log).trigger(availableNow=True).start().awaitTermination()
     return spark.read.schema(stream.schema).parquet(out)
 
@@ -80,5 +71,5 @@ def upserted(events: DataFrame, path: str, keys: list[str]) -> None:
             fresh = fresh.join(before.select(*keys).distinct(), keys, "left_anti")
         fresh.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    log = _shared(events.sparkSession, "upsert-log")
+    log = shared(events.sparkSession, "upsert-log")
     events.writeStream.foreachBatch(write).option("checkpointLocation", log).trigger(availableNow=True).start().awaitTermination()

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from parley import api
+from parley import api, storage
 from parley.operators import lineage, tracks
 from parley.plans.more import QUERIES
 from parley.sources import media
@@ -76,7 +76,7 @@ def test_window_seeds_are_slices_of_one_digest(spark):
 
 
 def test_keys_of_earlier_batches_are_not_stored_again(spark, tmp_path):
-    source, out = tmp_path / "in", control._shared(spark, "upserts")
+    source, out = tmp_path / "in", storage.shared(spark, "upserts")
     for k, ids in enumerate([[1, 2, 2], [2, 3]]):
         spark.createDataFrame([(i, k) for i in ids], "id long, k int").coalesce(1).write.parquet(f"{source}/{k}")
     stream = spark.readStream.schema("id long, k int").option("maxFilesPerTrigger", 1).option("recursiveFileLookup", "true").parquet(str(source))
@@ -85,7 +85,7 @@ def test_keys_of_earlier_batches_are_not_stored_again(spark, tmp_path):
 
 
 def test_redelivered_batches_do_not_double(spark, sf_dir):
-    out = control._shared(spark, "upserts")
+    out = storage.shared(spark, "upserts")
     for _ in range(2):
         control.upserted(control.source(spark, sf_dir).select("event_id", "user_id"), out, ["event_id"])
     assert spark.read.parquet(out).count() == spark.read.parquet(f"{sf_dir}/events.parquet").count()
