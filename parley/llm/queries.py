@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import ann, common, divergence, langid, license, media, packing, quality, sentencepieces, simhash, suffix, target, tokenfile
+from . import ann, common, divergence, langid, license, media, packing, pages, quality, sentencepieces, simhash, suffix, target, tokenfile
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -63,6 +63,10 @@ def op11_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     return target.resample(common.table(spark, sf_dir, "documents"), common.table(spark, sf_dir, "benchmark"))
 
 
+def op12_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.extract(common.table(spark, sf_dir, "pages"))
+
+
 def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.audit(common.table(spark, sf_dir, "documents"))
 
@@ -79,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_license": op9_license,
     "op10_sentencepiece": op10_sentencepiece,
     "op11_target": op11_target,
+    "op12_pages": op12_pages,
     "op13_divergence": op13_divergence,
 }
 
