@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 #: Rows and bytes of an Arrow batch handed to Python. Whole texts travel in these batches, so
 #: the defaults of 10,000 rows and 64 MB would hold too much when documents are long.
@@ -65,8 +66,18 @@ def write_blob(path: str, name: str, blob: bytes) -> None:
     fs.move(part, whole)
 
 
+def row_of(df: DataFrame) -> Column:
+    """All columns, whatever their names, as one struct named ``row``; functions of tasks then pass it on whole."""
+    return F.struct(*(F.col(f"`{c}`") for c in df.columns)).alias("row")
+
+
+def schema_of(df: DataFrame, names: list[str], more: str = "") -> StructType:
+    """The types of ``names`` in ``df``, then the fields of ``more``: names need no quoting."""
+    return StructType([*(df.schema[n] for n in names), *(StructType.fromDDL(more).fields if more else [])])
+
+
 def map_arrow(
-    df: DataFrame, schema: str, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+    df: DataFrame, schema: str | StructType, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
 ) -> DataFrame:
     return df.mapInArrow(fn, schema)
 

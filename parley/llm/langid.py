@@ -125,11 +125,11 @@ def fit(docs: DataFrame, where: Column | None = None, fit_docs: int = FIT_DOCS)
     known = docs.where("text is not null and lang is not null")
     known = known.where(where) if where is not None else known
     known = known.select("lang", "text", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "text").alias("hash"))
-    # a language's share of hashes that holds twice as many rows as are taken: no window meets all of a common language
-    counts = known.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") > 4 * fit_docs)
+    # a language's share of hashes that holds twice as many of them as are taken: no window meets all of a common language
+    counts = known.groupBy("lang").agg(F.approx_count_distinct("hash", 0.02).alias("n")).where(F.col("n") > 4 * fit_docs)
     common_ones = {r["lang"]: 2.0 * fit_docs / r["n"] for r in counts.orderBy(F.desc("n"), "lang").limit(COMMON_LANGUAGES).collect()}
     share = F.coalesce(*(F.when(F.col("lang") == k, F.lit(v)) for k, v in common_ones.items()), F.lit(1.0))
-    low = known.where(F.col("hash") / float(1 << 64) + 0.5 <= share)
+    low = known.where(F.col("hash") / float(1 << 64) + 0.5 <= share).dropDuplicates(["lang", "hash"])  # equal rows teach once
     order = Window.partitionBy("lang").orderBy("hash", "text")
     sample = low.select("lang", "text", F.row_number().over(order).alias("k")).where(F.col("k") <= fit_docs).select("lang", "text")
 
@@ -185,8 +185,8 @@ def with_language(docs: DataFrame, model: Model, text_col: str = "text") -> Data
                 names=["row", "lang", "score", "languages"],
             )
 
-    rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row"), F.col(text_col).alias("text"))
-    return common.map_arrow(rows, f"row {rows.schema['row'].dataType.simpleString()}, lang string, score double, languages array<struct<lang:string,share:double>>", predicted)
+    rows = docs.select(common.row_of(docs), F.col(f"`{text_col}`").alias("text"))
+    return common.map_arrow(rows, common.schema_of(rows, ["row"], "lang string, score double, languages array<struct<lang:string,share:double>>"), predicted)
 
 
 def identify(docs: DataFrame) -> DataFrame:

@@ -40,7 +40,7 @@ TEMPLATES: dict[str, str] = {
     "proprietary": "All rights reserved.",
 }
 
-# Wordings that the tables do not hold and the SQL leaves out.
+# Further wordings, which the tables do not hold.
 MORE_TEMPLATES: dict[str, str] = {
     "LGPL-2.1": "This work is licensed under the GNU Lesser General Public License, version 2.1.",
     "LGPL-3.0": "This work is licensed under the GNU Lesser General Public License, version 3.",
@@ -102,11 +102,11 @@ class _Windows:
     def _dice(self, pairs: set[str], known: frozenset[str]) -> float:
         return 2 * len(pairs & known) / (len(pairs) + len(known))
 
-    def _unit(self, tokens: list[str]) -> tuple[str, int] | None:
-        """The licence of a whole line or block and its template's size."""
+    def _unit(self, tokens: list[str]) -> tuple[str, float] | None:
+        """The licence of a whole line or block and its negated dice."""
         pairs = set(_pairs_of(tokens) or tokens)
-        best = min(((-self._dice(pairs, known), name, len(known)) for name, known in self.known.items()), default=(0, "", 0)) if pairs else (0, "", 0)
-        return best[1:] if -best[0] >= self.threshold else None
+        less, name = min(((-self._dice(pairs, known), name) for name, known in self.known.items()), default=(0, "")) if pairs else (0, "")
+        return (name, less) if -less >= self.threshold else None
 
     def find(self, text: str) -> list[tuple[int, str, float]]:
         """First character, licence and dice of each window outside the lines and blocks that match whole."""
@@ -140,11 +140,11 @@ class _Windows:
         return out
 
     def _in_block(self, block: list[tuple[str, int, int]], taken: list[tuple]) -> list[tuple[float, int, str, int, int]]:
-        """Windows of a block; a whole unit keeps its own licence to itself, and the place of its notice unless a longer one surrounds it."""
+        """Windows of a block; a whole unit keeps its own licence to itself, and the place of its notice unless a window around it fits better."""
         found = []
         for name, known in self.known.items():
             for less, short, a, b in self._hits(block, known):
-                if all((b <= x or a >= y) if other == name else (b <= c or a >= d or (a <= c and d <= b and size < len(known))) for x, y, other, size, c, d in taken):
+                if all((b <= x or a >= y) if other == name else (b <= c or a >= d or (a <= c and d <= b and less < own)) for x, y, other, own, c, d in taken):
                     found.append((less, short, name, a, b))
         return found
 
@@ -185,8 +185,6 @@ def needed_words(templates: list[tuple[str, list[str]]], threshold: float) -> li
 
 def _windows(docs: DataFrame, templates: list[tuple[str, list[str]]], threshold: float) -> DataFrame:
     """row, doc_id, place (negative, apart from lines and blocks), license and dice of windows inside lines and blocks."""
-    kind = docs.schema["doc_id"].dataType.simpleString()
-
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = _Windows(templates, threshold)
         for batch in batches:
@@ -197,7 +195,7 @@ def _windows(docs: DataFrame, templates: list[tuple[str, list[str]]], threshold:
                 names=["row", "doc_id", "place", "license", "dice"],
             )
 
-    return common.map_arrow(docs.select("row", "doc_id", "text"), f"row long, doc_id {kind}, place int, license string, dice double", found)
+    return common.map_arrow(docs.select("row", "doc_id", "text"), common.schema_of(docs, ["row", "doc_id"], "place int, license string, dice double"), found)
 
 
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
@@ -231,7 +229,7 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
 
 def oracle() -> str:
     """The same scan over table ``documents`` as DuckDB SQL."""
-    values = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted(TEMPLATES.items()))
+    values = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted((TEMPLATES | MORE_TEMPLATES).items()))
     pairs = "CASE WHEN len(w) > 1 THEN list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) ELSE w END"
     return rf"""
     WITH t AS (
@@ -247,7 +245,7 @@ def oracle() -> str:
         SELECT doc_id, regexp_extract_all(lower(unit), '{WORD}') AS w FROM units WHERE length(unit) >= 2) WHERE len(w) >= 1
     ), s AS (
       SELECT doc_id, id, license, 2.0 * len(list_intersect(u.b, t.b))::DOUBLE / (len(u.b) + len(t.b)) AS dice
-      FROM u JOIN t ON len(u.b) BETWEEN {THRESHOLD / (2 - THRESHOLD)} * len(t.b) AND {(2 - THRESHOLD) / THRESHOLD} * len(t.b)
+      FROM u JOIN t ON len(u.b) BETWEEN {THRESHOLD / (2 - THRESHOLD)} * len(t.b) - 1e-9 AND {(2 - THRESHOLD) / THRESHOLD} * len(t.b) + 1e-9
     ), best AS (
       SELECT *, row_number() OVER (PARTITION BY id ORDER BY dice DESC, license) AS r FROM s WHERE dice >= {THRESHOLD}
     )

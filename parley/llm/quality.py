@@ -134,8 +134,7 @@ def with_evidence(docs: DataFrame, model: Classifier, text_col: str = "text", ou
             p = model.probability(text_features(common.texts_of(batch, text_col)))
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(p)], names=[*batch.schema.names, out])
 
-    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields)
-    return common.map_arrow(docs, f"{fields}, {out} double", scored)
+    return common.map_arrow(docs, common.schema_of(docs, docs.columns, f"`{out}` double"), scored)
 
 
 @dataclass(frozen=True)
@@ -256,6 +255,5 @@ def keep_good(docs: DataFrame, labels: DataFrame, host_col: str = "source", path
     host, path = _site(docs, host_col, path_col)
     plain = docs.select("text", host.alias("host"), path.alias("path"))
     sites, priors = site_posteriors(common.stored(with_evidence(plain, model, out="p").drop("text"), "evidence"))
-    held = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    rows = docs.select(held, host.alias("host"), path.alias("path"), F.col("text").alias("text"))
+    rows = docs.select(common.row_of(docs), host.alias("host"), path.alias("path"), F.col("text").alias("text"))
     return judged(with_evidence(rows, model, out="p").drop("text"), sites, priors).where(F.col("quality") >= KEEP_FROM).select("row.*")

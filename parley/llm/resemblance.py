@@ -321,9 +321,8 @@ def one_of_each(docs: DataFrame, text_col: str = "text", width: int = WIDTH, sim
             sigs = [_signature(np.unique(h)) for h in _shingles(batch.column(2), width)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(sigs, pa.int64())], names=["row", "id", "sig"])
 
-    held = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    plain = docs.select(held, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    named = common.map_arrow(plain, f"row {plain.schema['row'].dataType.simpleString()}, id long, sig long", signed)
+    plain = docs.select(common.row_of(docs), F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    named = common.map_arrow(plain, common.schema_of(plain, ["row"], "id long, sig long"), signed)
     marked = named.join(marks, ["id", "sig"], "left")
     again = marked.where("stays").dropDuplicates(["id", "sig"])
     return marked.where("stays is null").select("row.*").unionByName(again.select("row.*"))

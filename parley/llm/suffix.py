@@ -215,9 +215,8 @@ def without_repeats(docs: DataFrame, window: int = WINDOW, id_col: str = "doc_id
                 out.append((b"".join(kept) + text[at:]).decode("utf-8"))
             yield pa.RecordBatch.from_arrays([batch.column("row"), pa.array(out, pa.string())], names=["row", "text"])
 
-    held = F.struct(*docs.columns).alias("row")
-    rows = _with_spans(docs, spans, id_col, text_col, held).select("row", "text", "spans")
-    kept = common.map_arrow(rows, f"row {docs.select(held).schema[0].dataType.simpleString()}, text string", run)
+    rows = _with_spans(docs, spans, id_col, text_col, common.row_of(docs)).select("row", "text", "spans")
+    kept = common.map_arrow(rows, common.schema_of(rows, ["row"], "text string"), run)
     changed = F.col(f"row.{text_col}").isNotNull() & (F.col("text") != F.col(f"row.{text_col}"))
     columns = []
     for c in docs.columns:

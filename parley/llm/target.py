@@ -147,13 +147,11 @@ def ranked(rows: DataFrame, cut: np.ndarray, drawn: int) -> DataFrame:
 
     Only segments that hold a drawn row are exchanged and merged.
     """
-    named = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema)
-
     def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.append_column("segment", pa.array(np.searchsorted(cut, _keys(batch), side="right"), pa.int32()))
 
-    held = common.map_arrow(rows, f"{named}, segment int", placed)
+    held = common.map_arrow(rows, common.schema_of(rows, rows.columns, "segment int"), placed)
     counts = np.zeros(len(cut) + 1, np.int64)
     for r in held.groupBy("segment").count().collect():  # no more than SEGMENTS
         counts[r["segment"]] = r["count"]

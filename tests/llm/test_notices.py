@@ -30,3 +30,20 @@ def test_notices_inside_lines_blocks_and_comments(spark):
         6: {("Apache-2.0-text", 0.892857, 1), ("proprietary", 1.0, 1)},
         5: {("CC-BY-ND-4.0", 1.0, 1), ("CC-BY-SA-4.0", 1.0, 1), ("proprietary", 1.0, 1)},
     }
+
+
+def test_every_template_alone_gives_itself_as_in_sql(spark):
+    import duckdb
+
+    every = license.TEMPLATES | license.MORE_TEMPLATES
+    texts = [*every.values(), *(f"Some words before.\n{t}\nSome words after it." for t in every.values())]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = sorted(map(tuple, license.scan(docs).select("dice", "doc_id", "license", "n_units").collect()))
+    names = [*every, *every]
+    alone = [r for r in got if r[1] < len(every)]
+    assert alone == sorted((1.0, i, name, 1) for i, name in enumerate(every))
+    assert {(r[1], r[2]) for r in got} == set(enumerate(names))
+    c = duckdb.connect()
+    c.register("documents", docs.toPandas())
+    want = c.sql(license.oracle()).project("dice, doc_id, license, n_units").fetchall()
+    assert got == sorted(want)
