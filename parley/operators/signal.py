@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .positions import numbered
+
 # The amplitude statistic of speech in noise at -20, -19 .. 100 dB.
 SNR_STATISTIC = [
     0.40974774, 0.40986926, 0.40998566, 0.40969089, 0.40986186, 0.40999006, 0.41027138, 0.41052627, 0.41101024, 0.41143264, 0.41231718,
@@ -30,6 +32,11 @@ def snr(rows: DataFrame, keys: list[str], value: str) -> DataFrame:
     peak = rows.groupBy(*keys).agg(F.max(F.abs(value)).alias("peak")).where("peak > 0")
     x = F.greatest(F.abs(F.col(value)) / F.col("peak"), F.lit(EPSILON))
     sums = rows.join(peak, keys).groupBy(*keys).agg(F.avg(x).alias("m"), F.avg(F.log(x)).alias("l"), F.sum(F.pow(F.col(value) / F.col("peak"), 2)).alias("energy"))
+    return decibels(sums, keys)
+
+
+def decibels(sums: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, statistic and snr_db from the mean amplitude (m), the mean of its logarithm (l) and the energy."""
     sums = sums.withColumn("statistic", F.log(F.greatest("m", F.lit(EPSILON))) - F.col("l"))
     table = F.lit(SNR_STATISTIC)
     below = F.array_max(F.filter(F.sequence(F.lit(0), F.lit(120)), lambda i: F.get(table, i) < F.col("statistic")))
@@ -61,10 +68,14 @@ def crossfade(a: Column, b: Column, overlap: Column) -> Column:
 
 
 def peaks(rows: DataFrame, keys: list[str], order: str, value: str, bars: int) -> DataFrame:
-    """Bar levels of a waveform: 0.65 peak + 0.35 rms of each bucket, against the loudest, ^0.72."""
-    w = Window.partitionBy(*keys)
-    placed = rows.withColumn("i", F.row_number().over(w.orderBy(order)) - 1).withColumn("len", F.count("*").over(w))
-    barred = placed.withColumn("bar", F.floor(F.col("i") * bars / F.col("len")).cast("long"))
+    """Bar levels of a waveform: 0.65 peak + 0.35 rms of each bucket, against the loudest, ^0.72.
+
+    Places come from ranges of the cluster, so a track of most rows is spread over all tasks.
+    """
+    placed = numbered(rows, keys, [order], "place")
+    length = rows.groupBy(*keys).agg(F.count("*").alias("len"))
+    barred = placed.join(length, keys).withColumn("bar", F.floor(F.col("place") * bars / F.col("len")).cast("long"))
     level = 0.65 * F.max(F.abs(value)) + 0.35 * F.sqrt(F.avg(F.col(value) * F.col(value)))
     levels = barred.groupBy(*keys, "bar").agg(level.alias("level"))
-    return levels.select(*keys, "bar", F.round(F.pow(F.col("level") / F.greatest(F.max("level").over(w), F.lit(EPSILON)), 0.72), 3).alias("height"))
+    loudest = F.max("level").over(Window.partitionBy(*keys))  # of no more than ``bars`` rows
+    return levels.select(*keys, "bar", F.round(F.pow(F.col("level") / F.greatest(loudest, F.lit(EPSILON)), 0.72), 3).alias("height"))
