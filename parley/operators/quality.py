@@ -6,7 +6,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..policy import QualityPolicy
+from ..storage import stored
 from .intervals import merge, overlap, overlap_join
+from .runs import with_previous, with_running, with_runs
 
 
 def music_overlap(speech: DataFrame, music: DataFrame, keys: list[str]) -> DataFrame:
@@ -24,9 +26,7 @@ def decide(rows: DataFrame, policy: QualityPolicy = QualityPolicy()) -> DataFram
 
 def label_runs(rows: DataFrame, keys: list[str], label: str = "is_good") -> DataFrame:
     """Runs of neighbours with one label: run, label, start_ms, end_ms, n."""
-    w = Window.partitionBy(*keys).orderBy("start_ms", "end_ms")
-    flip = (~F.lag(label).over(w).eqNullSafe(F.col(label))).cast("long")
-    runs = rows.withColumn("__f", flip).withColumn("run", F.sum("__f").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    runs = with_runs(rows, keys, label)
     return runs.groupBy(*keys, "run", label).agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), F.count("*").alias("n"))
 
 
@@ -35,25 +35,23 @@ def absorb(rows: DataFrame, keys: list[str], policy: QualityPolicy = QualityPoli
 
     Runs alternate, so one pass over the runs reaches the fixpoint of repeated absorption.
     """
-    w = Window.partitionBy(*keys).orderBy("start_ms", "end_ms")
-    flip = (~F.lag("is_good").over(w).eqNullSafe(F.col("is_good"))).cast("long")
-    tagged = rows.withColumn("__f", flip).withColumn("__run", F.sum("__f").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    runs = tagged.groupBy(*keys, "__run").agg(F.min("start_ms").alias("a"), F.max("end_ms").alias("b"), F.first("is_good").alias("g"))
-    inner = (F.col("__run") > 1) & (F.col("__run") < F.max("__run").over(Window.partitionBy(*keys)))
-    short = runs.withColumn("short", inner & ~F.col("g") & (F.col("b") - F.col("a") < policy.absorb_below)).select(*keys, "__run", "short")
-    return tagged.join(short, [*keys, "__run"]).withColumn("is_good", F.col("is_good") | F.col("short")).drop("__f", "__run", "short")
+    tagged = stored(with_runs(rows, keys, "is_good", "·run"), "tagged")
+    runs = tagged.groupBy(*keys, "·run").agg(F.min("start_ms").alias("a"), F.max("end_ms").alias("b"), F.first("is_good").alias("g"))
+    top = runs.groupBy(*keys).agg(F.max("·run").alias("top"))
+    inner = (F.col("·run") > 1) & (F.col("·run") < F.col("top"))
+    short = runs.join(top, keys).select(*keys, "·run", (inner & ~F.col("g") & (F.col("b") - F.col("a") < policy.absorb_below)).alias("·short"))
+    return tagged.join(short, [*keys, "·run"]).withColumn("is_good", F.col("is_good") | F.col("·short")).select(*rows.columns)
 
 
 def good_regions(decisions: DataFrame, music: DataFrame, keys: list[str], policy: QualityPolicy = QualityPolicy()) -> DataFrame:
     """Good runs after absorption, cut where music falls into a gap, from the least length on."""
-    w = Window.partitionBy(*keys).orderBy("start_ms", "end_ms")
-    rows = absorb(decisions, keys, policy)
-    rows = rows.withColumn("p_end", F.lag("end_ms").over(w)).withColumn("p_good", F.lag("is_good").over(w))
+    rows = absorb(decisions, keys, policy).select(*keys, "start_ms", "end_ms", "is_good")
+    rows = stored(with_previous(rows, keys, {"p_end": "end_ms", "p_good": "is_good"}), "decided")
     gaps = rows.where("p_end < start_ms").select(*keys, F.col("p_end").alias("start_ms"), F.col("start_ms").alias("end_ms"))
     struck = overlap_join(gaps, merge(music, keys).drop("n"), keys).select(*keys, F.col("end_ms").alias("start_ms"), F.lit(True).alias("struck")).distinct()
     rows = rows.join(struck, [*keys, "start_ms"], "left")
     cut = (F.col("p_good").isNull() | (F.col("p_good") != F.col("is_good")) | F.coalesce("struck", F.lit(False))).cast("long")
-    parts = rows.withColumn("cut", cut).withColumn("region", F.sum("cut").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    parts = with_running(rows, keys, cut, "region")
     regions = parts.where("is_good").groupBy(*keys, "region").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"))
     return regions.where(F.col("end_ms") - F.col("start_ms") >= policy.least_region).drop("region")
 
