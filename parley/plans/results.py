@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..operators import documents, validators
 from ..sources import views as v
-from ..storage import stored
+from ..storage import shared, stored
+from ..streaming import control, messages
 from . import oracles as o
 from .more import ORACLES, against
 from .queries import PART
@@ -189,3 +190,27 @@ def scanned_diarizations(spark, d):
     per = scan.segments.groupBy("part_id").agg(F.count("*").alias("n_segments"), F.sum("duration_ms").alias("speech_ms"), F.min("start_ms").alias("first_ms"))
     rows = documents_.select("part_id", "num_speakers").join(per, PART).join(broken, PART, "left")
     return rows.select("part_id", "n_segments", "speech_ms", "first_ms", "num_speakers", F.coalesce("violations", F.lit("")).alias("violations"))
+
+
+_MESSAGES = """m AS (SELECT event_id AS message_id, user_id, event_id % 9 AS k FROM events), j AS (
+  SELECT *, ['split_raw_audio_into_parts', 'diarize_audio_part', 'quality_filter_audio_part', 'separate_chunk', 'transcribe_chunk', 'persona_chunk', 'reconstruct_chunk', 'extend_chunk', 'mix_chunk'][k + 1] AS task,
+    CASE WHEN k = 8 THEN 'task' WHEN message_id % 17 = 3 THEN 'json' WHEN message_id % 19 = 4 THEN 'arguments' WHEN message_id % 23 = 5 THEN 'uuid' END AS reject,
+    lpad(to_hex(user_id), 8, '0') || '-0000-4000-8000-000000000000' AS entity_id FROM m)"""
+
+
+@against(f"""WITH {_MESSAGES} SELECT task, lower(entity_id) AS entity_id, CAST(NULL AS VARCHAR) AS reject, min(message_id) AS message_id, 1::BIGINT AS n FROM j WHERE reject IS NULL GROUP BY task, lower(entity_id)
+  UNION ALL SELECT task, NULL, reject, message_id, CASE WHEN message_id % 3 = 0 THEN 2 ELSE 1 END::BIGINT FROM j WHERE reject IS NOT NULL""")
+def message_delivery(spark, d):
+    """Task messages, a third of them delivered twice: each entity's task is accepted once, rejects are kept with their reason."""
+    k, i = F.col("event_id") % 9, F.col("event_id")
+    task = F.get(F.array(*map(F.lit, [*messages.TASKS, "mix_chunk"])), k.cast("int"))
+    uuid = F.concat(F.lower(F.lpad(F.hex("user_id"), 8, "0")), F.lit("-0000-4000-8000-000000000000"))
+    said = F.concat(F.lit('{"'), F.coalesce(messages.argument_of(F.col("task")), F.lit("id")), F.lit('":"'), F.when(i % 23 == 5, F.upper(F.concat(F.lit("x"), uuid))).otherwise(uuid), F.lit('"'), F.when(i % 19 == 4, ',"more":1}').otherwise("}"))
+    stream = control.source(spark, d).select("event_id", "user_id", task.alias("task"), F.explode(F.sequence(F.lit(1), F.when(i % 3 == 0, 2).otherwise(1))).alias("delivery"))
+    stream = stream.select(F.col("event_id").alias("message_id"), "task", F.when(i % 17 == 3, F.concat(F.lit("["), said)).otherwise(said).alias("arguments"))
+    log, folder = shared(spark, "messages-log"), shared(spark, "messages")
+    messages.delivered(stream, ["task", "entity_id"], ["message_id"], log, folder)
+    good, bad = messages.tables(spark, folder, stream.schema)
+    kept = good.select("task", "entity_id", F.lit(None).cast("string").alias("reject"), "message_id")
+    both = kept.unionByName(bad.select("task", F.lit(None).cast("string").alias("entity_id"), "reject", "message_id"))
+    return both.groupBy("task", "entity_id", "reject", "message_id").agg(F.count("*").alias("n"))
