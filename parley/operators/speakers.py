@@ -50,3 +50,13 @@ def speech_summary(turns: DataFrame, keys: list[str]) -> DataFrame:
     seconds = F.round(F.col("total_ms").cast("decimal(18,0)") / 1000, 2).cast("decimal(18,2)")
     share = F.when(all_ms > 0, F.round(F.col("total_ms").cast("decimal(18,0)") * 100 / all_ms.cast("decimal(18,0)"), 1)).otherwise(0).cast("decimal(5,1)")
     return per.select(*keys, "speaker", "n_turns", "total_ms", seconds.cast("double").alias("total_seconds"), share.cast("double").alias("percentage"))
+
+
+def first_seen_ids(turns: DataFrame, keys: list[str], label: str, order: list[str]) -> DataFrame:
+    """keys, label and speaker: labels numbered from 0 by where they first occur, ties by the label.
+
+    A recording's labels meet in a window, its turns never do. A null label is one of its own, numbered like others.
+    """
+    first = turns.groupBy(*keys, label).agg(F.min(F.struct(*order)).alias("first"))
+    w = Window.partitionBy(*keys).orderBy("first", F.col(label).asc_nulls_first())
+    return first.select(*keys, label, (F.row_number().over(w) - 1).cast("long").alias("speaker"))

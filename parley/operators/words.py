@@ -80,3 +80,31 @@ def checked_words(words: DataFrame, keys: list[str], policy: UtterancePolicy = U
     late = F.struct("start_ms", "end_ms") < F.lag(F.struct("start_ms", "end_ms")).over(w)
     rules = {"empty": F.length("word") == 0, "confidence": ~F.col("confidence").between(0, 1) | F.isnan("confidence"), "bounds": (F.col("start_ms") < 0) | (F.col("end_ms") <= F.col("start_ms")), "order": F.coalesce(late, F.lit(False))}
     return rows.withColumn("violations", F.array_compact(F.array(*(F.when(F.coalesce(c, F.lit(True)), F.lit(k)) for k, c in rules.items()))))
+
+
+def slice_owners(slices: DataFrame, keys: list[str]) -> DataFrame:
+    """Slices (slice, core_start, core_end, start_ms, end_ms) with the instants that are theirs: own_from, own_to.
+
+    Padded slices overlap; the border between two of them is the middle of the gap between their
+    cores, so every instant has one owner. Cores lie apart and in order.
+    """
+    w = Window.partitionBy(*keys).orderBy("core_start", "core_end", "slice")  # slices, not words
+    before, after = F.lag("core_end").over(w), F.lead("core_start").over(w)
+    middle = lambda a, b: F.floor((a + b) / 2).cast("long")
+    return slices.select("*", F.when(before.isNull(), -(1 << 62)).otherwise(middle(before, F.col("core_start"))).alias("own_from"), F.when(after.isNull(), 1 << 62).otherwise(middle(F.col("core_end"), after)).alias("own_to"))
+
+
+def rebased(decoded: DataFrame, slices: DataFrame, keys: list[str], policy: UtterancePolicy = UtterancePolicy()) -> DataFrame:
+    """Words of slices (slice, word, start_s, end_s, confidence) on their recording's time, each heard once.
+
+    Seconds from the slice's start become milliseconds, halves to even, then the slice's start is
+    added and overlong words are capped. A word that two padded slices hear belongs to the slice
+    that owns its middle.
+    """
+    ms = lambda c: F.bround(F.col(c).cast("decimal(20,6)") * 1000, 0).cast("long")
+    rows = decoded.join(slice_owners(slices, keys).select(*keys, "slice", F.col("start_ms").alias("offset"), "own_from", "own_to"), [*keys, "slice"])
+    rows = rows.withColumn("start_ms", F.col("offset") + ms("start_s")).withColumn("end_ms", F.col("offset") + ms("end_s"))
+    middle = F.floor((F.col("start_ms") + F.col("end_ms")) / 2)
+    rows = rows.where((middle >= F.col("own_from")) & (middle < F.col("own_to")))
+    end = F.when(F.col("end_ms") - F.col("start_ms") > policy.word_most, F.col("start_ms") + policy.word_capped).otherwise(F.col("end_ms"))
+    return rows.withColumn("end_ms", end).select(*keys, "slice", F.trim("word").alias("word"), "start_ms", "end_ms", "confidence")
