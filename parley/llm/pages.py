@@ -19,15 +19,16 @@ from . import common
 from .markup import article_blocks
 
 #: Pages looked at on each side in the order of paths, and how many nearest ones of these count.
-REACH, NEAREST = 4, 4
+REACH, NEAREST = 4, 8
 #: Pages of a chunk of the order; a task holds one, without texts.
 CHUNK = 1000
 #: A page that shares more than this share of its characters with a neighbour is its copy, and
 #: says nothing about the site: in an article, and on pages without one.
 COPY_ARTICLE, COPY_BARE = 0.5, 0.9
-#: Sharing pages that a block must have to go: outside articles two (or the only one there is);
-#: inside, where short sentences recur by chance, every one, of three at least.
-LEAST_BARE, LEAST_ARTICLE = 2, 3
+#: Sharing pages that a block must have to go: outside articles two (or the only one there is), and
+#: half of them all for blocks of few characters; inside articles, where sentences recur by
+#: chance, every one, of three at least.
+LEAST_BARE, LEAST_ARTICLE, SHORT = 2, 3, 25
 #: Bits of alignment rows held at once; longer pages are aligned in halves.
 HELD_BITS = 1 << 28
 
@@ -134,8 +135,9 @@ def shared_blocks(pages: list[tuple[str, bool, list[int], list[int]]]) -> Iterat
             seen += 1
             for k in both:
                 votes[k] += 1
-        need = max(seen, LEAST_ARTICLE) if inside else min(LEAST_BARE, max(1, seen))
-        gone = [k for k, n in enumerate(votes) if n >= need]
+        few = min(LEAST_BARE, max(1, seen))
+        needs = (max(seen, LEAST_ARTICLE) if inside else few if size >= SHORT else max(few, -(-seen // 2)) for size in sizes)
+        gone = [k for k, (n, need) in enumerate(zip(votes, needs)) if n >= need]
         if gone:
             yield i, gone
 
@@ -165,8 +167,8 @@ def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text (blocks joined by line feeds) and n_chars (code points) of every row.
 
     Structure decides first: see ``markup``. Then blocks go that the nearest pages of the host
-    share: on pages without an article element those that two of four share, in articles only
-    those that all share. Neighbours that are copies of the page do not count. Null and empty
+    share: on pages without an article element those that two of eight share (short ones: half of
+    them), in articles only those that all share. Neighbours that are copies of the page do not count. Null and empty
     pages have an empty text; pages without a url keep what structure leaves; repeated rows
     and urls are pages like others. Long pages are read whole. An empty table gives no rows, and
     other columns are not read.
