@@ -101,16 +101,14 @@ def _nodes(first: Column, end: Column, levels: int) -> Column:
     return F.concat(done["nodes"], F.coalesce(rest, F.array().cast("array<struct<level:int,node:bigint>>")))
 
 
-def interval_snr(blocks: DataFrame, intervals: DataFrame, keys: list[str], size: int = BLOCK) -> DataFrame:
-    """Adds statistic and snr_db of the samples from ``from_sample`` to before ``to_sample`` to every interval.
+def interval_sums(blocks: DataFrame, intervals: DataFrame, keys: list[str], size: int = BLOCK) -> DataFrame:
+    """keys, from_sample, to_sample and the summary of the samples from the one to before the other, for each that has samples.
 
     Whole blocks inside an interval come from the index, a few nodes however long it is, and only
-    its border blocks' samples are read. Each interval is judged against its own peak. Samples are
-    whole numbers, as in PCM, so none but silence lies below the statistic's least amplitude.
-    Intervals without samples, and silent ones, get nulls; equal intervals are judged once each.
+    its border blocks' samples are read.
     """
     levels = levels_of(blocks)
-    asked = intervals.select(*keys, "from_sample", "to_sample").distinct()
+    asked = stored(intervals.select(*keys, "from_sample", "to_sample").distinct(), "asked")
     first = F.expr(f"(from_sample + {size - 1}) div {size}")
     end = F.expr(f"to_sample div {size}")
     spans = asked.withColumn("first", first).withColumn("end", end)
@@ -124,9 +122,25 @@ def interval_snr(blocks: DataFrame, intervals: DataFrame, keys: list[str], size:
     b = F.least(F.col("to_sample") - F.col("block") * size, F.lit(size)).cast("int")
     part = border.select(*keys, "from_sample", "to_sample", _summary(F.slice("samples", a + 1, b - a)).alias("s")).select(*keys, "from_sample", "to_sample", "s.*")
 
-    sums = whole.unionByName(part).groupBy(*keys, "from_sample", "to_sample").agg(*_merge(""))
+    return whole.unionByName(part).groupBy(*keys, "from_sample", "to_sample").agg(*_merge(""))
+
+
+def interval_snr(blocks: DataFrame, intervals: DataFrame, keys: list[str], size: int = BLOCK) -> DataFrame:
+    """Adds statistic and snr_db of the samples from ``from_sample`` to before ``to_sample`` to every interval.
+
+    Each interval is judged against its own peak. Samples are whole numbers, as in PCM, so none but
+    silence lies below the statistic's least amplitude. Intervals without samples, and silent
+    ones, get nulls; equal intervals are judged once each.
+    """
+    sums = interval_sums(blocks, intervals, keys, size)
     eps, n = F.lit(signal.EPSILON), F.col("n")
     mean = (F.col("total") / F.col("peak") + F.col("zeros") * eps) / n
     logs = (F.col("logs") - (n - F.col("zeros")) * F.log("peak") + F.col("zeros") * F.log(eps)) / n
     loud = sums.where("peak > 0").select(*keys, "from_sample", "to_sample", mean.alias("m"), logs.alias("l"), (F.col("energy") / (F.col("peak") * F.col("peak"))).alias("energy"))
     return intervals.join(signal.decibels(loud, [*keys, "from_sample", "to_sample"]), [*keys, "from_sample", "to_sample"], "left")
+
+
+def interval_rms(blocks: DataFrame, intervals: DataFrame, keys: list[str], size: int = BLOCK) -> DataFrame:
+    """keys, from_sample, to_sample and rms of the samples between, for each interval that has some."""
+    level = F.sqrt(F.col("energy") / F.col("n") + F.lit(1e-20))
+    return interval_sums(blocks, intervals, keys, size).select(*keys, "from_sample", "to_sample", level.alias("rms"))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.timebase import frames_to_ms
+
 # Audio tags, kinds of utterances and their placements.
 TAGS = (
     "[angry]",
@@ -88,3 +90,24 @@ def diarization_rules(turns: DataFrame, keys: list[str]) -> DataFrame:
     per = turns.groupBy(*keys).agg(F.count("*").alias("n"), F.count_distinct("start_ms", "end_ms", "speaker").alias("d"), F.max("speaker").alias("top"), F.count_distinct("speaker").alias("k"), F.min((F.col("end_ms") > F.col("start_ms")).cast("int")).alias("ok"), F.min("start_ms").alias("first"))
     rules = {"speakers": F.col("top") + 1 != F.col("k"), "bounds": (F.col("ok") == 0) | (F.col("first") < 0), "repeated": F.col("d") < F.col("n")}
     return per.select(*keys, F.array_join(F.array_compact(F.array(*(F.when(c, F.lit(k)) for k, c in rules.items()))), ",").alias("violations"))
+
+
+def vad_documents(spans: DataFrame, recordings: DataFrame, keys: list[str], model: str, rate: int = 16_000) -> DataFrame:
+    """keys, document and violations: speech segments (start_frame, end_frame) of recordings (n_frames) as stable JSON text.
+
+    Segments are ordered by frame and numbered; times are milliseconds, halves up. Spans that
+    overlap (``overlap``), are empty (``empty``) or pass the recording's end (``bounds``) give no
+    document but their names. A recording without speech has an empty list.
+    """
+    if not model.strip():
+        raise ValueError("a model has a name")
+    w = Window.partitionBy(*keys).orderBy("start_frame", "end_frame")
+    rows = spans.join(recordings.select(*keys, "n_frames"), keys).withColumn("before", F.lag("end_frame").over(w)).withColumn("index", F.row_number().over(w) - 1)
+    start, end = frames_to_ms(F.col("start_frame"), rate), frames_to_ms(F.col("end_frame"), rate)
+    part = F.struct(F.col("index").cast("int").alias("index"), start.alias("start_ms"), end.alias("end_ms"), (end - start).alias("duration_ms"))
+    broken = {"overlap": F.col("start_frame") < F.col("before"), "empty": F.col("end_frame") <= F.col("start_frame"), "bounds": (F.col("end_frame") > F.col("n_frames")) | (F.col("start_frame") < 0)}
+    per = rows.groupBy(*keys).agg(F.array_sort(F.collect_list(part)).alias("segments"), *(F.max(F.coalesce(c, F.lit(False))).alias(k) for k, c in broken.items()))
+    whole = recordings.select(*keys, "n_frames").join(per, keys, "left")
+    names = F.array_join(F.array_compact(F.array(*(F.when(F.col(k), F.lit(k)) for k in broken))), ",")
+    document = F.struct(F.lit(1).alias("schema_version"), F.lit(model).alias("model"), frames_to_ms(F.col("n_frames"), rate).alias("audio_duration_ms"), F.coalesce("segments", F.array().cast(per.schema["segments"].dataType)).alias("segments"))
+    return whole.select(*keys, F.when(names == "", F.concat(F.to_json(document), F.lit("\n"))).alias("document"), names.alias("violations"))

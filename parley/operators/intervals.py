@@ -17,15 +17,15 @@ def _islands(df: DataFrame, keys: list[str], gap: Column | int, *aggs: Column) -
     w = Window.partitionBy(*keys).orderBy("start_ms", "end_ms")
     reach = F.max("end_ms").over(w.rowsBetween(Window.unboundedPreceding, -1))
     fresh = (reach.isNull() | (F.col("start_ms") - reach > gap)).cast("long")
-    marked = df.withColumn("__new", fresh).withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    return marked.groupBy(*keys, "__island").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), *aggs).drop("__island")
+    marked = df.withColumn("·new", fresh).withColumn("·island", F.sum("·new").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    return marked.groupBy(*keys, "·island").agg(F.min("start_ms").alias("start_ms"), F.max("end_ms").alias("end_ms"), *aggs).drop("·island")
 
 
 def merge(df: DataFrame, keys: list[str], gap: int = 0, count: str = "n") -> DataFrame:
     """Unions of ranges that lie at most ``gap`` apart (touching ranges join), with their number."""
-    bucketed = df.select(*keys, "start_ms", "end_ms", F.expr(f"start_ms div {BUCKET_MS}").alias("__b"))
-    local = _islands(bucketed, [*keys, "__b"], gap, F.count("*").alias(count))
-    return _islands(local.drop("__b"), keys, gap, F.sum(count).alias(count))
+    bucketed = df.select(*keys, "start_ms", "end_ms", F.expr(f"start_ms div {BUCKET_MS}").alias("·b"))
+    local = _islands(bucketed, [*keys, "·b"], gap, F.count("*").alias(count))
+    return _islands(local.drop("·b"), keys, gap, F.sum(count).alias(count))
 
 
 def group_by_gap(islands: DataFrame, keys: list[str], gap: int, least: int = 0, count: str = "n_islands") -> DataFrame:
@@ -54,7 +54,7 @@ def pad(df: DataFrame, limit: Column | str, before: int, after: int, most: int)
     half_back = F.least(back, F.expr(f"({most} - (end_ms - start_ms)) div 2"))
     grown_front = half_front + F.least(front - half_front, room - half_front - half_back)
     grown_back = half_back + F.least(back - half_back, room - grown_front - half_back)
-    return df.select("*", grown_front.alias("__f"), grown_back.alias("__a")).withColumn("start_ms", F.col("start_ms") - F.col("__f")).withColumn("end_ms", F.col("end_ms") + F.col("__a")).drop("__f", "__a")
+    return df.select("*", grown_front.alias("·f"), grown_back.alias("·a")).withColumn("start_ms", F.col("start_ms") - F.col("·f")).withColumn("end_ms", F.col("end_ms") + F.col("·a")).drop("·f", "·a")
 
 
 def indexed(df: DataFrame, keys: list[str], name: str = "part_index") -> DataFrame:
@@ -75,13 +75,13 @@ def overlap_join(left: DataFrame, right: DataFrame, keys: list[str], how: str =
     if how not in ("inner", "left"):
         raise ValueError("inner and left joins only")
     names = [c for c in left.columns if c not in keys]
-    tagged = left.withColumn("__row", F.struct(*names)) if how == "left" else left
-    a = tagged.withColumn("__b", F.explode(F.expr(f"sequence(start_ms div {bucket}, greatest(start_ms, end_ms - 1) div {bucket})")))
-    b = right.withColumnsRenamed({"start_ms": "r_start", "end_ms": "r_end"}).withColumn("__b", F.explode(F.expr(f"sequence(r_start div {bucket}, greatest(r_start, r_end - 1) div {bucket})")))
-    hit = (F.col("r_end") > F.col("start_ms")) & (F.col("r_start") < F.col("end_ms")) & (F.col("__b") == F.expr(f"greatest(start_ms, r_start) div {bucket}"))
-    pairs = a.join(b, [*keys, "__b"]).where(hit).drop("__b")
+    tagged = left.withColumn("·row", F.struct(*names)) if how == "left" else left
+    a = tagged.withColumn("·b", F.explode(F.expr(f"sequence(start_ms div {bucket}, greatest(start_ms, end_ms - 1) div {bucket})")))
+    b = right.withColumnsRenamed({"start_ms": "r_start", "end_ms": "r_end"}).withColumn("·b", F.explode(F.expr(f"sequence(r_start div {bucket}, greatest(r_start, r_end - 1) div {bucket})")))
+    hit = (F.col("r_end") > F.col("start_ms")) & (F.col("r_start") < F.col("end_ms")) & (F.col("·b") == F.expr(f"greatest(start_ms, r_start) div {bucket}"))
+    pairs = a.join(b, [*keys, "·b"]).where(hit).drop("·b")
     if how == "inner":
         return pairs
     extra = [c for c in right.columns if c not in [*keys, "start_ms", "end_ms"]]
-    found = pairs.select(*keys, "__row", "r_start", "r_end", *extra)
-    return left.withColumn("__row", F.struct(*names)).join(found, [*keys, "__row"], "left").drop("__row")
+    found = pairs.select(*keys, "·row", "r_start", "r_end", *extra)
+    return left.withColumn("·row", F.struct(*names)).join(found, [*keys, "·row"], "left").drop("·row")

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.texts import safe_error
+
 # Legal status changes of recordings, of their parts and of chunks.
 RAW_TRANSITIONS = (
     ("pending", "splitting"),
@@ -74,10 +76,10 @@ def surviving(children: DataFrame, parents: DataFrame, key: str) -> DataFrame:
 
 def upsert(existing: DataFrame, incoming: DataFrame, keys: list[str], values: list[str]) -> DataFrame:
     """Each key's outcome: inserted, kept (equal values, nulls alike), conflict, or untouched."""
-    a = existing.select(*keys, F.struct(*values).alias("__a"), F.lit(True).alias("__old"))
-    b = incoming.select(*keys, F.struct(*values).alias("__b"), F.lit(True).alias("__new"))
-    same = reduce(lambda x, y: x & y, (F.col(f"__a.{v}").eqNullSafe(F.col(f"__b.{v}")) for v in values))
-    outcome = F.when(F.col("__new").isNull(), "untouched").when(F.col("__old").isNull(), "inserted").when(same, "kept").otherwise("conflict")
+    a = existing.select(*keys, F.struct(*values).alias("·a"), F.lit(True).alias("·old"))
+    b = incoming.select(*keys, F.struct(*values).alias("·b"), F.lit(True).alias("·new"))
+    same = reduce(lambda x, y: x & y, (F.col(f"·a.{v}").eqNullSafe(F.col(f"·b.{v}")) for v in values))
+    outcome = F.when(F.col("·new").isNull(), "untouched").when(F.col("·old").isNull(), "inserted").when(same, "kept").otherwise("conflict")
     return a.join(b, keys, "full_outer").select(*keys, outcome.alias("outcome"))
 
 
@@ -127,6 +129,29 @@ def complete(current: DataFrame, claims: DataFrame, key: str, status: str, expec
     return rows.select(key, F.when(ok, F.lit(to)).otherwise(F.col(status)).alias(status), F.when(F.col("now").isNull(), "missing").when(ok, "completed").otherwise("conflict").alias("outcome"))
 
 
+def complete_with_parent(current: DataFrame, parents: DataFrame, claims: DataFrame, key: str, parent_key: str, status: str, expected: str, to: str, same: list[str], parent_same: list[str]) -> DataFrame:
+    """Optimistic completion of entities that hang on a parent: neither may have changed since the claim.
+
+    ``claims`` hold the entity's ``same`` columns and, under their own names, the parent's
+    ``parent_same`` ones. An entity whose parent is gone is missing.
+    """
+    now = current.select(key, parent_key, status, *same).join(parents.select(parent_key, *parent_same), parent_key)
+    return complete(now, claims, key, status, expected, to, [*same, *parent_same])
+
+
+def fail(current: DataFrame, failures: DataFrame, key: str, status: str, expected: str, code: str) -> DataFrame:
+    """The fail step of a claim: entities that are still ``expected`` become failed with a safe error text.
+
+    Of several failures of one entity the smallest code is kept. Outcomes are failed, ignored (it
+    has moved on) and missing.
+    """
+    first = failures.groupBy(key).agg(F.min(code).alias("code"))
+    rows = first.join(current.select(key, status, F.lit(True).alias("known")), key, "left")
+    ok = F.coalesce(F.col(status) == expected, F.lit(False))
+    outcome = F.when(F.col("known").isNull(), "missing").when(ok, "failed").otherwise("ignored")
+    return rows.select(key, F.when(ok, "failed").otherwise(F.col(status)).alias(status), F.when(ok, safe_error(F.col("code"))).alias("error"), outcome.alias("outcome"))
+
+
 def merged_namespace(results: Column, name: str, value: Column) -> Column:
     """A map of results with one more namespace; null where another value stands there already."""
     held = F.coalesce(results, F.create_map().cast("map<string,string>"))

@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DecimalType, ShortType
 
+from ..storage import stored
+from .blocks import BLOCK, interval_rms
 from .signal import cosine, rms
 
 
@@ -36,6 +38,34 @@ def audit(pieces: DataFrame, keys: list[str], least: int = 3_000, ratio: float =
     return pieces.select(*keys).distinct().join(per, keys, "left").select(*keys, F.coalesce("n_votes", F.lit(0)).alias("n_votes"), verdict.alias("verdict"))
 
 
+def trimmed(pieces: DataFrame, rate: int, trim: int = 1_000) -> DataFrame:
+    """Adds from_sample and to_sample: a piece less ``trim`` milliseconds on either side."""
+    return pieces.withColumn("from_sample", F.expr(f"(start_ms + {trim}) * {rate} div 1000")).withColumn("to_sample", F.expr(f"(end_ms - {trim}) * {rate} div 1000"))
+
+
+def with_levels(pieces: DataFrame, first: DataFrame, second: DataFrame, keys: list[str], size: int = BLOCK) -> DataFrame:
+    """Adds rms0 and rms1, two tracks' levels from from_sample to before to_sample; pieces without samples go.
+
+    Both tracks come as blocks, so a piece reads no more of them than its borders.
+    """
+    asked = stored(pieces.where("from_sample >= 0 and to_sample > from_sample"), "pieces")
+    own = [*keys, "from_sample", "to_sample"]
+    for name, track in (("rms0", first), ("rms1", second)):
+        asked = asked.join(interval_rms(track, asked, keys, size).withColumnRenamed("rms", name), own)
+    return asked
+
+
+def fitted(samples: Column, n: Column) -> Column:
+    """A sample array cut or filled with silence to ``n`` samples."""
+    zero = F.lit(0).cast("double")
+    return F.slice(F.concat(samples.cast("array<double>"), F.array_repeat(zero, F.greatest(F.lit(0), n - F.size(samples)).cast("int"))), F.lit(1), F.greatest(F.lit(0), n).cast("int"))
+
+
+def in_order(tracks: Column, swapped: Column) -> Column:
+    """Two tracks, exchanged where the alignment says so."""
+    return F.when(swapped, F.array(tracks[1], tracks[0])).otherwise(tracks)
+
+
 @F.pandas_udf(ArrayType(DecimalType(20, 0)))
 def window_seeds(chunk_id: pd.Series, windows: pd.Series) -> pd.Series:
     """The seeds of a chunk's windows: SHAKE-256 over the 16 bytes of its UUID, cut into unsigned numbers of eight bytes."""

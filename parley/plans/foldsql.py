@@ -28,7 +28,9 @@ _TIMELINE = f"""{o.TURNS}, u AS (SELECT part_id, start_ms AS s, end_ms AS e, spe
         greatest(CASE WHEN is_open THEN t.begun[k.anchor + 1] + CAST(round_even((k.s - as_) / (ae - as_)::DOUBLE * (t.done[k.anchor + 1] - t.begun[k.anchor + 1]), 0) AS BIGINT) ELSE t.done[k.anchor + 1] + k.s - ae END, t.start_ms, coalesce(t.free[k.speaker], 0)) AS g
       FROM t JOIN k ON k.part_id = t.part_id AND k.i = t.i + 1))"""
 ORACLES["timeline_schedule"] = f"WITH RECURSIVE {_TIMELINE} SELECT part_id, i AS utterance_index, start_ms, end_ms, relation, anchor AS anchor_index FROM t"
-ORACLES["timeline_rules"] = "SELECT user_id AS part_id, event_id AS utterance_index, 'none' AS rule FROM events WHERE false"
+ORACLES["timeline_rules"] = f"""WITH RECURSIVE {_TIMELINE}, moved AS (SELECT part_id, i, CASE WHEN i % 13 = 5 THEN start_ms - 1000000 ELSE start_ms END AS s, CASE WHEN i % 17 = 6 THEN start_ms ELSE end_ms END AS e, CASE WHEN i % 11 = 3 THEN i ELSE anchor END AS anchor FROM t),
+  b AS (SELECT *, lag(s) OVER (PARTITION BY part_id ORDER BY i) AS before FROM moved)
+  SELECT part_id, i AS utterance_index, 'chronological' AS rule FROM b WHERE s < before UNION ALL SELECT part_id, i, 'anchor' FROM b WHERE anchor >= i UNION ALL SELECT part_id, i, 'bounds' FROM b WHERE e <= s"""
 
 
 def _pieces(most: int) -> str:

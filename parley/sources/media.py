@@ -10,7 +10,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType
+from pyspark.sql.types import ArrayType, IntegerType, StringType
 
 MAX_UPLOAD = 314_572_800
 
@@ -87,12 +87,10 @@ def pretty_json(document: pd.Series) -> pd.Series:
     return _dumped(document, indent=2)
 
 
-def samples_of(payload: Column) -> Column:
-    """The 16-bit little-endian samples of payload bytes."""
-    places = F.sequence(F.lit(0), (F.length(payload) / 2).cast("int") - 1)
-    pair = lambda i: F.conv(F.concat(F.hex(F.substring(payload, i * 2 + 2, F.lit(1))), F.hex(F.substring(payload, i * 2 + 1, F.lit(1)))), 16, 10).cast("int")
-    signed = lambda i: pair(i) - F.when(pair(i) >= 32768, 65536).otherwise(0)
-    return F.when(F.length(payload) >= 2, F.transform(places, signed)).otherwise(F.array().cast("array<int>"))
+@F.pandas_udf(ArrayType(IntegerType()))
+def samples_of(payload: pd.Series) -> pd.Series:
+    """The 16-bit little-endian samples of payload bytes; an odd byte at the end is left out."""
+    return payload.map(lambda raw: None if raw is None else np.frombuffer(raw[: len(raw) // 2 * 2], "<i2").astype(np.int32))
 
 
 def to_wav(samples: np.ndarray, rate: int) -> bytes:

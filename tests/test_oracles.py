@@ -5,7 +5,7 @@ import os
 import duckdb
 import pytest
 
-from parley.plans import audio, checks, foldsql, more, oracles, results, talk  # noqa: F401  all register
+from parley.plans import audio, checks, foldsql, more, oracles, results, stages, talk  # noqa: F401  all register
 from parley.plans.more import QUERIES
 
 ORACLES = oracles.ORACLES | more.ORACLES
