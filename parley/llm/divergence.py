@@ -40,30 +40,22 @@ def term_counts(docs: DataFrame) -> DataFrame:
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+        sums: dict[str, tuple[Counter, Counter]] = {}
         held = 0
 
         def handed_on() -> Iterator[pa.RecordBatch]:
-            for (lang, source), (n, docs) in sums.items():
-                terms = list(docs)
-                yield pa.RecordBatch.from_pydict(
-                    {
-                        "lang": pa.array([lang] * len(terms), pa.string()),
-                        "source": pa.array([source] * len(terms), pa.string()),
-                        "term": pa.array([None if t is None else t.decode("utf-8", "replace") for t in terms], pa.string()),
-                        "n": pa.array([n[t] for t in terms], pa.int64()),
-                        "docs": pa.array([docs[t] for t in terms], pa.int64()),
-                    }
-                )
+            for group, (n, docs) in sums.items():
+                terms = pa.array([t and t.decode("utf-8", "replace") for t in docs], pa.string())
+                named = pa.array([group]).take(pa.array(np.zeros(len(docs), np.int32)))
+                yield pa.RecordBatch.from_arrays([named, terms, pa.array([n[t] for t in docs], pa.int64()), pa.array(list(docs.values()), pa.int64())], names=["grp", "term", "n", "docs"])
 
         for batch in batches:
             texts = batch.column(2).cast(pa.large_binary())
             for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
-                n, docs = sums.setdefault((lang or "", source or ""), (Counter(), Counter()))
-                own = Counter(_TERM.findall((text.as_py() or b"").lower()))
-                before = len(docs)
-                n.update(own)
-                docs.update(own.keys())
+                n, docs = sums.setdefault(f"{len(lang or '')}:{lang or ''}{source or ''}", (Counter(), Counter()))
+                terms, before = _TERM.findall((text.as_py() or b"").lower()), len(docs)
+                n.update(terms)
+                docs.update(set(terms))
                 docs[None] += 1
                 held += len(docs) - before
                 if held > HELD_TERMS:
@@ -71,8 +63,12 @@ def term_counts(docs: DataFrame) -> DataFrame:
                     sums, held = {}, 0
         yield from handed_on()
 
-    rows = common.map_arrow(docs.select("lang", "source", "text"), "lang string, source string, term string, n long, docs long", counted)
-    return rows.groupBy("lang", "source", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    # language and source travel as one text, the language's length in front
+    rows = common.map_arrow(docs.select("lang", "source", "text"), "grp string, term string, n long, docs long", counted)
+    summed = rows.groupBy("grp", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
+    size = F.substring_index("grp", ":", 1)
+    both = F.substr("grp", F.length(size) + 2)
+    return summed.select(F.substr(both, F.lit(1), size.cast("int")).alias("lang"), F.substr(both, size.cast("int") + 1).alias("source"), "term", "n", "docs")
 
 
 def _share(n: str, total: str, terms: str) -> Column:
