@@ -55,6 +55,35 @@ MORE_TEMPLATES: dict[str, str] = {
     "CC-BY-NC-ND-4.0": "Licensed under CC BY-NC-ND 4.0.",
 }
 
+_AS_IS = (
+    "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. "
+    "IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) "
+    "HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_CLAUSES = (
+    TEMPLATES["BSD-text"]
+    + "\n\n1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer."
+    + "\n\n2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+)
+
+# Whole licences, of several paragraphs; a text that holds little else is compared with them as it stands.
+WHOLE_TEMPLATES: dict[str, str] = {
+    "MIT-whole": TEMPLATES["MIT-text"]
+    + "\n\nThe above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software."
+    + "\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "ISC-whole": TEMPLATES["ISC-text"]
+    + "\n\nTHE SOFTWARE IS PROVIDED \"AS IS\" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "BSD-2-Clause-whole": _CLAUSES + "\n\n" + _AS_IS,
+    "BSD-3-Clause-whole": _CLAUSES + "\n\n3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission.\n\n" + _AS_IS,
+    "Unlicense-whole": MORE_TEMPLATES["Unlicense-text"]
+    + "\n\nIn jurisdictions that recognize copyright laws, the author or authors of this software dedicate any and all copyright interest in the software to the public domain. We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to this software under copyright law."
+    + "\n\nTHE SOFTWARE IS PROVIDED \"AS IS\", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "Zlib-whole": MORE_TEMPLATES["Zlib-text"]
+    + "\n\n1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required."
+    + "\n\n2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software."
+    + "\n\n3. This notice may not be removed or altered from any source distribution.",
+}
+
 WORD = r"[\p{L}\p{N}]+(?:\.[\p{L}\p{N}]+)*"
 #: The same words for Python's re.
 _TOKEN = re.compile(r"[^\W_]+(?:\.[^\W_]+)*")
@@ -201,14 +230,15 @@ def _windows(docs: DataFrame, templates: list[tuple[str, list[str]]], threshold:
 def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: float = THRESHOLD) -> DataFrame:
     """doc_id, license, dice (best match, 6 digits) and n_units, for each licence a document shows.
 
-    Units are lines and paragraphs (runs of lines between empty ones), and windows of words inside
-    them that no matching unit covers; a unit's licence is its best template at or above
+    Units are lines, paragraphs (runs of lines between empty ones), whole texts of several
+    paragraphs, and windows of words inside lines and paragraphs: of another licence than a
+    matching unit only where they lie apart from its notice or fit better around it. A unit's licence is its best template at or above
     ``threshold``, ties to the first by name. Null and empty texts,
     and documents without a licence, give no row. Every row's units count, those of rows that share
     a doc_id, or have none, together. Texts without a word that every match needs are left out first.
     """
     spark = docs.sparkSession
-    known = _templates(spark, templates or TEMPLATES | MORE_TEMPLATES)
+    known = _templates(spark, templates or TEMPLATES | MORE_TEMPLATES | WHOLE_TEMPLATES)
     least, most = threshold / (2 - threshold), (2 - threshold) / threshold
     sized = [(n, name, pairs) for name, pairs in known for n in range(math.ceil(least * len(pairs) - 1e-9), math.floor(most * len(pairs) + 1e-9) + 1)]
     by_size = spark.createDataFrame(sized, "n int, license string, known array<string>")  # as many rows as the templates' sizes allow
@@ -218,18 +248,22 @@ def scan(docs: DataFrame, templates: dict[str, str] | None = None, threshold: fl
     docs = docs.where(needed)
     text = F.regexp_replace("text", "\r\n?", "\n")
     blocks = F.filter(F.split(text, r"\n[ \t]*\n"), lambda b: F.contains(b, F.lit("\n")))
-    units = docs.select("row", "doc_id", F.posexplode(F.concat(F.split(text, "\n"), blocks)).alias("place", "unit"))
-    pairs = units.select("row", "doc_id", "place", bigrams(words(F.col("unit"))).alias("pairs")).select("row", "doc_id", "place", "pairs", F.coalesce(F.size("pairs"), F.lit(0)).alias("n"))
+    parted = docs.withColumn("whole", text.rlike(r"\n[ \t]*\n"))
+    whole = F.when(F.col("whole"), F.array(text)).otherwise(F.array().cast("array<string>"))
+    units = parted.select("row", "doc_id", "whole", F.posexplode(F.reverse(F.concat(F.split(text, "\n"), blocks, whole))).alias("place", "unit"))
+    units = units.withColumn("whole", F.col("whole") & (F.col("place") == 0))  # the whole text stands first; it is compared with whole licences only
+    pairs = units.select("row", "doc_id", "place", "whole", bigrams(words(F.col("unit"))).alias("pairs")).select("row", "doc_id", "place", "whole", "pairs", F.coalesce(F.size("pairs"), F.lit(0)).alias("n"))
     dice = 2.0 * F.size(F.array_intersect("pairs", "known")) / (F.col("n") + F.size("known"))
-    scored = pairs.join(F.broadcast(by_size), "n").select("row", "doc_id", "place", "license", dice.alias("dice")).where(F.col("dice") >= threshold)
-    scored = scored.unionByName(_windows(docs, known, threshold))
+    scored = pairs.join(F.broadcast(by_size), "n").where(~F.col("whole") | F.col("license").isin(*WHOLE_TEMPLATES)).select("row", "doc_id", "place", "license", dice.alias("dice")).where(F.col("dice") >= threshold)
+    inner = [t for t in known if t[0] not in WHOLE_TEMPLATES]  # several paragraphs are no window of one
+    scored = scored.unionByName(_windows(docs, inner, threshold))
     best = scored.groupBy("row", "doc_id", "place").agg(F.min(F.struct((-F.col("dice")).alias("less"), "license")).alias("b"))
     return best.groupBy("doc_id", F.col("b.license").alias("license")).agg(F.round(F.max(-F.col("b.less")), 6).alias("dice"), F.count("*").alias("n_units"))
 
 
 def oracle() -> str:
     """The same scan over table ``documents`` as DuckDB SQL."""
-    values = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted((TEMPLATES | MORE_TEMPLATES).items()))
+    values = ", ".join("('{}', '{}')".format(k, v.replace("'", "''")) for k, v in sorted((TEMPLATES | MORE_TEMPLATES | WHOLE_TEMPLATES).items()))
     pairs = "CASE WHEN len(w) > 1 THEN list_distinct([w[i] || ' ' || w[i + 1] FOR i IN range(1, len(w))]) ELSE w END"
     return rf"""
     WITH t AS (
@@ -238,14 +272,15 @@ def oracle() -> str:
     ), d AS (
       SELECT doc_id, regexp_replace(text, '\r\n?', chr(10), 'g') AS text FROM documents WHERE text IS NOT NULL
     ), units AS (
-      SELECT doc_id, unnest(list_concat(string_split(text, chr(10)),
+      SELECT doc_id, false AS whole, unnest(list_concat(string_split(text, chr(10)),
         list_filter(regexp_split_to_array(text, '\n[ \t]*\n'), lambda b: contains(b, chr(10))))) AS unit FROM d
+      UNION ALL SELECT doc_id, true, text FROM d WHERE regexp_matches(text, '\n[ \t]*\n')
     ), u AS (
-      SELECT doc_id, row_number() OVER () AS id, {pairs} AS b FROM (
-        SELECT doc_id, regexp_extract_all(lower(unit), '{WORD}') AS w FROM units WHERE length(unit) >= 2) WHERE len(w) >= 1
+      SELECT doc_id, whole, row_number() OVER () AS id, {pairs} AS b FROM (
+        SELECT doc_id, whole, regexp_extract_all(lower(unit), '{WORD}') AS w FROM units WHERE length(unit) >= 2) WHERE len(w) >= 1
     ), s AS (
       SELECT doc_id, id, license, 2.0 * len(list_intersect(u.b, t.b))::DOUBLE / (len(u.b) + len(t.b)) AS dice
-      FROM u JOIN t ON len(u.b) BETWEEN {THRESHOLD / (2 - THRESHOLD)} * len(t.b) - 1e-9 AND {(2 - THRESHOLD) / THRESHOLD} * len(t.b) + 1e-9
+      FROM u JOIN t ON len(u.b) BETWEEN {THRESHOLD / (2 - THRESHOLD)} * len(t.b) - 1e-9 AND {(2 - THRESHOLD) / THRESHOLD} * len(t.b) + 1e-9 AND (NOT u.whole OR license LIKE '%-whole')
     ), best AS (
       SELECT *, row_number() OVER (PARTITION BY id ORDER BY dice DESC, license) AS r FROM s WHERE dice >= {THRESHOLD}
     )

@@ -47,3 +47,19 @@ def test_every_template_alone_gives_itself_as_in_sql(spark):
     c.register("documents", docs.toPandas())
     want = c.sql(license.oracle()).project("dice, doc_id, license, n_units").fetchall()
     assert got == sorted(want)
+
+
+def test_whole_licences_are_told_apart_with_holders_and_small_changes(spark):
+    import duckdb
+
+    texts = {k: f"Copyright (c) 2024 Some Body and others\n\n{t}\n" for k, t in license.WHOLE_TEMPLATES.items()}
+    wrapped = {k: "\n\n".join("\n".join(" ".join(p.split()[i : i + 11]) for i in range(0, len(p.split()), 11)) for p in t.split("\n\n")) for k, t in texts.items()}
+    names = [*texts, *wrapped]
+    docs = spark.createDataFrame(list(enumerate([*texts.values(), *wrapped.values(), "Some words.\n\n" + " ".join(license.WHOLE_TEMPLATES["MIT-whole"].split()[:60])])), "doc_id long, text string")
+    rows = license.scan(docs).collect()
+    best = {(r["doc_id"], r["license"]) for r in rows if r["license"].endswith("-whole")}
+    assert best == set(enumerate(names))
+    c = duckdb.connect()
+    c.register("documents", docs.toPandas())
+    sql = {(r[0], r[1]) for r in c.sql(license.oracle()).project("doc_id, license").fetchall() if r[1].endswith("-whole")}
+    assert sql == best
