@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -93,13 +94,17 @@ def latest(events: DataFrame, keys: list[str], order: str, status: str) -> DataF
     return events.groupBy(*keys).agg(F.max_by(status, order).alias(status), F.max(order).alias(order), F.count("*").alias("n_events"))
 
 
-def illegal_transitions(events: DataFrame, keys: list[str], order: str, status: str, legal: tuple[tuple[str, str], ...]) -> DataFrame:
-    """Status changes that the table of legal ones does not hold; an entity's first event is legal."""
+def illegal_transitions(events: DataFrame, keys: list[str], order: str, status: str, legal: Iterable[tuple[str, ...]], within: tuple[str, ...] = ()) -> DataFrame:
+    """Status changes that the table of legal ones does not hold; an entity's first event is legal.
+
+    Legal ones are pairs of statuses, behind the values of the keys ``within`` where tables differ by them.
+    """
     spark = events.sparkSession
     w = Window.partitionBy(*keys).orderBy(order)
     steps = events.withColumn("from_status", F.lag(status).over(w)).where("from_status is not null")
-    table = spark.createDataFrame(list(legal), f"from_status string, {status} string")
-    return steps.join(F.broadcast(table), ["from_status", status], "left_anti")
+    by = [*within, "from_status", status]
+    table = spark.createDataFrame(list(legal), ", ".join(f"{c} string" for c in by))  # as many rows as the tables have
+    return steps.join(F.broadcast(table), by, "left_anti")
 
 
 def claim(current: DataFrame, ids: DataFrame, key: str, status: str, allowed: list[str], to: str, said: dict[str, str] | None = None, clear: tuple[str, ...] = ()) -> DataFrame:

@@ -92,14 +92,11 @@ def _illegal_sql() -> str:
 @against(_illegal_sql())
 def illegal_transitions(spark, d):
     """Every user's events read as statuses of a recording, a part and a chunk: the changes that no table allows."""
-    events = v.table(spark, d, "events")
-    found = None
-    for level, (legal, names) in _PATHS.items():
-        k = (F.length("event_type") + F.col("event_id")) % len(names)
-        rows = events.select("user_id", "event_id", F.element_at(F.lit(list(names)), (k + 1).cast("int")).alias("status"))
-        bad = lineage.illegal_transitions(rows, ["user_id"], "event_id", "status", legal).select(F.lit(level).alias("level"), "user_id", "event_id", "from_status", "status")
-        found = bad if found is None else found.unionByName(bad)
-    return found
+    n = F.length("event_type") + F.col("event_id")
+    read = F.explode(F.array(*(F.struct(F.lit(level).alias("level"), F.element_at(F.lit(list(names)), (n % len(names) + 1).cast("int")).alias("status")) for level, (_, names) in _PATHS.items())))
+    rows = v.table(spark, d, "events").select("user_id", "event_id", read.alias("r")).select("user_id", "event_id", "r.level", "r.status")
+    legal = [(level, *pair) for level, (pairs, _) in _PATHS.items() for pair in pairs]
+    return lineage.illegal_transitions(rows, ["level", "user_id"], "event_id", "status", legal, ("level",)).select("level", "user_id", "event_id", "from_status", "status")
 
 
 @against(r"""WITH s AS (SELECT conv_id, turn AS idx, role AS speaker, text, turn % 5 AS k, CASE WHEN turn % 11 = 7 THEN 'paralinguistic' WHEN (conv_id + turn) % 3 = 0 THEN 'backchannel' ELSE 'dialogue' END AS type,
