@@ -27,8 +27,8 @@ CHUNK = 1000
 COPY_ARTICLE, COPY_BARE = 0.5, 0.9
 #: Sharing pages that a block must have to go: outside articles two (or the only one there is), and
 #: half of them all for blocks of few characters; inside articles, where sentences recur by
-#: chance, every one, of three at least.
-LEAST_BARE, LEAST_ARTICLE, SHORT = 2, 3, 25
+#: chance, every one, of four at least.
+LEAST_BARE, LEAST_ARTICLE, SHORT = 2, 4, 25
 #: Bits of alignment rows held at once; longer pages are aligned in halves.
 HELD_BITS = 1 << 28
 
