@@ -20,6 +20,12 @@ from ..storage import stored
 from .contracts import canonical
 
 
+# What personas may say of tone, degree and emotion.
+TONES = ("aggressive", "warm", "cold", "nervous", "calm", "playful")
+LEVELS = ("low", "medium", "high")
+EMOTIONS = ("angry", "sad", "happy", "surprised", "neutral")
+
+
 @dataclass(frozen=True)
 class Given:
     """Equal to this column of what was asked for; a text unless ``kind`` says INTEGER."""
@@ -61,6 +67,13 @@ RULES: dict[str, tuple[str, object]] = {
     "revision": ("TEXT", lambda x: x.rlike(r"\A[0-9a-f]{40}\z")),
     "model": ("TEXT", lambda x: x.contains("/") & canonical(x)),
     "origin": ("TEXT", lambda x: x.isin("diarization_reference", "separated_track_slice")),
+    "flag": ("BOOLEAN", lambda x: x.isNotNull()),
+    "cost": ("NUMBER", lambda x: x.try_cast("double") >= 0),
+    "note": ("TEXT or null", lambda x: x.isNull() | canonical(x)),
+    "tone": ("TEXT", lambda x: x.isin(*TONES)),
+    "level": ("TEXT", lambda x: x.isin(*LEVELS)),
+    "emotion": ("TEXT", lambda x: x.isin(*EMOTIONS)),
+    "second_emotion": ("TEXT or null", lambda x: x.isNull() | x.isin(*EMOTIONS)),
 }
 _NODE = "path string, kind string, rule string, want string"
 
@@ -128,7 +141,7 @@ def _struct(path: Column, node: tuple) -> Column:
 
 
 def _fits(kind: Column, found: Column) -> Column:
-    return (found == kind) | (kind == "NUMBER") & (found == "INTEGER")
+    return (found == kind) | (kind == "NUMBER") & (found == "INTEGER") | (kind == "TEXT or null") & found.isin("TEXT", "VOID")
 
 
 def broken_paths(docs: DataFrame, asked: DataFrame | None, keys: list[str], template: object, text: str = "document") -> DataFrame:
@@ -246,6 +259,32 @@ EXTENSION = {
     },
     "artifacts": {"script": {"uri": Given("script_uri")} | _STORED, "transcript": {"uri": Given("output_transcript_uri")} | _STORED, "speaker_audio": [_speaker_audio(0), _speaker_audio(1)]},
 }
+
+def _persona_speaker(slot: int) -> dict:
+    notes = {n: Rule("note") for n in ("name", "age", "ethnicity", "gender", "evidence")}
+    flags = {n: Rule("flag") for n in ("laugh", "cry", "whisper", "shout", "sigh")}
+    said = {"tag": Rule("text"), "alpha": Rule("level"), "primary_emotion": Rule("emotion"), "secondary_emotion": Rule("second_emotion"), "emotion_intensity": Rule("level"), "overall_tone": Rule("tone")}
+    return {"speaker_id": Given(f"low_id_{slot}")} | notes | flags | said
+
+
+PERSONA = {
+    "schema_version": 1,
+    "backend": "openrouter",
+    "config_version": "persona-v1",
+    "language": "en",
+    "scene": {"description": Rule("text"), "overall_tone": Rule("tone"), "emotion_intensity": Rule("level")},
+    "speakers": [_persona_speaker(0), _persona_speaker(1)],
+    "usage": {"model": Given("model"), "in_tokens": Rule("natural"), "out_tokens": Rule("natural"), "total_tokens": Rule("natural"), "cost_usd": Rule("cost")},
+    "speaker_mapping": [{"output_slot": k, "diarization_speaker_id": Given(f"speaker_{k}", "INTEGER")} for k in (0, 1)],
+}
+
+PERSONA_RESULT = {
+    "schema_version": 1,
+    "backend": "openrouter",
+    "language": "en",
+    "model": {"id": Given("model", rule="model"), "config_version": "persona-v1"},
+    **{n: {"uri": Given(f"{n}_uri"), "size_bytes": Given(f"{n}_size", "INTEGER", "positive"), "sha256": Given(f"{n}_sha", rule="sha256")} for n in ("input_audio", "input_transcript", "artifact")},
+}
 #: Half a second of silence joins the segments of a reference.
 JOINT_MS = 500
 
@@ -314,6 +353,23 @@ def extension_results(docs: DataFrame, asked: DataFrame, keys: list[str], text:
     return broken_paths(docs, asked, keys, EXTENSION, text).unionByName(_crossed(docs, asked, keys, rules, text))
 
 
+def persona_documents(docs: DataFrame, asked: DataFrame, keys: list[str], text: str = "document") -> DataFrame:
+    """Broken paths of persona documents.
+
+    ``asked``: model, and of each track k speaker_k. Speakers come in the order of their ids'
+    texts, and a total of tokens is the sum of both kinds, or 0.
+    """
+    ids = F.array_sort(F.array(F.col("speaker_0").cast("string"), F.col("speaker_1").cast("string")))
+    asked = asked.withColumns({"low_id_0": ids[0], "low_id_1": ids[1]})
+    rules = {"total": ("$.usage.total_tokens", _get("$.usage.total_tokens").isin(F.lit(0), _get("$.usage.in_tokens") + _get("$.usage.out_tokens")))}
+    return broken_paths(docs, asked, keys, PERSONA, text).unionByName(_crossed(docs, asked.select(*keys), keys, rules, text))
+
+
+def persona_results(docs: DataFrame, asked: DataFrame, keys: list[str], text: str = "document") -> DataFrame:
+    """Broken paths of persona results; ``asked``: model, and _uri, _size and _sha of input_audio, input_transcript and artifact."""
+    return broken_paths(docs, asked, keys, PERSONA_RESULT, text)
+
+
 @dataclass(frozen=True)
 class Scanned:
     """Documents that keep their contract as tables, and the broken paths of the others."""

@@ -57,6 +57,7 @@ CHUNK_TRANSITIONS = (
     ("extending", "rejected"),
     ("extending", "failed"),
 )
+RAW_STATUSES, PART_STATUSES = (tuple(sorted({s for pair in t for s in pair})) for t in (RAW_TRANSITIONS, PART_TRANSITIONS))
 
 
 def first_by_content(docs: DataFrame, text: str = "text", id_col: str = "doc_id") -> DataFrame:
@@ -165,6 +166,45 @@ def merged_namespace(results: Column, name: str, value: Column) -> Column:
     return F.when(before.isNull() | before.eqNullSafe(value), added)
 
 
+def table_checks(raw: DataFrame, parts: DataFrame, chunks: DataFrame) -> DataFrame:
+    """entity, id and rule: what the three tables' rows break of their checks, unique keys and references.
+
+    ``raw``: id, status, content_sha1. ``parts``: id, raw_audio_id, part_index, status,
+    relative_start_ms, relative_end_ms. ``chunks``: id, audio_part_id, chunk_index, duration_ms,
+    relative_start_ms, relative_end_ms. As in SQL, a check whose value is unknown holds, and nulls
+    are no repeats.
+    """
+
+    def known(ok: Column) -> Column:
+        return F.coalesce(ok, F.lit(True))
+
+    def alone(rows: DataFrame, keys: list[str]) -> DataFrame:
+        """Rows with ``alone``: no other row has their keys."""
+        told = rows.where(" and ".join(f"{k} is not null" for k in keys)).groupBy(*keys).agg((F.count("*") == 1).alias("alone"))
+        return rows.join(told, keys, "left")
+
+    def held(rows: DataFrame, key: str, parents: DataFrame) -> DataFrame:
+        return rows.join(parents.select(F.col("id").alias(key), F.lit(True).alias("held")).distinct(), key, "left")
+
+    span = known(F.col("relative_end_ms") > F.col("relative_start_ms"))
+    rules = {
+        "raw_audios": (alone(raw, ["content_sha1"]), {"status": known(F.col("status").isin(*RAW_STATUSES)), "content_sha1": known(F.col("alone"))}),
+        "audio_parts": (
+            held(alone(parts, ["raw_audio_id", "part_index"]), "raw_audio_id", raw),
+            {"status": known(F.col("status").isin(*PART_STATUSES)), "part_index": known(F.col("part_index") >= 0), "span": span, "unique": known(F.col("alone")), "raw_audio_id": F.col("held")},
+        ),
+        "chunks": (
+            held(alone(chunks, ["audio_part_id", "chunk_index"]), "audio_part_id", parts),
+            {
+                "chunk_index": known(F.col("chunk_index") >= 0), "start": known(F.col("relative_start_ms") >= 0), "span": span, "duration": known(F.col("duration_ms") > 0),
+                "length": known(F.col("duration_ms") == F.col("relative_end_ms") - F.col("relative_start_ms")), "unique": known(F.col("alone")), "audio_part_id": F.col("held"),
+            },
+        ),
+    }
+    found = [violations(rows, checks, ["id"]).select(F.lit(entity).alias("entity"), "id", "rule") for entity, (rows, checks) in rules.items()]
+    return reduce(DataFrame.unionByName, found)
+
+
 def violations(rows: DataFrame, rules: dict[str, Column], keys: list[str]) -> DataFrame:
     """Rows that break rules, one output row for each broken rule; a null verdict is a violation."""
     broken = F.array_compact(F.array(*(F.when(~F.coalesce(ok, F.lit(False)), F.lit(name)) for name, ok in rules.items())))

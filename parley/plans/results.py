@@ -146,6 +146,46 @@ def extension_results(spark, d):
     return _judged(rows, F.to_json(doc), documents.extension_results)
 
 
+@against(_faults({
+    "$.speakers[1].overall_tone tone": "o_orderkey % 31 = 1", "$.speakers[0].laugh kind": "o_orderkey % 37 = 2", "$.usage.total_tokens total": "o_orderkey % 41 = 3", "$.speakers[0].name note": "o_orderkey % 43 = 4",
+    "$.scene.description missing": "o_orderkey % 47 = 5", "$.speakers[1].speaker_id value": "o_orderkey % 53 = 6", "$.speakers[1].secondary_emotion second_emotion": "o_orderkey % 61 = 8",
+}, "o_orderkey % 59 = 7"))
+def persona_documents(spark, d):
+    rows = _claims(spark, d).withColumn("model", F.lit("maker/model"))
+
+    def speaker(slot: int) -> Column:
+        flag = lambda n: F.when(_odd(37, 2), '"no"').otherwise("true") if n == "laugh" and not slot else F.lit("false")
+        name = F.when(_odd(43, 4), " Ann").otherwise("Ann") if not slot else F.lit("Bob")
+        id_ = F.lit(str(slot)) if not slot else F.when(_odd(53, 6), "7").otherwise("1")
+        said = _obj(speaker_id=id_, name=name, age=F.lit("@null"), ethnicity=F.lit("@null"), gender="none told", evidence=F.lit("@null"), tag="calm voice", alpha="low", primary_emotion="sad",
+            secondary_emotion=F.when(_odd(61, 8), "bored").otherwise("@null") if slot else F.lit("happy"), emotion_intensity="high", overall_tone=F.when(_odd(31, 1), "loud").otherwise("warm") if slot else F.lit("cold"))
+        flags = F.concat(*(F.concat(F.lit(f',"{n}":'), flag(n)) for n in ("laugh", "cry", "whisper", "shout", "sigh")), F.lit("}"))
+        return F.concat(F.regexp_replace(F.regexp_replace(F.to_json(said), '"@null"', "null"), r"\}$", ""), flags)
+
+    usage = _obj(model=F.col("model"), in_tokens=F.col("o_orderkey"), out_tokens=9, total_tokens=F.when(_odd(41, 3), 1).when(_odd(2, 0), 0).otherwise(F.col("o_orderkey") + 9), cost_usd=F.lit(0.25))
+    mapping = F.array(*(_obj(output_slot=k, diarization_speaker_id=F.col(f"speaker_{k}")) for k in (0, 1)))
+    head = _obj(schema_version=1, backend="openrouter", config_version="persona-v1", language="en", scene=_obj(description=F.when(~_odd(47, 5), "Two people talk."), overall_tone="warm", emotion_intensity="low"), usage=usage, speaker_mapping=mapping)
+    doc = F.concat(F.regexp_replace(F.to_json(head), r"\}$", ""), F.lit(',"speakers":['), speaker(0), F.lit(","), speaker(1), F.lit("]}"))
+    return _judged(rows, doc, documents.persona_documents)
+
+
+@against(_faults({
+    "$.model.id value": "o_orderkey % 31 = 1", "$.input_audio.size_bytes value": "o_orderkey % 37 = 2", "$.artifact.sha256 missing": "o_orderkey % 41 = 3", "$.note unexpected": "o_orderkey % 43 = 4", "$.input_transcript.uri value": "o_orderkey % 47 = 5",
+}, "o_orderkey % 59 = 7"))
+def persona_results(spark, d):
+    names = ("input_audio", "input_transcript", "artifact")
+    key = F.col("o_orderkey").cast("string")
+    rows = _claims(spark, d).withColumn("model", F.lit("maker/model"))
+    for n in names:
+        rows = rows.withColumns({f"{n}_uri": F.concat_ws("/", key, F.lit(n)), f"{n}_size": F.col("length"), f"{n}_sha": _sha(key, n)})
+    size = {"input_audio": F.col("length") + F.when(_odd(37, 2), 1).otherwise(0)}
+    uri = {"input_transcript": F.when(_odd(47, 5), "elsewhere").otherwise(F.col("input_transcript_uri"))}
+    sha = {"artifact": F.when(~_odd(41, 3), F.col("artifact_sha"))}
+    parts = {n: _obj(uri=uri.get(n, F.col(f"{n}_uri")), size_bytes=size.get(n, F.col("length")), sha256=sha.get(n, F.col(f"{n}_sha"))) for n in names}
+    doc = _obj(schema_version=1, backend="openrouter", language="en", model=_obj(id=F.when(_odd(31, 1), "maker/other").otherwise(F.col("model")), config_version="persona-v1"), note=F.when(_odd(43, 4), "x"), **parts)
+    return _judged(rows, F.to_json(doc), documents.persona_results)
+
+
 #: Recordings' diarization documents: seconds with three digits; some with an odd segment, or no JSON at all.
 _TOLD = f"""{o.TURNS}, q AS (SELECT *, row_number() OVER (PARTITION BY part_id ORDER BY start_ms, end_ms, speaker, turn_id) - 1 AS pos FROM turns),
   odd AS (SELECT part_id, '$' AS path, 'json' AS rule FROM turns WHERE part_id % 13 = 5 GROUP BY part_id

@@ -101,3 +101,29 @@ def fitted_tracks(spark, d):
     t = v.table(spark, d, "embeddings").select("vec_id", tracks.in_order(pair, F.col("vec_id") % 2 == 1).alias("t"))
     total = lambda x: F.round(F.aggregate(x, F.lit(0.0), lambda a, y: a + y), 6)
     return t.select("vec_id", F.size(F.col("t")[0]).cast("long").alias("length"), total(F.col("t")[0]).alias("first"), total(F.col("t")[1]).alias("second"))
+
+
+@against("""WITH raw AS (SELECT c_custkey AS id, CASE c_mktsegment WHEN 'BUILDING' THEN 'lost' ELSE 'pending' END AS status, CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE c_custkey // 2 END AS content FROM customer),
+  parts AS (SELECT o_orderkey AS id, CASE WHEN o_orderkey % 17 = 3 THEN o_custkey + 100000000 ELSE o_custkey END AS raw_id, o_orderkey % 5 - CASE WHEN o_orderkey % 29 = 0 THEN 5 ELSE 0 END AS k, CASE o_orderstatus WHEN 'P' THEN 'separating' ELSE 'diarized' END AS status,
+    o_orderkey AS a, CASE WHEN o_orderkey % 13 = 1 THEN o_orderkey ELSE o_orderkey + 5 END AS b FROM orders),
+  chunks AS (SELECT l_orderkey * 10 + l_linenumber AS id, l_orderkey + CASE WHEN l_orderkey % 19 = 2 THEN 100000000 ELSE 0 END AS part_id, l_linenumber AS k, l_linenumber * 100 - CASE WHEN l_orderkey % 23 = 4 THEN 1000 ELSE 0 END AS a, l_linenumber * 100 + CAST(l_quantity AS BIGINT) AS b, CAST(l_quantity AS BIGINT) AS n FROM lineitem)
+  SELECT 'raw_audios' AS entity, id, 'status' AS rule FROM raw WHERE status = 'lost'
+  UNION ALL SELECT 'raw_audios', id, 'content_sha1' FROM raw WHERE content IN (SELECT content FROM raw GROUP BY content HAVING count(*) > 1)
+  UNION ALL SELECT 'audio_parts', id, 'status' FROM parts WHERE status = 'separating' UNION ALL SELECT 'audio_parts', id, 'part_index' FROM parts WHERE k < 0 UNION ALL SELECT 'audio_parts', id, 'span' FROM parts WHERE b <= a
+  UNION ALL SELECT 'audio_parts', id, 'unique' FROM (SELECT id, count(*) OVER (PARTITION BY raw_id, k) AS n FROM parts) WHERE n > 1 UNION ALL SELECT 'audio_parts', id, 'raw_audio_id' FROM parts WHERE raw_id NOT IN (SELECT id FROM raw)
+  UNION ALL SELECT 'chunks', id, 'start' FROM chunks WHERE a < 0 UNION ALL SELECT 'chunks', id, 'span' FROM chunks WHERE b <= a UNION ALL SELECT 'chunks', id, 'duration' FROM chunks WHERE n <= 0 UNION ALL SELECT 'chunks', id, 'length' FROM chunks WHERE n <> b - a
+  UNION ALL SELECT 'chunks', id, 'unique' FROM (SELECT id, count(*) OVER (PARTITION BY part_id, k) AS n FROM chunks) WHERE n > 1 UNION ALL SELECT 'chunks', id, 'audio_part_id' FROM chunks WHERE part_id NOT IN (SELECT id FROM parts)""")
+def table_checks(spark, d):
+    """Customers, orders and order lines as recordings, parts and chunks, some of them against the tables' checks, keys and references."""
+    c, i, k = F.col("c_custkey"), F.col("o_orderkey"), F.col("l_linenumber").cast("long")
+    raw = v.table(spark, d, "customer").select(c.alias("id"), F.when(F.col("c_mktsegment") == "BUILDING", "lost").otherwise("pending").alias("status"), F.when(c % 9 != 0, F.floor(c / 2)).alias("content_sha1"))
+    parts = v.table(spark, d, "orders").select(
+        i.alias("id"), (F.col("o_custkey") + F.when(i % 17 == 3, 100_000_000).otherwise(0)).alias("raw_audio_id"), (i % 5 - F.when(i % 29 == 0, 5).otherwise(0)).alias("part_index"),
+        F.when(F.col("o_orderstatus") == "P", "separating").otherwise("diarized").alias("status"), i.alias("relative_start_ms"), (i + F.when(i % 13 == 1, 0).otherwise(5)).alias("relative_end_ms"),
+    )
+    line, n = F.col("l_orderkey"), F.col("l_quantity").cast("long")
+    chunks = v.table(spark, d, "lineitem").select(
+        (line * 10 + k).alias("id"), (line + F.when(line % 19 == 2, 100_000_000).otherwise(0)).alias("audio_part_id"), k.alias("chunk_index"), n.alias("duration_ms"),
+        (k * 100 - F.when(line % 23 == 4, 1000).otherwise(0)).alias("relative_start_ms"), (k * 100 + n).alias("relative_end_ms"),
+    )
+    return lineage.table_checks(raw, parts, chunks)

@@ -13,6 +13,10 @@ class WindowPolicy:
     before: int = 250
     after: int = 250
 
+    def __post_init__(self) -> None:
+        if self.most < self.least or min(self.gap, self.before, self.after) < 0 or self.least <= 0:
+            raise ValueError("window bounds are out of order")
+
 
 @dataclass(frozen=True)
 class QualityPolicy:
@@ -24,6 +28,12 @@ class QualityPolicy:
     music_gap: int = 600
     music_least: int = 2_000
 
+    def __post_init__(self) -> None:
+        if not (0 <= self.most_music <= 1 and 0 <= self.music_probability <= 1):
+            raise ValueError("shares lie between 0 and 1")
+        if self.least_snr_db < 0 or min(self.music_gap, self.music_least) < 0 or min(self.absorb_below, self.least_region) <= 0:
+            raise ValueError("quality bounds are out of order")
+
 
 @dataclass(frozen=True)
 class PlannerPolicy:
@@ -38,6 +48,8 @@ class PlannerPolicy:
     def __post_init__(self) -> None:
         if not 0 < self.least_window <= self.most_window:
             raise ValueError("window bounds are out of order")
+        if self.speaker_turn > self.speaker_total:
+            raise ValueError("a speaker's turn is no longer than the total")
 
 
 @dataclass(frozen=True)
@@ -53,6 +65,10 @@ class SlicePolicy:
     gap: int = 2_000
     pad: int = 500
 
+    def __post_init__(self) -> None:
+        if self.pad < 0 or 2 * self.pad > self.gap:
+            raise ValueError("padded slices would overlap")
+
 
 @dataclass(frozen=True)
 class UtterancePolicy:
@@ -81,3 +97,7 @@ class SeparationPolicy:
     most: int = 120_000
     overlap: int = 10_000
     crossfade: int = 5_000
+
+    def __post_init__(self) -> None:
+        if not (0 <= self.crossfade <= self.overlap < self.initial <= self.most) or self.extension <= 0:
+            raise ValueError("window bounds are out of order")

@@ -57,6 +57,22 @@ def _extension():
     return doc, asked
 
 
+def _persona():
+    who = lambda k: {"speaker_id": str(3 + 7 * k), "name": None, "age": "old", "ethnicity": None, "gender": None, "evidence": None, "tag": "t", "alpha": "low", "primary_emotion": "sad", "secondary_emotion": None, "emotion_intensity": "high", "laugh": True, "cry": False, "whisper": False, "shout": False, "sigh": True, "overall_tone": "warm"}
+    doc = {
+        "schema_version": 1, "backend": "openrouter", "config_version": "persona-v1", "language": "en", "scene": {"description": "d", "overall_tone": "calm", "emotion_intensity": "low"},
+        "speakers": [{**who(1), "speaker_id": "10"}, {**who(0), "speaker_id": "3"}], "usage": {"model": "a/b", "in_tokens": 3, "out_tokens": 4, "total_tokens": 7, "cost_usd": 0.5},
+        "speaker_mapping": [{"output_slot": 0, "diarization_speaker_id": 3}, {"output_slot": 1, "diarization_speaker_id": 10}],
+    }
+    return doc, {"model": "a/b", "speaker_0": 3, "speaker_1": 10}
+
+
+def _persona_result():
+    names = ("input_audio", "input_transcript", "artifact")
+    doc = {"schema_version": 1, "backend": "openrouter", "language": "en", "model": {"id": "a/b", "config_version": "persona-v1"}} | {n: {"uri": n, "size_bytes": 5, "sha256": SHA[2]} for n in names}
+    return doc, {"model": "a/b"} | {f"{n}_{k}": x for n in names for k, x in (("uri", n), ("size", 5), ("sha", SHA[2]))}
+
+
 def _mutations(doc):
     """(path, changed document): every leaf of another kind or value, every object with a key less or more."""
     out = []
@@ -80,7 +96,8 @@ def _mutations(doc):
             for i, v in enumerate(node):
                 walk(v, f"{path}[{i}]", [*steps, i])
         else:
-            for value in (None, True, -1, {"x": 1}, "?") if isinstance(node, int) else (None, 3, "", [node]):
+            odd = (None, 1, "x") if isinstance(node, bool) else (None, True, -1, {"x": 1}, "?") if isinstance(node, (int, float)) else (3, "", " x") if node is None or path.endswith(".age") else (None, 3, "", [node])
+            for value in odd:
                 changed = copy.deepcopy(doc)
                 at(changed, steps[:-1])[steps[-1]] = value
                 out.append((path, changed))
@@ -89,7 +106,7 @@ def _mutations(doc):
     return out
 
 
-@pytest.mark.parametrize(("made", "check"), [(_transcription, D.transcription_results), (_reconstruction, D.reconstruction_results), (_extension, D.extension_results)])
+@pytest.mark.parametrize(("made", "check"), [(_transcription, D.transcription_results), (_reconstruction, D.reconstruction_results), (_extension, D.extension_results), (_persona, D.persona_documents), (_persona_result, D.persona_results)])
 def test_every_mutation_breaks_its_path(spark, made, check):
     doc, asked = made()
     cases = [("", doc), *_mutations(doc)]

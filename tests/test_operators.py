@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parley.functions import timebase
+from parley import policy
 from parley.operators import contracts, intervals, lineage, quality, signal, words
 from parley.policy import QualityPolicy
 from parley.sources import media
@@ -98,3 +99,26 @@ def test_wav_header_and_cut(spark):
     row = spark.createDataFrame([(bytearray(wav),)], "w binary").select(media.wav_header(F.col("w")).alias("h"), media.cut(F.col("w"), F.lit(2), F.lit(4)).alias("c")).first()
     assert tuple(row["h"]) == (1, 16_000, 16, 10, True)
     assert np.frombuffer(bytes(row["c"]), "<i2").tolist() == [2, 3]
+
+
+def test_table_checks_take_nulls_as_sql_does(spark):
+    raw = spark.createDataFrame([(1, "pending", "a"), (2, None, None), (3, "odd", None), (4, "failed", "a")], "id long, status string, content_sha1 string")
+    parts = spark.createDataFrame([(1, 1, 0, "pending", 0, 5), (2, 1, 0, "diarized", 5, 5), (3, 9, -1, "pending", 0, None), (4, None, 0, "x", 0, 1)], "id long, raw_audio_id long, part_index long, status string, relative_start_ms long, relative_end_ms long")
+    chunks = spark.createDataFrame([(1, 1, 0, 5, 0, 5), (2, 7, -1, 0, -1, -1), (3, 2, None, 4, 1, 4)], "id long, audio_part_id long, chunk_index long, duration_ms long, relative_start_ms long, relative_end_ms long")
+    got = {}
+    for r in lineage.table_checks(raw, parts, chunks).collect():
+        got.setdefault((r["entity"], r["id"]), set()).add(r["rule"])
+    assert got == {
+        ("raw_audios", 1): {"content_sha1"}, ("raw_audios", 4): {"content_sha1"}, ("raw_audios", 3): {"status"},
+        ("audio_parts", 1): {"unique"}, ("audio_parts", 2): {"unique", "span"}, ("audio_parts", 3): {"part_index", "raw_audio_id"}, ("audio_parts", 4): {"status", "raw_audio_id"},
+        ("chunks", 2): {"audio_part_id", "chunk_index", "start", "span", "duration"}, ("chunks", 3): {"length"},
+    }
+
+
+@pytest.mark.parametrize(
+    "made",
+    [lambda: policy.WindowPolicy(most=1), lambda: policy.QualityPolicy(most_music=2), lambda: policy.PlannerPolicy(speaker_turn=9_000), lambda: policy.SlicePolicy(pad=1_500), lambda: policy.SeparationPolicy(crossfade=20_000), lambda: policy.SeparationPolicy(initial=10_000)],
+)
+def test_policies_refuse_bounds_out_of_order(made):
+    with pytest.raises(ValueError):
+        made()
