@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions import texts
 from ..operators import blocks, contracts, lineage, sweep, tracks
+from ..sources import media
 from ..sources import views as v
 from . import oracles as o
 from .audio import _ORDER, SAMPLES
@@ -127,3 +128,21 @@ def table_checks(spark, d):
         (k * 100 - F.when(line % 23 == 4, 1000).otherwise(0)).alias("relative_start_ms"), (k * 100 + n).alias("relative_end_ms"),
     )
     return lineage.table_checks(raw, parts, chunks)
+
+
+@against("""WITH s AS (SELECT l_orderkey AS track_id, count(*) AS n FROM lineitem GROUP BY l_orderkey)
+  SELECT track_id, CASE WHEN track_id % 7 <> 2 AND track_id % 11 = 3 THEN 'riff' WHEN track_id % 13 = 4 THEN 'codec' WHEN track_id % 7 = 2 THEN 'data' END AS error, CASE WHEN track_id % 7 = 2 OR track_id % 11 = 3 OR track_id % 13 = 4 THEN NULL ELSE n END AS frames,
+    CASE WHEN track_id % 7 = 2 OR track_id % 11 = 3 OR track_id % 13 = 4 THEN NULL ELSE n // 2 * 2 END AS half_bytes FROM s""")
+def wav_chunks(spark, d):
+    """WAV files with chunks of other kinds before their data, some cut off, renamed or of another codec."""
+    made = media.with_wav(v.samples(spark, d)).withColumn("n", F.length("wav"))
+    i = F.col("track_id")
+    extra = F.unhex(F.lit("4C49535403000000414243" + "00"))  # LIST, three bytes, padded
+    head, tail = F.expr("substring(wav, 1, 36)"), F.expr("substring(wav, 37, n)")
+    codec = F.concat(F.expr("substring(wav, 1, 20)"), F.unhex(F.lit("0300")), F.expr("substring(wav, 23, 14)"))
+    whole = F.concat(F.when(i % 13 == 4, codec).otherwise(head), F.when(i % 3 == 0, extra).otherwise(F.lit(b"")), tail)
+    content = F.when(i % 7 == 2, F.expr("substring(w, 1, length(w) - 1)")).when(i % 11 == 3, F.concat(F.lit(b"RIFX"), F.expr("substring(w, 5, length(w))"))).otherwise(F.col("w"))
+    rows = made.withColumn("w", whole).withColumn("content", content).withColumn("p", media.wav_chunks("content"))
+    half = F.floor(F.col("p.frames") / 2)
+    first = media.payload_of(F.col("content"), F.col("p"), F.lit(0), half)
+    return rows.select("track_id", F.col("p.error").alias("error"), F.col("p.frames").alias("frames"), F.length(first).cast("long").alias("half_bytes"))

@@ -119,3 +119,29 @@ def test_entry_points_import_without_the_optional_part(monkeypatch):
     finally:
         monkeypatch.undo()
         importlib.reload(driver)
+
+
+def test_wav_files_are_parsed_chunk_by_chunk():
+    import io
+    import struct
+    import wave
+
+    def made(channels, width, n, rate=8_000):
+        out = io.BytesIO()
+        with wave.open(out, "wb") as w:
+            w.setnchannels(channels)
+            w.setsampwidth(width)
+            w.setframerate(rate)
+            w.writeframes(bytes(range(256)) * 2 if n is None else b"\1" * (n * channels * width))
+        return out.getvalue()
+
+    for channels, width, n in ((1, 2, 5), (2, 2, 3), (1, 1, 7), (2, 3, 4), (1, 2, 0)):
+        raw = made(channels, width, n)
+        assert media.parse_wav(raw) == (channels, 8_000, width * 8, n, 44, None)
+        assert media.parse_wav(raw[:36] + b"LIST\3\0\0\0abc\0" + raw[36:]) == (channels, 8_000, width * 8, n, 56, None)
+        if n:
+            assert media.parse_wav(raw[:-1])[5] == "data"
+    raw = made(1, 2, 3)
+    assert media.to_wav(np.array([257, 257, 257]), 8_000) == raw
+    cases = {None: "riff", b"": "riff", b"RIFX" + raw[4:]: "riff", raw[:12]: "fmt", raw[:36]: "data", raw[:12] + raw[36:]: "fmt", raw[:20] + struct.pack("<H", 3) + raw[22:]: "codec", raw[:34] + struct.pack("<H", 12) + raw[36:]: "width"}
+    assert {k: media.parse_wav(k)[5] for k in cases} == cases
