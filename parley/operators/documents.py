@@ -75,7 +75,6 @@ RULES: dict[str, tuple[str, object]] = {
     "emotion": ("TEXT", lambda x: x.isin(*EMOTIONS)),
     "second_emotion": ("TEXT or null", lambda x: x.isNull() | x.isin(*EMOTIONS)),
 }
-_NODE = "path string, kind string, rule string, want string"
 
 
 def _kind(value: object) -> str:

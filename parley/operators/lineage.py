@@ -121,6 +121,23 @@ def claim(current: DataFrame, ids: DataFrame, key: str, status: str, allowed: li
     return rows.select(key, F.when(ok, F.lit(to)).otherwise(F.col(status)).alias(status), *(F.when(~ok, F.col(c)).alias(c) for c in clear), disposition.alias("disposition"))
 
 
+def claim_with_parent(current: DataFrame, parents: DataFrame, ids: DataFrame, key: str, parent_key: str, status: str, allowed: list[str], to: str, needed: list[str], carried: list[str]) -> DataFrame:
+    """Compare-and-set of entities together with their parent: what the claim found, to be compared at completion.
+
+    A claim succeeds for an entity in an allowed status whose parent exists and whose ``needed``
+    columns are all there; its ``carried`` columns, of the entity or its parent, come along.
+    Others are missing, orphan, invalid or already_<status>.
+    """
+    held = current.join(parents.select(parent_key, F.lit(True).alias("·parent"), *(c for c in carried if c not in current.columns)), parent_key, "left")
+    rows = ids.select(key).distinct().join(held, key, "left")
+    free = F.coalesce(F.col(status).isin(*allowed), F.lit(False))
+    whole = reduce(lambda x, y: x & y, (F.col(c).isNotNull() for c in needed), F.lit(True))
+    disposition = F.when(F.col(status).isNull(), "missing").when(~free, F.concat(F.lit("already_"), F.col(status))).when(F.col("·parent").isNull(), "orphan").when(~whole, "invalid").otherwise("claimed")
+    rows = rows.withColumn("disposition", disposition)
+    ok = F.col("disposition") == "claimed"
+    return rows.select(key, F.when(ok, F.lit(to)).otherwise(F.col(status)).alias(status), *(F.when(ok, F.col(c)).alias(c) for c in carried), "disposition")
+
+
 def complete(current: DataFrame, claims: DataFrame, key: str, status: str, expected: str, to: str, same: list[str]) -> DataFrame:
     """Optimistic completion: a claimed entity moves on only if it is as it was when it was claimed.
 

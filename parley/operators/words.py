@@ -64,6 +64,21 @@ def captions_at(points: DataFrame, utterances: DataFrame, keys: list[str]) -> Da
     return overlap_join(at, said, keys).groupBy(*keys, "t").agg(F.min(F.struct("r_start", "utterance", "text")).alias("c")).select(*keys, "t", F.col("c.utterance").alias("utterance"), F.col("c.text").alias("text"))
 
 
+def caption_words(points: DataFrame, utterances: DataFrame, words: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, t, utterance, shown (the words that touch the utterance, in order) and active (the first of them spoken at t).
+
+    Ranges are closed: a word that ends where the utterance starts is shown. Words meet their
+    utterances once, not once for every point; points without an utterance give no row.
+    """
+    closed = lambda df: df.withColumn("end_ms", F.col("end_ms") + 1)
+    said = closed(utterances.select(*keys, "start_ms", "end_ms", "utterance"))
+    near = overlap_join(said, closed(words.select(*keys, "idx", "word", "start_ms", "end_ms")), keys)
+    told = near.groupBy(*keys, "utterance").agg(F.array_sort(F.collect_list(F.struct("idx", "word", F.col("r_start").alias("from"), (F.col("r_end") - 1).alias("to")))).alias("w"))  # as many as an utterance has
+    at = captions_at(points, utterances, keys).join(told, [*keys, "utterance"], "left")
+    spoken = F.get(F.filter("w", lambda x: (x["from"] <= F.col("t")) & (F.col("t") <= x["to"])), 0)
+    return at.select(*keys, "t", "utterance", F.array_join(F.transform("w", lambda x: x["word"]), " ").alias("shown"), spoken["idx"].cast("long").alias("active"))
+
+
 def slices(turns: DataFrame, keys: list[str], duration: str = "duration_ms", policy: SlicePolicy = SlicePolicy()) -> DataFrame:
     """Each speaker's speech merged over short gaps, padded and kept inside the recording."""
     merged = merge(turns, [*keys, "speaker"], policy.gap)

@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import texts
-from ..operators import blocks, contracts, lineage, sweep, tracks
+from ..functions import texts, timebase
+from ..operators import blocks, contracts, intervals, lineage, sweep, tracks
 from ..sources import media
 from ..sources import views as v
 from . import oracles as o
@@ -146,3 +146,26 @@ def wav_chunks(spark, d):
     half = F.floor(F.col("p.frames") / 2)
     first = media.payload_of(F.col("content"), F.col("p"), F.lit(0), half)
     return rows.select("track_id", F.col("p.error").alias("error"), F.col("p.frames").alias("frames"), F.length(first).cast("long").alias("half_bytes"))
+
+
+@against(f"""WITH s AS (SELECT l_orderkey, (l_extendedprice - 1000) / 1000 AS a, (l_extendedprice - 1000) / 1000 + l_quantity / 100 AS b FROM lineitem), f AS (
+  SELECT l_orderkey, greatest(0, CAST(sign(a) * floor(abs(CAST(CAST(a AS VARCHAR) AS DECIMAL(28, 12))) * 16000 + 0.5) AS BIGINT)) AS start_ms, least(800000, CAST(sign(b) * floor(abs(CAST(CAST(b AS VARCHAR) AS DECIMAL(28, 12))) * 16000 + 0.5) AS BIGINT)) AS end_ms, a, b FROM s),
+  spans AS (SELECT l_orderkey, start_ms, end_ms FROM f WHERE b > a AND end_ms > start_ms), {o.islands('joined', 'spans', 'l_orderkey')} SELECT l_orderkey, start_ms AS start_frame, end_ms AS end_frame, n AS n_spans FROM joined""")
+def normal_speech(spark, d):
+    """Detected speech in seconds as frames inside its recording, overlapping and touching ranges joined."""
+    a = (F.col("l_extendedprice") - 1000) / 1000
+    lo, hi, ok = timebase.normal_spans(a, a + F.col("l_quantity") / 100, 800_000)
+    spans = v.table(spark, d, "lineitem").where(ok).select("l_orderkey", lo.alias("start_ms"), hi.alias("end_ms"))
+    return intervals.merge(spans, ["l_orderkey"], count="n_spans").withColumnsRenamed({"start_ms": "start_frame", "end_ms": "end_frame"})
+
+
+@against("""SELECT o_orderkey, CASE WHEN ok THEN 'taken' ELSE o_orderstatus END AS o_orderstatus, CASE WHEN ok THEN c_mktsegment END AS c_mktsegment, CASE WHEN ok THEN o_totalprice END AS o_totalprice, disposition FROM (
+    SELECT *, disposition = 'claimed' AS ok FROM (SELECT o_orderkey, o_orderstatus, o_totalprice, c_mktsegment, CASE WHEN o_orderstatus = 'F' THEN 'already_F' WHEN c_custkey IS NULL THEN 'orphan' WHEN o_orderkey % 9 = 4 THEN 'invalid' ELSE 'claimed' END AS disposition
+      FROM orders LEFT JOIN customer ON c_custkey = CASE WHEN o_orderkey % 8 = 1 THEN o_custkey + 100000000 ELSE o_custkey END))
+  UNION ALL SELECT o_orderkey + 100000000, NULL, NULL, NULL, 'missing' FROM orders WHERE o_orderkey % 11 = 3""")
+def parent_claims(spark, d):
+    """Orders claimed with their customers' segment; some customers are gone, some orders lack a date."""
+    i = F.col("o_orderkey")
+    orders = v.table(spark, d, "orders").select(i, "o_orderstatus", "o_totalprice", F.when(i % 9 != 4, F.col("o_orderdate")).alias("o_orderdate"), (F.col("o_custkey") + F.when(i % 8 == 1, 100_000_000).otherwise(0)).alias("c_custkey"))
+    ids = orders.select("o_orderkey").unionByName(orders.where("o_orderkey % 11 = 3").select((i + 100_000_000).alias("o_orderkey")))
+    return lineage.claim_with_parent(orders, v.table(spark, d, "customer"), ids, "o_orderkey", "c_custkey", "o_orderstatus", ["O", "P"], "taken", ["o_orderdate"], ["c_mktsegment", "o_totalprice"])

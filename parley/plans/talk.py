@@ -34,6 +34,18 @@ def word_rebase(spark, d):
     return words.rebased(decoded, slices, SAID)
 
 
+@against(f"""WITH RECURSIVE {o.UTTER}, p AS (SELECT conv_id, turn, idx, start_ms + (end_ms - start_ms) // 2 + CASE WHEN idx % 5 = 2 THEN 95 ELSE 0 END AS t FROM words),
+  u AS (SELECT conv_id, turn, t, min((s.start_ms, s.utterance)) AS u FROM (SELECT DISTINCT conv_id, turn, t FROM p) p JOIN utt s USING (conv_id, turn) WHERE t >= s.start_ms AND t <= s.end_ms GROUP BY ALL),
+  w AS (SELECT u.conv_id, u.turn, u.t, s.utterance, w.idx, w.word, t >= w.start_ms AND t <= w.end_ms AS spoken FROM u JOIN utt s ON s.conv_id = u.conv_id AND s.turn = u.turn AND s.utterance = u.u[2] JOIN words w ON w.conv_id = u.conv_id AND w.turn = u.turn AND w.end_ms >= s.start_ms AND w.start_ms <= s.end_ms)
+  SELECT conv_id, turn, t, utterance, string_agg(word, ' ' ORDER BY idx) AS shown, CAST(min(idx) FILTER (spoken) AS BIGINT) AS active FROM w GROUP BY ALL""")
+def caption_words(spark, d):
+    """What a player shows at the middle of every word, or a little later: the utterance's words, and the one being spoken."""
+    said = v.words(spark, d)
+    late = F.when(F.col("idx") % 5 == 2, 95).otherwise(0)
+    points = said.select(*SAID, (F.col("start_ms") + F.expr("(end_ms - start_ms) div 2") + late).alias("t")).distinct()
+    return words.caption_words(points, words.utterances(said, SAID), said, SAID)
+
+
 #: What an answer looks like, by its conversation and turn.
 _SHAPE = "(conv_id * 7 + turn) % 12"
 
