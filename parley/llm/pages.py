@@ -174,10 +174,9 @@ def extract(pages: DataFrame) -> DataFrame:
     other columns are not read.
     """
     blocks = common.stored(parsed(pages).withColumn("row", F.monotonically_increasing_id()), "pages")
-    place = F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)([^?#]*)", 0)
-    host = F.lower(F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)", 1))
-    path = F.regexp_extract("url", r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//[^/?#]*([^?#]*)", 1)
-    light = blocks.where((F.length(place) > 0) & (F.size("blocks") > 0)).select(
+    address = r"^(?:[A-Za-z][A-Za-z0-9+.\-]*:)?//([^/?#]*)([^?#]*)"
+    host, path = F.lower(F.regexp_extract("url", address, 1)), F.regexp_extract("url", address, 2)
+    light = blocks.where(F.col("url").rlike(address) & (F.size("blocks") > 0)).select(
         "row", host.alias("host"), path.alias("path"), "inside",
         F.transform("blocks", lambda b: F.xxhash64(b["tag"], b["text"])).alias("hashes"),
         F.transform("blocks", lambda b: F.length(b["text"])).alias("sizes"),
