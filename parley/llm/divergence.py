@@ -11,6 +11,7 @@ two blocks of groups times one of terms, however many sources or terms there are
 from __future__ import annotations
 
 import re
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -27,48 +28,68 @@ SMOOTHING = 5
 TOP = 50
 #: Groups and terms of a block, about: blocks are dealt by hash.
 GROUP_BLOCK, TERM_BLOCK = 64, 4096
-#: Distinct terms that a counting task holds before it hands its sums on.
-HELD_TERMS = 200_000
+#: Distinct terms that a counting task holds before it hands its sums on, and documents whose terms a shard holds, about.
+HELD_TERMS, SHARD_DOCS = 400_000, 4096
 
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 
 
-def term_counts(docs: DataFrame) -> DataFrame:
-    """lang, source, term, n (occurrences) and docs (documents with it); term null: n is 0, docs the group's rows.
+def _spread(texts: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """A task's terms by group and shard of the vocabulary: terms as one text, occurrences and documents as numbers.
 
+    Sums are handed on when HELD_TERMS of them are held, so memory does not follow the vocabulary.
+    """
+    sums: dict[tuple[str, str], tuple[Counter, Counter]] = {}
+    held = 0
+
+    def handed_on() -> Iterator[pa.RecordBatch]:
+        rows: list[tuple] = []
+        for (lang, source), (n, docs) in sums.items():
+            by_shard: dict[int, list[bytes]] = {}
+            for term in docs:
+                by_shard.setdefault(zlib.crc32(term) % shards, []).append(term)
+            for shard, terms in by_shard.items():
+                rows.append((lang, source, shard, b" ".join(terms), np.array([n[t] for t in terms], "<i8").tobytes(), np.array([docs[t] for t in terms], "<i8").tobytes()))
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, (pa.string(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["lang", "source", "shard", "terms", "n", "docs"])
+
+    for batch in texts:
+        for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.large_binary())):
+            n, docs = sums.setdefault((lang or "", source or ""), (Counter(), Counter()))
+            terms, before = _TERM.findall((text.as_py() or b"").lower()), len(docs)
+            n.update(terms)
+            docs.update(set(terms))
+            held += len(docs) - before
+            if held > HELD_TERMS:
+                yield from handed_on()
+                sums, held = {}, 0
+    yield from handed_on()
+
+
+def _kept_of(shard: pa.Table, least_docs: int) -> pa.Table:
+    """Terms of one language and shard in enough documents, with their occurrences in each source."""
+    docs: Counter = Counter()
+    counts: dict[str, Counter] = {}
+    for source, terms, n, held in zip(*(shard.column(c).to_pylist() for c in ("source", "terms", "n", "docs"))):
+        own, words = counts.setdefault(source, Counter()), terms.split(b" ")
+        for term, k, d in zip(words, np.frombuffer(n, "<i8").tolist(), np.frombuffer(held, "<i8").tolist()):
+            own[term] += k
+            docs[term] += d
+    kept = {t for t, d in docs.items() if d >= least_docs}
+    rows = [(source, t.decode("utf-8", "replace"), n) for source, own in counts.items() for t, n in own.items() if t in kept]
+    lang = shard.column("lang")[0].as_py()
+    return pa.table({"lang": pa.array([lang] * len(rows), pa.string()), "source": pa.array([r[0] for r in rows], pa.string()), "term": pa.array([r[1] for r in rows], pa.string()), "n": pa.array([r[2] for r in rows], pa.int64())})
+
+
+def kept_counts(docs: DataFrame, least_docs: int) -> DataFrame:
+    """lang, source, term and n (occurrences) of terms in at least ``least_docs`` documents of their language.
+
+    A term lives in one shard of its language's vocabulary, so a task of the second step sees all
+    of its documents; there are as many shards as make each hold what SHARD_DOCS documents say.
     Null text, lang and source read as empty ones.
     """
-
-    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sums: dict[str, tuple[Counter, Counter]] = {}
-        held = 0
-
-        def handed_on() -> Iterator[pa.RecordBatch]:
-            for group, (n, docs) in sums.items():
-                terms = pa.array([t and t.decode("utf-8", "replace") for t in docs], pa.string())
-                named = pa.array([group]).take(pa.array(np.zeros(len(docs), np.int32)))
-                yield pa.RecordBatch.from_arrays([named, terms, pa.array([n[t] for t in docs], pa.int64()), pa.array(list(docs.values()), pa.int64())], names=["grp", "term", "n", "docs"])
-
-        for batch in batches:
-            texts = batch.column(2).cast(pa.large_binary())
-            for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), texts):
-                n, docs = sums.setdefault(f"{len(lang or '')}:{lang or ''}{source or ''}", (Counter(), Counter()))
-                terms, before = _TERM.findall((text.as_py() or b"").lower()), len(docs)
-                n.update(terms)
-                docs.update(set(terms))
-                docs[None] += 1
-                held += len(docs) - before
-                if held > HELD_TERMS:
-                    yield from handed_on()
-                    sums, held = {}, 0
-        yield from handed_on()
-
-    # language and source travel as one text, the language's length in front
-    rows = common.map_arrow(docs.select("lang", "source", "text"), "grp string, term string, n long, docs long", counted)
-    summed = rows.groupBy("grp", "term").agg(F.sum("n").alias("n"), F.sum("docs").alias("docs"))
-    size = F.substring_index("grp", ":", 1)
-    both = F.substr("grp", F.length(size) + 2)
-    return summed.select(F.substr(both, F.lit(1), size.cast("int")).alias("lang"), F.substr(both, size.cast("int") + 1).alias("source"), "term", "n", "docs")
+    shards = min(max(1, -(-docs.count() // SHARD_DOCS)), 1 << 24)
+    spread = common.map_arrow(docs.select("lang", "source", "text"), "lang string, source string, shard int, terms binary, n binary, docs binary", lambda batches: _spread(batches, shards))
+    return spread.groupBy("lang", "shard").applyInArrow(lambda rows: _kept_of(rows, least_docs), "lang string, source string, term string, n long")
 
 
 def _share(n: str, total: str, terms: str) -> Column:
@@ -119,14 +140,12 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP, group_b
     rows are documents like others, long texts are read whole. An empty table gives no rows;
     other columns are not read.
     """
-    counts = common.stored(term_counts(docs), "terms")
-    used = counts.where("term is not null")
-    kept = used.groupBy("lang", "term").agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("held")).where(F.col("held") >= least_docs)
-    kept = common.stored(kept.drop("held"), "kept")
+    own = common.stored(kept_counts(docs, least_docs), "terms")
+    kept = common.stored(own.groupBy("lang", "term").agg(F.sum("n").alias("lang_n")), "kept")
     langs = kept.groupBy("lang").agg(F.count("*").alias("terms"), F.sum("lang_n").alias("lang_total"))
-    own = used.select("lang", "source", "term", "n").join(kept, ["lang", "term"])
     totals = own.groupBy("lang", "source").agg(F.sum("n").alias("total"))
-    groups = counts.where("term is null").select("lang", "source").join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
+    named = docs.select(*(F.coalesce(F.col(c), F.lit("")).alias(c) for c in ("lang", "source"))).distinct()
+    groups = named.join(totals, ["lang", "source"], "left").join(langs, "lang", "left")
     groups = groups.na.fill(0, ["total", "terms", "lang_total"])
     groups = groups.join(groups.groupBy("lang").agg(F.count("*").alias("groups")), "lang").withColumn("block", _blocks("groups", "source", group_block))
     order = Window.partitionBy("lang", "block").orderBy("source")  # about group_block sources
@@ -138,7 +157,7 @@ def audit(docs: DataFrame, least_docs: int = LEAST_DOCS, top: int = TOP, group_b
     placed = placed.select("lang", "term", "lang_n", "tblock", (F.row_number().over(slots) - 1).alias("slot"))
     placed = common.stored(placed, "slots")
     widths = placed.groupBy("lang", "tblock").agg(F.count("*").cast("int").alias("width"))
-    shared = used.select("lang", "source", "term", "n").join(placed, ["lang", "term"]).join(groups, ["lang", "source"])
+    shared = own.join(placed, ["lang", "term"]).join(groups, ["lang", "source"])
     shared = shared.withColumn("p", _share("n", "total", "terms"))
 
     marks = groups.join(widths, "lang", "left").na.fill(0, ["tblock", "width"]).withColumn("slot", F.lit(-1)).withColumn("p", F.col("none"))
