@@ -240,3 +240,14 @@ def personas(speakers: DataFrame, documents: DataFrame, keys: list[str], tones:
         "cost": (F.col("cost_usd") >= 0) & (F.col("cost_usd") < float("inf")),
     }
     return items.unionByName(order).unionByName(violations(documents, spent, keys))
+
+
+def schedules(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Scheduled utterances (utterance_index, start_ms, end_ms, anchor_index): in order, anchored before themselves, with a length."""
+    told = rows.withColumn("·before", F.lag("start_ms").over(_ordered(keys, "utterance_index")))
+    rules = {
+        "chronological": F.col("·before").isNull() | (F.col("start_ms") >= F.col("·before")),
+        "anchor": F.col("anchor_index").isNull() | (F.col("anchor_index") < F.col("utterance_index")),
+        "bounds": F.col("end_ms") > F.col("start_ms"),
+    }
+    return violations(told, rules, [*keys, "utterance_index"])

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import api
 from ..functions import timebase
-from ..operators import contracts, lineage, speakers, sweep, tracks
+from ..operators import contracts, lineage, speakers, sweep, tracks, validators
 from ..policy import WindowPolicy
 from ..sources import views as v
 from . import oracles as o
@@ -181,12 +181,9 @@ def reference_manifest(spark, d):
 @query
 def timeline_rules(spark, d):
     """Rules that scheduled utterances break: a right schedule breaks none, so some starts, ends and anchors are moved."""
-    w, i = Window.partitionBy("part_id").orderBy("utterance_index"), F.col("utterance_index")
-    rows = QUERIES["timeline_schedule"](spark, d)
+    i, rows = F.col("utterance_index"), QUERIES["timeline_schedule"](spark, d)
     rows = rows.withColumn("end_ms", F.when(i % 17 == 6, F.col("start_ms")).otherwise(F.col("end_ms"))).withColumn("start_ms", F.when(i % 13 == 5, F.col("start_ms") - 1_000_000).otherwise(F.col("start_ms")))
-    rows = rows.withColumn("anchor_index", F.when(i % 11 == 3, i).otherwise(F.col("anchor_index"))).withColumn("before", F.lag("start_ms").over(w))
-    rules = {"chronological": F.coalesce(F.col("start_ms") >= F.col("before"), F.lit(True)), "anchor": F.coalesce(F.col("anchor_index") < F.col("utterance_index"), F.lit(True)), "bounds": F.col("end_ms") > F.col("start_ms")}
-    return lineage.violations(rows, rules, ["part_id", "utterance_index"])
+    return validators.schedules(rows.withColumn("anchor_index", F.when(i % 11 == 3, i).otherwise(F.col("anchor_index"))), PART)
 
 
 @query

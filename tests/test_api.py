@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from parley import api, storage
-from parley.operators import lineage, tracks
+from parley.operators import lineage, tracks, validators
 from parley.plans.more import QUERIES
 from parley.sources import media
 from parley.streaming import control
@@ -97,7 +97,7 @@ def test_queries_without_sql_give_rows(spark, sf_dir, name):
 
 
 def test_schedules_break_no_rule(spark, sf_dir):
-    assert QUERIES["timeline_rules"](spark, sf_dir).count() == 0
+    assert validators.schedules(QUERIES["timeline_schedule"](spark, sf_dir), ["part_id"]).count() == 0
 
 
 def test_entry_points_import_without_the_optional_part(monkeypatch):
