@@ -29,7 +29,7 @@ TOP = 50
 #: Groups and terms of a block, about: blocks are dealt by hash.
 GROUP_BLOCK, TERM_BLOCK = 64, 4096
 #: Distinct terms that a counting task holds before it hands its sums on, and documents whose terms a shard holds, about.
-HELD_TERMS, SHARD_DOCS = 400_000, 4096
+HELD_TERMS, SHARD_DOCS = 400_000, 1536
 
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 
