@@ -29,13 +29,13 @@ TOP = 50
 #: Groups and terms of a block, about: blocks are dealt by hash.
 GROUP_BLOCK, TERM_BLOCK = 64, 4096
 #: Distinct terms that a counting task holds before it hands its sums on, and documents whose terms a shard holds, about.
-HELD_TERMS, SHARD_DOCS = 400_000, 1536
+HELD_TERMS, SHARD_DOCS = 400_000, 4096
 
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 
 
 def _spread(texts: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
-    """A task's terms by group and shard of the vocabulary: terms as one text, occurrences and documents as numbers.
+    """A task's terms by language and shard of the vocabulary: for each source its terms as one text, occurrences and documents as numbers.
 
     Sums are handed on when HELD_TERMS of them are held, so memory does not follow the vocabulary.
     """
@@ -43,14 +43,18 @@ def _spread(texts: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordB
     held = 0
 
     def handed_on() -> Iterator[pa.RecordBatch]:
-        rows: list[tuple] = []
+        rows: dict[tuple[str, int], tuple[list, ...]] = {}
         for (lang, source), (n, docs) in sums.items():
             by_shard: dict[int, list[bytes]] = {}
             for term in docs:
                 by_shard.setdefault(zlib.crc32(term) % shards, []).append(term)
             for shard, terms in by_shard.items():
-                rows.append((lang, source, shard, b" ".join(terms), np.array([n[t] for t in terms], "<i8").tobytes(), np.array([docs[t] for t in terms], "<i8").tobytes()))
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 6, (pa.string(), pa.string(), pa.int32(), pa.binary(), pa.binary(), pa.binary()))], names=["lang", "source", "shard", "terms", "n", "docs"])
+                row = rows.setdefault((lang, shard), ([], [], [], []))
+                for held_in, x in zip(row, (source, b" ".join(terms), np.array([n[t] for t in terms], "<i8").tobytes(), np.array([docs[t] for t in terms], "<i8").tobytes())):
+                    held_in.append(x)
+        keys = [pa.array([k[0] for k in rows], pa.string()), pa.array([k[1] for k in rows], pa.int32())]
+        lists = [pa.array([r[i] for r in rows.values()], pa.list_(t)) for i, t in enumerate((pa.string(), pa.binary(), pa.binary(), pa.binary()))]
+        yield pa.RecordBatch.from_arrays([*keys, *lists], names=["lang", "shard", "source", "terms", "n", "docs"])
 
     for batch in texts:
         for lang, source, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).cast(pa.large_binary())):
@@ -69,7 +73,8 @@ def _kept_of(shard: pa.Table, least_docs: int) -> pa.Table:
     """Terms of one language and shard in enough documents, with their occurrences in each source."""
     docs: Counter = Counter()
     counts: dict[str, Counter] = {}
-    for source, terms, n, held in zip(*(shard.column(c).to_pylist() for c in ("source", "terms", "n", "docs"))):
+    rows = zip(*(shard.column(c).to_pylist() for c in ("source", "terms", "n", "docs")))
+    for source, terms, n, held in (part for row in rows for part in zip(*row)):
         own, words = counts.setdefault(source, Counter()), terms.split(b" ")
         for term, k, d in zip(words, np.frombuffer(n, "<i8").tolist(), np.frombuffer(held, "<i8").tolist()):
             own[term] += k
@@ -88,7 +93,7 @@ def kept_counts(docs: DataFrame, least_docs: int) -> DataFrame:
     Null text, lang and source read as empty ones.
     """
     shards = min(max(1, -(-docs.count() // SHARD_DOCS)), 1 << 24)
-    spread = common.map_arrow(docs.select("lang", "source", "text"), "lang string, source string, shard int, terms binary, n binary, docs binary", lambda batches: _spread(batches, shards))
+    spread = common.map_arrow(docs.select("lang", "source", "text"), "lang string, shard int, source array<string>, terms array<binary>, n array<binary>, docs array<binary>", lambda batches: _spread(batches, shards))
     return spread.groupBy("lang", "shard").applyInArrow(lambda rows: _kept_of(rows, least_docs), "lang string, source string, term string, n long")
 
 
