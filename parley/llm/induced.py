@@ -9,7 +9,8 @@ common prefix between the suffixes that induced them.
 
 A queue keeps at most ``memory`` bytes; beyond that, runs go to an unnamed scratch file of
 the task and come back in order. Suffixes are compared over at most ``depth`` bytes, all that
-a search for repeats of that length needs.
+a search for repeats of that length needs. Positions and ranks are 32-bit numbers where
+the text allows: a sort holds a small multiple of its text.
 """
 
 from __future__ import annotations
@@ -19,6 +20,10 @@ import tempfile
 import numpy as np
 
 
+#: Pairs of suffixes compared at once.
+_BLOCK = 1 << 16
+
+
 class BucketQueue:
     """Tuples (position, common prefix) by first byte, first in first out within a byte."""
 
@@ -43,7 +48,7 @@ class BucketQueue:
                     at = self.file.tell()
                     for part in run:
                         self.file.write(part.tobytes())
-                    runs[i] = (at, len(run[0]))
+                    runs[i] = (at, len(run[0]), run[0].dtype)
         self.held = 0
 
     def pop(self, byte: int) -> tuple[np.ndarray, np.ndarray] | None:
@@ -54,9 +59,9 @@ class BucketQueue:
         out = []
         for run in runs:
             if isinstance(run[0], int):
-                at, n = run
+                at, n, kind = run
                 self.file.seek(at)
-                run = np.frombuffer(self.file.read(8 * n), np.int64), np.frombuffer(self.file.read(2 * n), np.int16)
+                run = np.frombuffer(self.file.read(kind.itemsize * n), kind), np.frombuffer(self.file.read(2 * n), np.int16)
             else:
                 self.held -= run[0].nbytes + run[1].nbytes
             out.append(run)
@@ -69,51 +74,64 @@ class BucketQueue:
 
 def suffix_types(text: np.ndarray) -> np.ndarray:
     """True for type S: smaller than the suffix after it; the last suffix is S."""
-    n = len(text)
-    step = np.zeros(n, np.int8)
-    step[:-1] = np.sign(text[1:].astype(np.int16) - text[:-1])
-    step[-1] = 1
-    at = np.flatnonzero(step)
-    return step[at[np.searchsorted(at, np.arange(n))]] > 0
+    types = np.ones(len(text), bool)
+    types[:-1] = text[:-1] < text[1:]
+    same = np.flatnonzero(text[:-1] == text[1:])
+    if len(same):  # a stretch of one byte is of the type of its last place
+        last = np.flatnonzero(np.append(np.diff(same) > 1, True))
+        types[same] = np.repeat(types[same[last] + 1], np.diff(last, prepend=-1))
+    return types
 
 
 def _words(text: np.ndarray, after: int) -> np.ndarray:
-    """Eight bytes from each place on as one big-endian number, zeros after the end; ``after`` places more."""
+    """Eight bytes from each place on as one big-endian number, zeros after the end; ``after`` places more. A view: no word is copied."""
     padded = np.concatenate([text, np.zeros(after + 8, np.uint8)])
-    return np.lib.stride_tricks.sliding_window_view(padded, 8)[: len(text) + after].copy().view(">u8").ravel().astype(np.uint64)
+    return np.ndarray(len(text) + after, ">u8", padded, strides=(1,))
 
 
 def _refined(ranks: np.ndarray, of: np.ndarray, key: np.ndarray) -> np.ndarray:
     """Dense ranks in which the members ``of`` whole groups of equals are told apart by a key."""
-    m = len(ranks)
-    first = np.concatenate([[0], np.cumsum(np.bincount(ranks, minlength=m))[:-1]])
+    m, kind = len(ranks), ranks.dtype
     group = ranks[of]
-    if key.dtype == np.int64 and m < 1 << 31:  # two ranks fit one number
-        order = np.argsort(group * (m + 1) + key)
+    if key.dtype != np.uint64 and m < 1 << 31:  # two ranks fit one number
+        order = np.argsort(group.astype(np.int64) * (m + 1) + key)
     else:
         order = np.lexsort((key, group))
     group, key, of = group[order], key[order], of[order]
-    opens = np.concatenate([[True], group[1:] != group[:-1]])
-    leads = opens | np.concatenate([[True], key[1:] != key[:-1]])
-    place = np.arange(len(of))
+    del order
+    opens = np.ones(len(of), bool)
+    opens[1:] = group[1:] != group[:-1]
+    leads = opens.copy()
+    leads[1:] |= key[1:] != key[:-1]
+    del group, key
+    place = np.arange(len(of), dtype=kind)
+    further = np.maximum.accumulate(np.where(leads, place, 0))
+    further -= np.maximum.accumulate(np.where(opens, place, 0))
+    del place, opens, leads
+    first = np.bincount(ranks, minlength=m).astype(kind)
+    first = np.cumsum(first, dtype=kind) - first
     spaced = first[ranks]
-    spaced[of] += np.maximum.accumulate(np.where(leads, place, 0)) - np.maximum.accumulate(np.where(opens, place, 0))
+    spaced[of] += further
+    del further, of, first
     used = np.zeros(m, bool)
     used[spaced] = True
-    return (np.cumsum(used) - 1)[spaced]
+    used = np.cumsum(used, dtype=kind)
+    used -= 1
+    return used[spaced]
 
 
 def _name(words: np.ndarray, stars: np.ndarray, size: int, depth: int) -> np.ndarray:
     """Ranks of the substrings from one S* position to the next, inclusive, to ``depth`` bytes."""
-    lengths = np.append(stars[1:] + 1, size) - stars
+    lengths = np.append(stars[1:] + 1, stars.dtype.type(size)) - stars
     every = np.uint64(0xFFFFFFFFFFFFFFFF)
 
     def word(of: np.ndarray, k: int) -> np.ndarray:
         over = np.clip(k + 8 - lengths[of], 0, 8).astype(np.uint64)
         tail = np.where(over == 8, every, (np.uint64(1) << (over % np.uint64(8)) * np.uint64(8)) - np.uint64(1))
-        return words[np.minimum(stars[of] + k, len(words) - 1)] | tail  # a substring that is another's prefix is the larger
+        tail |= words[np.minimum(stars[of] + k, len(words) - 1)]
+        return tail  # a substring that is another's prefix is the larger
 
-    names = np.zeros(len(stars), np.int64)
+    names = np.zeros(len(stars), stars.dtype)
     for k in range(0, depth + 8, 8):
         longer = lengths > k
         if not longer.any():
@@ -134,33 +152,34 @@ def rank_stars(words: np.ndarray, stars: np.ndarray, size: int, depth: int) -> n
     ranks = _name(words, stars, size, depth)
     m, reach = len(stars), 1
     while reach < m:
-        far = np.append(stars, np.full(reach, size + depth))[reach:]
+        far = np.append(stars, np.full(reach, size + depth, stars.dtype))[reach:]
         tied = np.bincount(ranks, minlength=m)[ranks] > 1
         wanted = np.zeros(m, bool)
         wanted[ranks[tied & (far - stars < depth)]] = True
         of = np.flatnonzero(wanted[ranks])
         if not len(of):
             break
-        ranks = _refined(ranks, of, np.append(ranks + 1, np.zeros(reach, np.int64))[reach:][of])
+        ranks = _refined(ranks, of, np.append(ranks + 1, np.zeros(reach, ranks.dtype))[reach:][of])
         reach *= 2
     return stars[np.argsort(ranks, kind="stable")]
 
 
 def common_prefixes(words: np.ndarray, a: np.ndarray, b: np.ndarray, depth: int) -> np.ndarray:
     """Length of the common prefix of the suffixes at a and b, up to ``depth``."""
-    out = np.full(len(a), depth, np.int64)
-    todo = np.arange(len(a))
-    for k in range(0, depth, 8):
-        x = words[a[todo] + k] ^ words[b[todo] + k]
-        differ = x != 0
-        if differ.any():
-            high = np.floor(np.log2(x[differ].astype(np.float64))).astype(np.int64)
-            # a float of 53 bits may round up to the next power of two
-            high -= (x[differ] >> np.minimum(high, 63).astype(np.uint64) == 0) | (high > 63)
-            out[todo[differ]] = np.minimum(depth, k + 7 - high // 8)
-        todo = todo[~differ]
-        if not len(todo):
-            break
+    out = np.full(len(a), depth, np.int16)
+    for begin in range(0, len(a), _BLOCK):
+        todo = np.arange(begin, min(len(a), begin + _BLOCK))
+        for k in range(0, depth, 8):
+            x = words[a[todo] + k] ^ words[b[todo] + k]
+            differ = x != 0
+            if differ.any():
+                high = np.floor(np.log2(x[differ].astype(np.float64))).astype(np.int64)
+                # a float of 53 bits may round up to the next power of two
+                high -= (x[differ] >> np.minimum(high, 63).astype(np.uint64) == 0) | (high > 63)
+                out[todo[differ]] = np.minimum(depth, k + 7 - high // 8)
+            todo = todo[~differ]
+            if not len(todo):
+                break
     return out
 
 
@@ -214,7 +233,9 @@ def repeated_starts(text: np.ndarray, depth: int, memory: int = 64 << 20) -> np.
     is_star = np.zeros(n, bool)
     is_star[1:] = types[1:] & ~types[:-1]
     words = _words(text, depth)
-    stars = rank_stars(words, np.flatnonzero(is_star), n, depth)
+    kind = np.int32 if n + depth < 1 << 31 else np.int64
+    stars = rank_stars(words, np.flatnonzero(is_star).astype(kind), n, depth)
+    del is_star
     star_common = np.zeros(len(stars), np.int16)
     star_common[1:] = common_prefixes(words, stars[:-1], stars[1:], depth)
     del words

@@ -137,7 +137,7 @@ def _described(docs: DataFrame, width: int, similarity: float) -> DataFrame:
                     column.append(value)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(c, t) for c, t in zip(out, (long, long, long, longs, longs, longs, longs)))], names=["doc_id", "mark", "sig", "n", "fp", "stars", "sketch", "prefix", "least"])
 
-    return common.map_arrow(docs, "doc_id long, mark long, sig long, n long, fp long, stars array<long>, sketch array<long>, prefix array<long>, least array<long>", described)
+    return common.map_large(docs, "doc_id long, mark long, sig long, n long, fp long, stars array<long>, sketch array<long>, prefix array<long>, least array<long>", described)
 
 
 def _reaches(shared: Column, sizes: Column, similarity: float) -> Column:
@@ -195,7 +195,7 @@ def _verified(pairs: DataFrame, docs: DataFrame, firsts: DataFrame, width: int,
 
     texts = docs.join(wanted, ["doc_id", "mark"]).select("v", "deal", "side", "sig", "text")
     texts = texts.repartition("v", "deal").sortWithinPartitions("v", "deal", "side")
-    return common.stored(common.map_arrow(texts.select("v", "side", "sig", "text"), "u long, v long", compared).distinct(), "verified")
+    return common.stored(common.map_large(texts.select("v", "side", "sig", "text"), "u long, v long", compared).distinct(), "verified")
 
 
 def _least_stars(nodes: DataFrame) -> DataFrame:

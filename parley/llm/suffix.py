@@ -55,7 +55,7 @@ def _runs(keyed: DataFrame, window: int) -> DataFrame:
                     column.append(values)
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c) if c else [], pa.int64()) for c in out], names=["doc", "mark", "first", "n", "key", "name"])
 
-    return common.map_arrow(keyed, "doc long, mark long, first long, n long, key long, name long", cut)
+    return common.map_large(keyed, "doc long, mark long, first long, n long, key long, name long", cut)
 
 
 def _sorted_shard(rows: list[tuple], window: int) -> Iterator[tuple]:
@@ -101,7 +101,7 @@ def _repeats(segments: DataFrame, window: int) -> DataFrame:
             yield batch_of(list(_sorted_shard(rows, window)))
 
     ordered = segments.repartition("key").sortWithinPartitions("key", "name")
-    return common.map_arrow(ordered, "doc long, mark long, first long, `from` array<long>, `to` array<long>", run)
+    return common.map_large(ordered, "doc long, mark long, first long, `from` array<long>, `to` array<long>", run)
 
 
 def _repeats_by_string(segments: DataFrame, window: int) -> DataFrame:

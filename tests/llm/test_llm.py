@@ -199,6 +199,30 @@ def test_induced_sort_finds_what_counting_finds(memory):
             at += len(p) + 1
 
 
+def test_sort_holds_a_small_multiple_of_its_text():
+    import tracemalloc
+
+    text = np.frombuffer(b"\0".join(prose(60, k).encode() for k in range(1_500)) + b"\0", np.uint8)
+    tracemalloc.start()
+    flags = induced.repeated_starts(text, 200)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(flags) == len(text) and peak < 36 * len(text)
+
+
+def test_memory_is_handed_back():
+    from parley.llm import common
+
+    def held():
+        return sum(int(line.split()[1]) << 10 for line in open("/proc/self/smaps_rollup") if line.startswith("Anonymous:"))
+
+    before = held()
+    blocks = [np.ones(10_000, np.uint8) for _ in range(6_000)]
+    blocks = blocks[-1:]  # the last one keeps the others' space from being cut off at the end
+    common.release()
+    assert held() - before < 30_000_000 and blocks
+
+
 def test_anchor_runs_cover_every_start_once(monkeypatch):
     monkeypatch.setattr(anchors, "CHUNK", 700)
     raw = np.frombuffer((prose(800, 2) + "ab" * 400).encode(), np.uint8)
