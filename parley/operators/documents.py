@@ -3,9 +3,10 @@
 A contract is a nested template: objects name all their keys, lists all their items, ``Each``
 stands for a list of any length, and leaves are constants, ``Given`` columns of what was asked
 for, or named ``Rule``s. Documents are parsed to VARIANT, which keeps decimals exact and
-refuses repeated keys, NaN and trailing text. Their nodes become rows of (path, kind, value)
-and meet the contract's rows in one full outer join on document and path, so each broken path
-gives one row, however large or odd the document is.
+refuses repeated keys, NaN and trailing text. Each node of the contract is looked up in the
+document's own row, items of lists of any length become rows first, and only what the contract
+doesn't know is walked through level by level: each broken path gives one row, and no node of a
+sound document is written or shuffled.
 """
 
 from __future__ import annotations
@@ -107,81 +108,145 @@ def parsed(docs: DataFrame, text: str = "document") -> DataFrame:
     """
     said = F.col(text).cast("string")
     listed, field = F.try_parse_json(F.concat(F.lit("["), said, F.lit("]"))), F.try_parse_json(F.concat(F.lit('{"d":'), said, F.lit("}")))
-    alone = field.isNotNull() & (F.size(F.try_variant_get(listed, "$", "array<variant>")) == 1)
-    return docs.withColumn("v", F.when(alone, F.try_variant_get(listed, "$[0]", "variant")))
-
-
-def nodes(docs: DataFrame, keys: list[str], depth: int) -> DataFrame:
-    """keys, path, kind and value of all nodes of ``v`` down to ``depth``; a list's value is its length."""
-    spark = docs.sparkSession
-    level = docs.where("v is not null").select(*keys, F.lit("$").alias("path"), "v")
-    found = []
-    for k in range(depth + 1):
-        schema = F.schema_of_variant("v")
-        base = F.regexp_extract(schema, "^[A-Z]+", 0)
-        kind = F.when(base.isin("BIGINT"), "INTEGER").when(base.isin("DECIMAL", "DOUBLE", "FLOAT"), "NUMBER").when(base == "STRING", "TEXT").otherwise(base)
-        size = F.size(F.try_variant_get("v", "$", "array<variant>")).cast("string")
-        value = F.when(base == "ARRAY", size).when(base != "OBJECT", F.try_variant_get("v", "$", "string"))
-        found.append(level.select(*keys, "path", kind.alias("kind"), value.alias("value")))
-        if k < depth:
-            inner = level.where(F.schema_of_variant("v").rlike("^(OBJECT|ARRAY)")).alias("outer")
-            each = inner.lateralJoin(spark.tvf.variant_explode(F.col("outer.v").outer()))
-            step = F.when(F.col("key").isNull(), F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))).when(F.col("key").rlike("^[A-Za-z_][A-Za-z0-9_]*$"), F.concat(F.lit("."), F.col("key"))).otherwise(F.concat(F.lit('["'), F.col("key"), F.lit('"]')))
-            level = each.select(*(F.col(f"outer.{k}") for k in keys), F.concat(F.col("outer.path"), step).alias("path"), F.col("value").alias("v"))
-    out = found[0]
-    for rows in found[1:]:
-        out = out.unionByName(rows)
-    return out
-
-
-def _struct(path: Column, node: tuple) -> Column:
-    want = F.col(node[3].column).cast("string") if isinstance(node[3], Given) else F.lit(node[3])
-    return F.struct(path.alias("path"), F.lit(node[1]).alias("kind"), F.lit(node[2]).alias("rule"), want.cast("string").alias("want"), F.lit(isinstance(node[3], Given)).alias("asked"))
-
-
-def _fits(kind: Column, found: Column) -> Column:
-    return (found == kind) | (kind == "NUMBER") & (found == "INTEGER") | (kind == "TEXT or null") & found.isin("TEXT", "VOID")
-
-
-def broken_paths(docs: DataFrame, asked: DataFrame | None, keys: list[str], template: object, text: str = "document") -> DataFrame:
+    alone = F.when(_list_size("listed") == 1, field.isNotNull())
+    return docs.withColumn("listed", listed).withColumn("v", F.when(alone, F.try_variant_get("listed", "$[0]", "variant"))).drop("listed")
+
+
+#: A broken path, or a node whose children are still to be listed: those not ``named``, or from place ``first`` on, ``left`` levels down.
+_FOUND = "struct<path:string,rule:string,found:string,wanted:string,v:variant,named:array<string>,first:int,left:int>"
+
+
+def _row(path: Column, rule: Column | str | None, found: Column | None = None, wanted: Column | None = None, v: Column | None = None, named: tuple[str, ...] = (), first: int = 0, left: Column | int = 0) -> Column:
+    none = F.lit(None)
+    text = lambda x: (none if x is None else x if isinstance(x, Column) else F.lit(x)).cast("string")
+    names = F.array(*map(F.lit, named)).cast("array<string>")
+    return F.struct(path.alias("path"), text(rule).alias("rule"), text(found).alias("found"), text(wanted).alias("wanted"), (none.cast("variant") if v is None else v).alias("v"), names.alias("named"), F.lit(first).alias("first"), (left if isinstance(left, Column) else F.lit(left)).cast("int").alias("left")).cast(_FOUND)
+
+
+def _list_size(v: Column | str, path: str = "$") -> Column:
+    return F.array_size(F.try_variant_get(v, path, "array<struct<>>"))
+
+
+def _fields(v: Column | str, path: str = "$") -> Column:
+    """An object's keys, null for anything else; the cast to structs without fields copies no content."""
+    return F.map_keys(F.try_variant_get(v, path, "map<string,struct<>>"))
+
+
+def _children(b: Column) -> Column:
+    """The children of a node that the contract doesn't know, each a row; their own children follow while levels are left."""
+    inner = lambda path, x: _row(path, "unexpected", F.coalesce(_list_size(x).cast("string"), F.when(_fields(x).isNull(), F.try_variant_get(x, "$", "string"))), v=F.when(b["left"] > 1, x), left=b["left"] - 1)
+    step = lambda k: F.when(k.rlike("^[A-Za-z_][A-Za-z0-9_]*$"), F.concat(F.lit("."), k)).otherwise(F.concat(F.lit('["'), k, F.lit('"]')))
+    fields = F.filter(F.map_entries(F.try_variant_get(b["v"], "$", "map<string,variant>")), lambda e: ~F.array_contains(b["named"], e["key"]))
+    items = F.transform(F.try_variant_get(b["v"], "$", "array<variant>"), lambda x, i: F.when(i >= b["first"], inner(F.concat(b["path"], F.lit("["), i.cast("string"), F.lit("]")), x)))
+    none = F.array().cast(f"array<{_FOUND}>")
+    return F.concat(F.coalesce(F.transform(fields, lambda e: inner(F.concat(b["path"], step(e["key"])), e["value"])), none), F.coalesce(items, none))
+
+
+def _fits(kind: str, schema: Column) -> Column:
+    number = (schema == "BIGINT") | schema.startswith("DECIMAL") | schema.isin("DOUBLE", "FLOAT")
+    return {"INTEGER": schema == "BIGINT", "NUMBER": number, "TEXT": schema == "STRING", "TEXT or null": schema.isin("STRING", "VOID")}.get(kind, schema == kind)
+
+
+def _levels(path: str) -> int:
+    return len(re.findall(r"\.|\[", path))
+
+
+def _judged(n: int, base: Column, above: int, contract: list[tuple], depth: int) -> tuple[dict[str, Column], dict[str, Column], list[Column]]:
+    """Columns of what stands at each node of ``v{n}``, of leaves' values, and rows of what is broken there or still to be listed."""
+    v, seen, values, rows = f"v{n}", {}, {}, []
+    for i, (path, kind, rule, wanted) in enumerate(contract):
+        at, full = f"${path.removeprefix('$')}", F.concat(base, F.lit(path.removeprefix("$")))
+        name = f"n{n}_{i}"
+        schema = F.schema_of_variant(F.try_variant_get(v, at, "variant"))
+        named = tuple(p[len(path) + 1 :] for p, *_ in contract if p.startswith(f"{path}.") and _levels(p) == _levels(path) + 1)
+        left = depth - above - _levels(path)
+        if kind in ("OBJECT", "ARRAY"):
+            # keys that the contract doesn't name, or a list's length
+            seen[name] = F.array_size(F.filter(_fields(v, at), lambda k: ~k.isin(*named))) if kind == "OBJECT" else _list_size(v, at)
+            length = int(wanted) if wanted is not None else None
+            found, want = F.col(name), F.lit(wanted)
+            other = F.col(name).isNull()
+            broken = F.when(other, F.when(schema.isNull(), "missing").otherwise("kind"))
+            if length is not None:
+                broken = broken.when(found != length, "value")
+            found = F.coalesce(found.cast("string") if kind == "ARRAY" else F.lit(None), F.when(other, _value(v, at, schema)))
+            open_ = F.when(other, schema.startswith("OBJECT") | schema.startswith("ARRAY"))
+            open_ = open_.otherwise(F.col(name) > 0 if kind == "OBJECT" else F.lit(False) if length is None else F.col(name) > length)
+            first = 0 if kind == "OBJECT" else length or 0
+        else:
+            given = isinstance(wanted, Given)
+            seen[name] = schema
+            # other casts of a VARIANT than to its own type are slow
+            values[f"{name}_value"] = F.when(F.col(name) == "BIGINT", F.try_variant_get(v, at, "bigint").cast("string")).otherwise(F.try_variant_get(v, at, "string"))
+            what, value = F.col(name), F.col(f"{name}_value")
+            want = F.col(wanted.column).cast("string") if given else F.lit(wanted).cast("string")
+            broken = F.when(what.isNull(), "missing").when(~_fits(kind, what), "kind")
+            if wanted is not None:
+                broken = broken.when(~F.coalesce(value == want, F.lit(False)), "value")
+            if rule:
+                broken = broken.when(~F.coalesce(RULES[rule][1](value), F.lit(False)), rule)
+            found = F.when(what.startswith("ARRAY"), _list_size(v, at).cast("string")).when(~what.startswith("OBJECT"), value)
+            open_, first = what.startswith("OBJECT") | what.startswith("ARRAY"), 0
+        rows.append(F.when(broken.isNotNull(), _row(full, broken, found, want)))
+        if left > 0:
+            rows.append(F.when(open_, _row(full, None, v=F.try_variant_get(v, at, "variant"), named=named, first=first, left=left)))
+    return seen, values, rows
+
+
+def _value(v: str, at: str, schema: Column) -> Column:
+    return F.coalesce(_list_size(v, at).cast("string"), F.when(~schema.startswith("OBJECT"), F.try_variant_get(v, at, "string")))
+
+
+def broken_paths(docs: DataFrame, asked: DataFrame | None, keys: list[str], template: object, text: str = "document", rules: dict[str, tuple[str, Column]] | None = None, read: tuple[str, ...] = ()) -> DataFrame:
     """keys, path, rule, found and wanted: a row for each path of a document that breaks its contract.
 
     Rules are ``json`` (no such JSON, or null), ``missing``, ``unexpected``, ``kind``, ``value``, or the
     rule's name. ``asked`` has the columns of the template's ``Given`` leaves, a row for each
     document; documents that nothing was asked for are judged with nulls, which break those leaves.
-    Keys are not null.
+    Where ``asked`` is ``docs`` itself, each row holds both and nothing is joined. Keys are not null.
+
+    ``rules`` look at several places of one document, as ``v``, and at the columns ``read`` of what was
+    asked: broken ones by the path that they are about. A rule that meets a missing or wrong kind of
+    value is not judged here: that path is broken already.
     """
     contract = _nodes(template)
-    depth = max(len(re.findall(r"\.|\[", n[0])) for n in contract)
-    given = sorted({n[3].column for n in contract if isinstance(n[3], Given)})
-    held = parsed(docs.select(*keys, text), text)
-    if given:
+    depth = max(_levels(n[0]) for n in contract)
+    given = sorted({n[3].column for n in contract if isinstance(n[3], Given)} | set(read))
+    held = docs.select(*keys, F.col(text).cast("string").alias("said"), *(given if asked is docs else ()))
+    if given and asked is not docs:
         held = held.join(asked.select(*keys, *given), keys, "left")
-    held = stored(held, "documents")
-    actual = stored(nodes(held, keys, depth), "nodes")
-    fixed = [n for n in contract if "[*]" not in n[0]]
-    want = held.where("v is not null").select(*keys, F.explode(F.array(*(_struct(F.lit(n[0]), n) for n in fixed))).alias("n")).select(*keys, "n.*")
+    held = parsed(held, "said")
+    parts: dict[tuple, list[str]] = {}
     for anchor in sorted({n[0].split("[*]")[0] for n in contract if "[*]" in n[0]}):
-        items = actual.where(F.regexp_replace("path", r"\[\d+\]$", "[*]") == f"{anchor}[*]").select(*keys, F.col("path").alias("item"))
-        under = [n for n in contract if n[0].startswith(f"{anchor}[*]")]
-        each = F.explode(F.array(*(_struct(F.concat(F.col("item"), F.lit(n[0].removeprefix(f"{anchor}[*]"))), n) for n in under))).alias("n")
-        want = want.unionByName(items.select(*keys, each).select(*keys, "n.*"))
-    both = want.join(actual.withColumnsRenamed({"kind": "found_kind", "value": "found"}), [*keys, "path"], "full")
-    ok = F.lit(True)
-    for name, (_, condition) in RULES.items():
-        ok = F.when(F.col("rule") == name, F.coalesce(condition(F.col("found")), F.lit(False))).otherwise(ok)
-    same = F.when(F.col("want").isNull(), ~F.col("asked")).otherwise(F.coalesce(F.col("found") == F.col("want"), F.lit(False)))
-    rule = (
-        F.when(F.col("found_kind").isNull(), "missing")
-        .when(F.col("kind").isNull(), "unexpected")
-        .when(~_fits(F.col("kind"), F.col("found_kind")), "kind")
-        .when(~same, "value")
-        .when(~ok, F.col("rule"))
-    )
-    paths = both.select(*keys, "path", rule.alias("rule"), "found", F.col("want").alias("wanted")).where("rule is not null")
-    none = F.lit(None).cast("string")
-    refused = held.where("v is null").select(*keys, F.lit("$").alias("path"), F.lit("json").alias("rule"), none.alias("found"), none.alias("wanted"))
-    return refused.unionByName(paths)
+        under = tuple((n[0].removeprefix(f"{anchor}[*]"), *n[1:]) for n in contract if n[0].startswith(f"{anchor}[*]"))
+        parts.setdefault((under, _levels(anchor) + 1), []).append(anchor)
+    kind = "array<struct<part:int,base:string,v:variant>>"
+
+    def items(n: int, anchor: str) -> Column:
+        listed = F.transform(_get(anchor, "array<variant>"), lambda x, i: F.struct(F.lit(n), F.concat(F.lit(f"{anchor}["), i.cast("string"), F.lit("]")), x))
+        return F.coalesce(listed.cast(kind), F.array().cast(kind))
+
+    if parts:
+        each = [F.array(F.struct(F.lit(0), F.lit("$"), F.col("v"))).cast(kind), *(items(n, anchor) for n, anchors in enumerate(parts.values(), 1) for anchor in anchors)]
+        held = held.withColumn("e", F.concat(*each)).select(*keys, *given, F.explode_outer("e").alias("e")).select(*keys, *given, "e.*")
+    else:
+        held = held.select(*keys, *given, F.lit(0).alias("part"), F.lit("$").alias("base"), "v")
+    fixed = tuple(n for n in contract if "[*]" not in n[0])
+    seen, values, broken = {}, {}, F.when(F.col("v").isNull(), F.array(_row(F.lit("$"), "json")))
+    for n, (nodes, above) in enumerate([(fixed, 0), *parts]):
+        held = held.withColumn(f"v{n}", F.when(F.col("part") == n, F.col("v")))
+        there, said, rows = _judged(n, F.col("base"), above, nodes, depth)
+        seen |= there
+        values |= said
+        if not n:
+            rows += [F.when(~ok, _row(F.lit(path), re.sub(r"_\d$", "", name))) for name, (path, ok) in (rules or {}).items()]
+        broken = broken.when(F.col("part") == n, F.array(*rows))
+    rows = held.withColumns(seen).withColumns(values).select(*keys, broken.alias("b")).select(*keys, F.explode_outer("b").alias("b")).where("b is not null")
+    b = F.col("b")
+    more = F.concat(F.array(F.when(b["rule"].isNotNull(), _row(b["path"], b["rule"], b["found"], b["wanted"]))), _children(b))
+    for _ in range(depth):
+        rows = rows.select(*keys, F.when(b["v"].isNull(), F.array(b)).otherwise(more).alias("b")).select(*keys, F.explode_outer("b").alias("b")).where("b is not null")
+    return rows.select(*keys, "b.path", "b.rule", "b.found", "b.wanted")
 
 
 # The documents' versions, models and back ends.
@@ -292,17 +357,6 @@ def _get(path: str, kind: str = "bigint") -> Column:
     return F.try_variant_get("v", path, kind)
 
 
-def _crossed(docs: DataFrame, asked: DataFrame, keys: list[str], rules: dict[str, tuple[str, Column]], text: str) -> DataFrame:
-    """Rules that look at several places of one document: broken ones by the path that they are about.
-
-    A rule that meets a missing or wrong kind of value is not judged here: that path is broken already.
-    """
-    held = parsed(docs.select(*keys, text), text).where("v is not null").join(asked, keys, "left")
-    each = F.array_compact(F.array(*(F.when(~ok, F.struct(F.lit(path).alias("path"), F.lit(name).alias("rule"))) for name, (path, ok) in rules.items())))
-    none = F.lit(None).cast("string")
-    return held.select(*keys, F.explode(each).alias("b")).select(*keys, "b.path", F.regexp_replace("b.rule", r"_\d$", "").alias("rule"), none.alias("found"), none.alias("wanted"))
-
-
 def transcription_results(docs: DataFrame, asked: DataFrame, keys: list[str], text: str = "document") -> DataFrame:
     """Broken paths of transcription results.
 
@@ -318,7 +372,7 @@ def reconstruction_results(docs: DataFrame, asked: DataFrame, keys: list[str], t
     ``asked``: duration_ms, speaker_k, manifest_uri, transcript_uri and audio_uri_k.
     """
     rules = {f"track_length_{k}": (f"$.artifacts.speaker_audio[{k}].duration_ms", _get(f"$.artifacts.speaker_audio[{k}].duration_ms") == _get("$.actual_duration_ms")) for k in (0, 1)}
-    return broken_paths(docs, asked, keys, RECONSTRUCTION, text).unionByName(_crossed(docs, asked.select(*keys), keys, rules, text))
+    return broken_paths(docs, asked, keys, RECONSTRUCTION, text, rules)
 
 
 def extension_results(docs: DataFrame, asked: DataFrame, keys: list[str], text: str = "document") -> DataFrame:
@@ -349,7 +403,8 @@ def extension_results(docs: DataFrame, asked: DataFrame, keys: list[str], text:
             f"pure_{k}": (f"{at}.selection.segments[0]", joined | (F.size(segments) == 1) & (F.get(segments, 0)["start_ms"] == start) & (F.get(segments, 0)["end_ms"] == end)),
             f"track_length_{k}": (f"$.artifacts.speaker_audio[{k}].duration_ms", _get(f"$.artifacts.speaker_audio[{k}].duration_ms") == _get("$.actual_duration_ms")),
         }
-    return broken_paths(docs, asked, keys, EXTENSION, text).unionByName(_crossed(docs, asked, keys, rules, text))
+    read = tuple(f"{n}_{k}" for n in ("reference_uri", "separated_uri", "separated_size", "separated_sha", "pure_start", "pure_end") for k in (0, 1))
+    return broken_paths(docs, asked, keys, EXTENSION, text, rules, read)
 
 
 def persona_documents(docs: DataFrame, asked: DataFrame, keys: list[str], text: str = "document") -> DataFrame:
@@ -359,9 +414,9 @@ def persona_documents(docs: DataFrame, asked: DataFrame, keys: list[str], text:
     texts, and a total of tokens is the sum of both kinds, or 0.
     """
     ids = F.array_sort(F.array(F.col("speaker_0").cast("string"), F.col("speaker_1").cast("string")))
-    asked = asked.withColumns({"low_id_0": ids[0], "low_id_1": ids[1]})
+    low = asked.withColumns({"low_id_0": ids[0], "low_id_1": ids[1]})
     rules = {"total": ("$.usage.total_tokens", _get("$.usage.total_tokens").isin(F.lit(0), _get("$.usage.in_tokens") + _get("$.usage.out_tokens")))}
-    return broken_paths(docs, asked, keys, PERSONA, text).unionByName(_crossed(docs, asked.select(*keys), keys, rules, text))
+    return broken_paths(low if docs is asked else docs, low, keys, PERSONA, text, rules)
 
 
 def persona_results(docs: DataFrame, asked: DataFrame, keys: list[str], text: str = "document") -> DataFrame:

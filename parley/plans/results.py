@@ -22,6 +22,12 @@ def _odd(n: int, k: int) -> Column:
     return F.col("o_orderkey") % n == k
 
 
+def _orders(spark, d):
+    """Orders spread over all tasks while they are small: their documents are made and judged where they lie."""
+    few = v.table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
+    return few.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "o_orderkey")
+
+
 def _sha(*parts: Column | str) -> Column:
     return F.sha2(F.concat_ws("/", *(F.lit(p) if isinstance(p, str) else p for p in parts)), 256)
 
@@ -38,8 +44,11 @@ def _faults(rows: dict[str, str], cut: str) -> str:
 
 
 def _judged(rows, doc: Column, check):
-    """Documents as they would be found in storage, some without their last character, against what was asked."""
-    kept = stored(rows.withColumn("d", doc), "made")
+    """Documents as they would be found in storage, some without their last character, against what was asked.
+
+    Rows hold both, so that documents are made, parsed and judged as they stream by.
+    """
+    kept = rows.withColumn("d", doc)
     text = F.when(_odd(59, 7), F.expr("substring(d, 1, length(d) - 1)")).otherwise(F.col("d"))
     kept = kept.withColumn("document", text)
     return check(kept, kept, KEY).select("o_orderkey", "path", "rule")
@@ -54,7 +63,7 @@ _THIRD = {f"$.input_speaker_audio[2]{f} unexpected": "o_orderkey % 61 = 8" for f
 }, "o_orderkey % 59 = 7"))
 def transcription_results(spark, d):
     key = F.col("o_orderkey")
-    rows = v.table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    rows = _orders(spark, d)
     for k in (0, 1):
         rows = rows.withColumns({f"speaker_{k}": (F.lit(k) + key % 2) % 2, f"input_uri_{k}": F.concat_ws("/", key, F.lit(f"track-{k}.wav")), f"input_size_{k}": key * 2 + k + 44, f"input_sha_{k}": _sha(key.cast("string"), str(k))})
     for n in ("transcript", "word_alignment"):
@@ -86,7 +95,7 @@ def _artifact(uri: str, sha: Column | None = None) -> Column:
 
 def _claims(spark, d):
     key = F.col("o_orderkey").cast("string")
-    rows = v.table(spark, d, "orders").select("o_orderkey", "o_custkey", (F.round("o_totalprice").cast("long") + 1000).alias("length"))
+    rows = _orders(spark, d).select("o_orderkey", "o_custkey", (F.round("o_totalprice").cast("long") + 1000).alias("length"))
     rows = rows.withColumns({n: F.concat_ws("/", key, F.lit(n)) for n in ("manifest_uri", "transcript_uri", "script_uri", "persona_uri", "output_transcript_uri", "audio_uri_0", "audio_uri_1", "reference_uri_0", "reference_uri_1", "separated_uri_0", "separated_uri_1")})
     return rows.withColumns({"speaker_0": F.col("o_orderkey") % 2, "speaker_1": 1 - F.col("o_orderkey") % 2, "duration_ms": F.col("length") * 2})
 
