@@ -7,7 +7,7 @@ import pytest
 import __spark_entry__
 
 
-@pytest.mark.parametrize("name", ["reconstruction_results", "transcription_results", "extension_results", "persona_documents"])
+@pytest.mark.parametrize("name", ["reconstruction_results", "transcription_results", "extension_results", "persona_documents", "persona_results"])
 def test_documents_are_neither_written_nor_shuffled(spark, sf_dir, name):
     folder = spark.conf.get("spark.checkpoint.dir").removeprefix("file://")
     kept = lambda: set(os.listdir(folder)) if os.path.isdir(folder) else set()
